@@ -157,7 +157,7 @@ def route_side_output(t):
 @query
 def pick_change(t):
     return ch.pick_change(
-        src.change_log(t), "order_info", ["update"], ["id", "order_status", "user_id", "operate_time"], "ts"
+        src.change_log(t, "order_info", "order_detail"), "order_info", ["update"], ["id", "order_status", "user_id", "operate_time"], "ts"
     )
 
 
@@ -332,22 +332,22 @@ def cart_add(t):
 
 @query
 def coupon_get(t):
-    return facts.coupon_get(src.change_log(t))
+    return facts.coupon_get(src.change_log(t, "coupon_use"))
 
 
 @query
 def coupon_order(t):
-    return facts.coupon_order(src.change_log(t))
+    return facts.coupon_order(src.change_log(t, "coupon_use"))
 
 
 @query
 def coupon_pay(t):
-    return facts.coupon_pay(src.change_log(t))
+    return facts.coupon_pay(src.change_log(t, "coupon_use"))
 
 
 @query
 def favor_add(t):
-    return facts.favor_add(src.change_log(t))
+    return facts.favor_add(src.change_log(t, "favor_info"))
 
 
 @query
@@ -357,7 +357,7 @@ def comment_add(t):
 
 @query
 def user_register(t):
-    return facts.user_register(src.change_log(t))
+    return facts.user_register(src.change_log(t, "user_info"))
 
 
 # ---- window metrics ------------------------------------------------------------------
