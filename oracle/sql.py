@@ -325,6 +325,7 @@ SQL["traffic_window"] = f"""
   select {bounds('ts // 1000', 5)}, ar, ch, is_new, vc, sum(uv_ct)::bigint as uv_ct, sum(sv_ct)::bigint as sv_ct,
     sum(pv_ct)::bigint as pv_ct, sum(dur_sum)::bigint as dur_sum, sum(uj_ct)::bigint as uj_ct
   from ({UNION.format(uv=VISITOR.format(src='p'), uj=JUMP.format(src='p'), src='p')}) group by all"""
+SQL["traffic_window_from_streams"] = SQL["traffic_window"]
 SQL["union_streams"] = f"""select ts, ar, ch, is_new, vc, uv_ct::bigint as uv_ct, sv_ct::bigint as sv_ct, pv_ct::bigint as pv_ct,
   dur_sum::bigint as dur_sum, uj_ct::bigint as uj_ct
   from ({UNION.format(uv=VISITOR.format(src='fpage'), uj='select * from jump', src='fpage')})"""

@@ -369,7 +369,13 @@ def kw_window(t):
 
 @query
 def traffic_window(t):
-    """From raw log text to traffic metrics: clean, correct, split, unique visitors, jumps, sums."""
+    """From raw log text to traffic metrics in one pass over the log."""
+    return metrics.traffic_window_of_log(clean.parse_page_log(src.raw_log(t, fast=True), carry=("offset",)))
+
+
+@query
+def traffic_window_from_streams(t):
+    """The same by way of the page, unique-visitor and jump details."""
     page = traffic.page_rows(src.raw_log(t, fast=True))
     return metrics.traffic_window(page, visits.unique_visitor(page), visits.user_jump(page))
 

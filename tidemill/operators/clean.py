@@ -18,9 +18,10 @@ def parse_json(records: DataFrame, schema: T.StructType, value: str = "value", c
     """Parse every record once into ``row``; ``dirty`` tells that the text is no JSON of that shape."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return records.select(value, *carry, parsed.alias("row")).select(
-        value, *carry, "row", (F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()).alias("dirty")
-    )
+    # Exploding a one-element array pins the parse: a filter on its result is not pushed below it,
+    # where the text would be parsed a second time.
+    rows = records.select(value, *carry, F.explode(F.array(parsed)).alias("row"))
+    return rows.withColumn("dirty", F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull())
 
 
 def clean_rows(parsed: DataFrame, schema: T.StructType, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -87,3 +87,55 @@ def user_jump(
     )
     alone = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("ts") >= within_ms) | F.col("next_is_start")
     return nxt.where(session_start() & alone).select(*page.columns)
+
+
+def page_marks(log: DataFrame, order: str = "offset", slice_ms: int = SLICE_MS) -> DataFrame:
+    """Page rows of a cleaned log, summed per device, slice and 5-second cell, with visit marks.
+
+    The result has one row per device, slice, ``cell`` (ms) and visitor columns, with ``sv_ct``,
+    ``pv_ct``, ``dur_sum``, ``uj_ct`` and two marks: ``first_log`` (time, order, claim) over all logs
+    of the cell and ``first_start`` (time, order) over its session starts. A jump is found by
+    looking ahead within the slice, so the log is read once and shuffled once, by device and slice.
+    """
+    is_page = F.col("start").isNull()
+    seen = log.select(
+        *[F.col(f"common.{c}").alias(c) for c in ("mid", "ar", "ch", "vc", "is_new")],
+        "ts", order, is_page.alias("is_page"), (is_page & session_start()).alias("is_start"),
+        F.col("page.during_time").alias("during_time"),
+    )
+    # start logs take no part in the page sequence of a device
+    key = F.struct("mid", "is_page")
+    near = with_next_within(seen, key, "ts", order, JUMP_MS, slice_ms, next_is_start=F.col("is_start"))
+    alone = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("ts") >= JUMP_MS) | F.col("next_is_start")
+    cell = F.floor(F.col("ts") / F.lit(CELL_MS)) * CELL_MS
+    one = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    return near.groupBy("mid", cell.alias("cell"), "ar", "ch", "vc", "is_new").agg(
+        F.sum(one(F.col("is_start"))).alias("sv_ct"),
+        F.sum(one(F.col("is_page"))).alias("pv_ct"),
+        F.sum(F.when(F.col("is_page"), F.col("during_time"))).alias("dur_sum"),
+        F.sum(one(F.col("is_start") & alone)).alias("uj_ct"),
+        F.min(F.struct("ts", order, "is_new")).alias("first_log"),
+        F.min(F.when(F.col("is_start"), F.struct("ts", order))).alias("first_start"),
+    )
+
+
+CELL_MS = 5_000  # fixed value: length of a traffic window
+
+
+def visit_counts(marks: DataFrame) -> DataFrame:
+    """Adds the corrected ``is_new`` and ``uv_ct`` to the cells of ``page_marks``.
+
+    What is ordered per device here are its cells, not its logs.
+    """
+    device = Window.partitionBy("mid")
+    whole = device.orderBy("first_log").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.first("first_log").over(whole)
+    first_day = F.when(first["is_new"] == "1", _day_of(first["ts"])).otherwise(F.date_sub(_day_of(first["ts"]), 1))
+    day = _day_of("cell")
+    place = F.row_number().over(Window.partitionBy("mid", "day").orderBy(F.asc_nulls_last("first_start")))
+    late = (F.col("is_new") == "1") & (F.col("day") != F.col("first_day"))
+    return (
+        marks.withColumn("first_day", first_day).withColumn("day", day)
+        .withColumn("uv_ct", (F.col("first_start").isNotNull() & (place == 1)).cast("long"))
+        .withColumn("is_new", F.when(late, F.lit("0")).otherwise(F.col("is_new")))
+    )

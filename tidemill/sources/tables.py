@@ -21,7 +21,22 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df, LARGE[name]) if name in LARGE else df
+
+
+LARGE = {
+    "events": ["event_id"], "lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"], "documents": ["doc_id"],
+}
+
+
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Give every core work when a table comes in fewer files than there are cores.
+
+    A table of many files is read as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if len(df.inputFiles()) * 2 <= cores else df
 
 
 # ---- page log --------------------------------------------------------------------
@@ -118,7 +133,7 @@ def _text(c: Column | str) -> Column:
 
 
 def _map(values: dict[str, Column]) -> Column:
-    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("string"))]).cast(TEXT_MAP)
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("string"))])
 
 
 def _envelope(
