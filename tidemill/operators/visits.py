@@ -128,7 +128,7 @@ def visit_counts(marks: DataFrame) -> DataFrame:
     What is ordered per device here are its cells, not its logs.
     """
     device = Window.partitionBy("mid")
-    whole = device.orderBy("first_log").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = device.orderBy("first_log").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first("first_log").over(whole)
     first_day = F.when(first["is_new"] == "1", _day_of(first["ts"])).otherwise(F.date_sub(_day_of(first["ts"]), 1))
     day = _day_of("cell")

@@ -31,9 +31,9 @@ def order_details(log: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
     return rows.withColumnRenamed("create_time", "order_create_time")
 
 
-def order_infos(log: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
+def order_infos(log: DataFrame, database: str | None = SHOP_DB, *extra: str) -> DataFrame:
     keys = {"id": "id", **{k: k for k in ORDER_INFO_KEYS}}
-    return pick_change(log, "order_info", ["insert", "update"], keys, "type", "old", database=database)
+    return pick_change(log, "order_info", ["insert", "update"], keys, "type", "old", *extra, database=database)
 
 
 def order_activities(log: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
@@ -136,6 +136,10 @@ def order_refund(log: DataFrame, dic: DataFrame) -> DataFrame:
     codes = small_side(dic.select("dic_code", "dic_name"))
     orders = keep_last(refunded_orders(log), ["order_id"], "ts", ("province_id",)).drop("ts")
     joined = refunds(log).join(orders, "order_id", "left")
+    return name_refunds(joined, codes)
+
+
+def name_refunds(joined: DataFrame, codes: DataFrame) -> DataFrame:
     joined = lookup_join(joined, codes, "refund_type", "refund_type_name", "left", checked=True)
     joined = lookup_join(joined, codes, "refund_reason_type", "refund_reason_type_name", "left", checked=True)
     return joined.select(

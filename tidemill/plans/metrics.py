@@ -1,8 +1,11 @@
-"""Tumbling-window metrics, batch form.
+"""Tumbling-window metrics.
 
-Each function takes detail rows and returns one row per window (and key) with ``stt`` and ``edt``.
-Counting is partial before every shuffle. Rules that need a key's history run on rows already
-reduced to one per key and window or day.
+Each ``*_window`` function takes detail rows and returns one row per window (and key) with ``stt``
+and ``edt``. Counting is partial before every shuffle. Rules that need a key's history run on rows
+already reduced to one per key and window or day.
+
+The ``*_counts`` functions are the part after the history rules. They and ``per_window`` carry the
+watermark and work on tables and streams alike (on a table the watermark has no effect).
 """
 
 from __future__ import annotations
@@ -23,15 +26,20 @@ from tidemill.operators.lookups import dim_join, with_sku
 from tidemill.operators.visits import page_marks, visit_counts
 
 TRAFFIC_KEYS = ["ar", "ch", "is_new", "vc"]
-SIZE, TRAFFIC_SIZE = "10 seconds", "5 seconds"  # fixed values: window lengths
+# fixed values: window lengths, and how late rows may come
+SIZE, TRAFFIC_SIZE = "10 seconds", "5 seconds"
+DELAY, REFUND_DELAY, TRAFFIC_DELAY = "2 seconds", "10 seconds", "13 seconds"
 
 # among versions of one order detail with equal time the greatest of these wins
 DETAIL_TIES = ("split_original_amount", "sku_id", "split_total_amount", "source_id")
 
 
-def per_window(df: DataFrame, time: Column, size: str, keys: Sequence[str], *measures: Column) -> DataFrame:
-    """Group by tumbling window and keys."""
-    grouped = df.groupBy(tumble(time, size).alias("window"), *keys).agg(*measures)
+def per_window(
+    df: DataFrame, time: Column, size: str, keys: Sequence[str], *measures: Column, delay: str = DELAY
+) -> DataFrame:
+    """Group by tumbling window and keys; rows later than the watermark are left out of a stream."""
+    timed = df.withColumn("_time", time).withWatermark("_time", delay)
+    grouped = timed.groupBy(tumble("_time", size).alias("window"), *keys).agg(*measures)
     names = [c for c in grouped.columns if c != "window"]
     return grouped.select(*window_text("window"), *names)
 
@@ -60,7 +68,7 @@ def traffic_union(page: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame:
 def traffic_window(page: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame:
     return per_window(
         traffic_union(page, uv, uj), millis_to_time("ts"), TRAFFIC_SIZE, TRAFFIC_KEYS,
-        total("uv_ct"), total("sv_ct"), total("pv_ct"), total("dur_sum"), total("uj_ct"),
+        total("uv_ct"), total("sv_ct"), total("pv_ct"), total("dur_sum"), total("uj_ct"), delay=TRAFFIC_DELAY,
     )
 
 
@@ -85,6 +93,10 @@ def home_detail_uv_window(page: DataFrame) -> DataFrame:
         millis_to_time("ts").alias("time"),
     )
     firsts = seen.groupBy("who.mid", "who.page_id", F.to_date("time").alias("day")).agg(F.min("time").alias("first_time"))
+    return home_detail_counts(firsts)
+
+
+def home_detail_counts(firsts: DataFrame) -> DataFrame:
     is_home = (F.col("page_id") == "home").cast("long")
     return per_window(
         firsts, F.col("first_time"), SIZE, [],
@@ -108,7 +120,10 @@ def kw_window(page: DataFrame, splitter=None) -> DataFrame:
 
 def login_window(page: DataFrame) -> DataFrame:
     """First logins of the day, and how many of them come back after a long pause."""
-    logins = returning(filter_login(page), F.col("common.uid"), millis_to_time("ts"))
+    return login_counts(returning(filter_login(page), F.col("common.uid"), millis_to_time("ts")))
+
+
+def login_counts(logins: DataFrame) -> DataFrame:
     return per_window(
         logins, F.col("first_time"), SIZE, [], total("is_back", "back_ct"), F.count("*").alias("uu_ct")
     )
@@ -122,7 +137,10 @@ def register_window(registered: DataFrame) -> DataFrame:
 def cart_uu_window(cart: DataFrame) -> DataFrame:
     """Users whose first cart addition of the day lies in the window."""
     when = text_time(F.coalesce("operate_time", "create_time"))
-    firsts = day_firsts(cart, F.col("user_id"), when)
+    return cart_counts(day_firsts(cart, F.col("user_id"), when))
+
+
+def cart_counts(firsts: DataFrame) -> DataFrame:
     return per_window(firsts, F.col("first_time"), SIZE, [], F.count("*").alias("cart_add_uu_ct"))
 
 
@@ -133,10 +151,17 @@ def latest_details(wide: DataFrame) -> DataFrame:
     return keep_last(keep_insert(wide), ["order_detail_id"], "ts", DETAIL_TIES)
 
 
-def _or_zero(name: str) -> Column:
+def or_zero(name: str) -> Column:
     return F.coalesce(money(name), F.lit(0).cast("decimal(16,2)"))
 
 
+ORDER_AMOUNTS = {
+    "order_activity_reduce_amount": "activity_reduce_amount",
+    "order_coupon_reduce_amount": "coupon_reduce_amount",
+    "order_original_total_amount": "original_total_amount",
+}
+
+
 def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
     """Ordering users of the day, first-time users, and summed order amounts.
 
@@ -146,31 +171,31 @@ def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
     A user's orders are first summed per window. That keeps the per-user step, which looks at the
     previous window to tell a first order of the day, down to one row per user and window.
     """
-    amounts = {
-        "order_activity_reduce_amount": _or_zero("activity_reduce_amount"),
-        "order_coupon_reduce_amount": _or_zero("coupon_reduce_amount"),
-        "order_original_total_amount": _or_zero("original_total_amount"),
-    }
     rows = latest_details(wide).select(
         "user_id", "order_id", text_time("order_create_time").alias("time"),
-        *[c.alias(n) for n, c in amounts.items()],
+        *[or_zero(c).alias(n) for n, c in ORDER_AMOUNTS.items()],
     )
     window = tumble("time", SIZE).alias("window")
     if per_order:
-        rows = rows.groupBy("user_id", "order_id", window).agg(*[F.max(n).alias(n) for n in amounts])
+        rows = rows.groupBy("user_id", "order_id", window).agg(*[F.max(n).alias(n) for n in ORDER_AMOUNTS])
         window = F.col("window")
-    users = rows.groupBy("user_id", window).agg(*[total(n) for n in amounts])
+    users = rows.groupBy("user_id", window).agg(*[total(n) for n in ORDER_AMOUNTS])
     day = F.to_date("window.start")
     before = F.lag(day).over(Window.partitionBy("user_id").orderBy("window.start"))
     marked = users.withColumn("prev", before).withColumns({
         "is_unique": (F.col("prev").isNull() | (F.col("prev") != day)).cast("long"),
         "is_new": F.col("prev").isNull().cast("long"),
+        "time": F.col("window.start"),
     })
-    summed = marked.groupBy("window").agg(
+    return order_counts(marked)
+
+
+def order_counts(marked: DataFrame) -> DataFrame:
+    return per_window(
+        marked, F.col("time"), SIZE, [],
         total("is_unique", "order_unique_user_count"), total("is_new", "order_new_user_count"),
-        *[F.sum(n).cast("double").alias(n) for n in amounts],
+        *[F.sum(n).cast("double").alias(n) for n in ORDER_AMOUNTS],
     )
-    return summed.select(*window_text("window"), *summed.columns[1:])
 
 
 def payment_window(paid: DataFrame) -> DataFrame:
@@ -179,21 +204,39 @@ def payment_window(paid: DataFrame) -> DataFrame:
         paid.select("order_detail_id", "user_id", "callback_time"),
         ["order_detail_id"], "callback_time", ("user_id",),
     )
-    payers = first_of_day_and_ever(once, F.col("user_id"), text_time("callback_time"))
+    return payment_counts(first_of_day_and_ever(once, F.col("user_id"), text_time("callback_time")))
+
+
+def payment_counts(payers: DataFrame) -> DataFrame:
     return per_window(
         payers, F.col("first_time"), SIZE, [],
         F.count("*").alias("payment_suc_unique_user_count"), total("is_new", "payment_suc_new_user_count"),
     )
 
 
+def order_totals(details: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct orders and their amount per window and keys.
+
+    Details are summed per order first, then orders are counted: exact on a stream too, and one
+    busy key is spread over its orders.
+    """
+    timed = details.withColumn("_time", text_time("order_create_time")).withWatermark("_time", DELAY)
+    orders = timed.groupBy(tumble("_time", SIZE).alias("window"), *keys, "order_id").agg(
+        F.sum(money("split_total_amount")).alias("amount")
+    )
+    summed = orders.groupBy(F.window("window", SIZE).alias("window"), *keys).agg(
+        F.count("order_id").alias("order_count"), F.sum("amount").cast("double").alias("order_amount")
+    )
+    return summed.select(*window_text("window"), *keys, "order_count", "order_amount")
+
+
 def province_window(wide: DataFrame, province: DataFrame) -> DataFrame:
     """Orders and amount per province; the name is looked up after the sums."""
-    summed = per_window(
-        latest_details(wide), text_time("order_create_time"), SIZE, ["province_id"],
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum(money("split_total_amount")).cast("double").alias("order_amount"),
-    )
-    named = dim_join(summed, province, "province_id", {"name": "province_name"})
+    return province_counts(latest_details(wide), province)
+
+
+def province_counts(details: DataFrame, province: DataFrame) -> DataFrame:
+    named = dim_join(order_totals(details, ["province_id"]), province, "province_id", {"name": "province_name"})
     return named.select("stt", "edt", "province_id", "province_name", "order_count", "order_amount")
 
 
@@ -205,12 +248,11 @@ SPU_KEYS = [
 
 def spu_order_window(wide: DataFrame, sku_dim: DataFrame) -> DataFrame:
     """Orders and amount per user, category path, spu and trademark."""
-    rows = with_sku(latest_details(wide), sku_dim, [k for k in SPU_KEYS if k != "user_id"])
-    return per_window(
-        rows, text_time("order_create_time"), SIZE, SPU_KEYS,
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum(money("split_total_amount")).cast("double").alias("order_amount"),
-    )
+    return spu_counts(latest_details(wide), sku_dim)
+
+
+def spu_counts(details: DataFrame, sku_dim: DataFrame) -> DataFrame:
+    return order_totals(with_sku(details, sku_dim, [k for k in SPU_KEYS if k != "user_id"]), SPU_KEYS)
 
 
 REFUND_DIMS = [
@@ -222,19 +264,27 @@ REFUND_DIMS = [
 def refund_window(refund: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
     """Refund requests per trademark and category path, at sku or user grain.
 
-    Requests are counted per sku (and user) first; the dimension is joined to the counts.
+    At sku grain the dimension is joined to the counts, not to the requests.
     """
-    if grain not in ("sku", "user"):
-        raise ValueError("grain is 'sku' or 'user'")
     once = keep_first(
         refund.select("id", "user_id", "sku_id", "create_time"), ["id"], "create_time", ("sku_id", "user_id")
     )
-    keys = ["sku_id"] if grain == "sku" else ["user_id", "sku_id"]
-    counted = per_window(once, text_time("create_time"), SIZE, keys, F.count("*").alias("refund_count"))
-    named = with_sku(counted, sku_dim, REFUND_DIMS)
-    if grain == "sku":
-        return named.select("stt", "edt", "sku_id", *REFUND_DIMS, "refund_count")
-    return named.groupBy("stt", "edt", "user_id", *REFUND_DIMS).agg(total("refund_count"))
+    return refund_counts(once, sku_dim, grain)
+
+
+def refund_counts(once: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
+    if grain not in ("sku", "user"):
+        raise ValueError("grain is 'sku' or 'user'")
+    if grain == "user":
+        named = with_sku(once, sku_dim, REFUND_DIMS)
+        keys = ["user_id", *REFUND_DIMS]
+        return per_window(
+            named, text_time("create_time"), SIZE, keys, F.count("*").alias("refund_count"), delay=REFUND_DELAY
+        )
+    counted = per_window(
+        once, text_time("create_time"), SIZE, ["sku_id"], F.count("*").alias("refund_count"), delay=REFUND_DELAY
+    )
+    return with_sku(counted, sku_dim, REFUND_DIMS).select("stt", "edt", "sku_id", *REFUND_DIMS, "refund_count")
 
 
 # ---- text ------------------------------------------------------------------------
