@@ -35,11 +35,16 @@ DETAIL_TIES = ("split_original_amount", "sku_id", "split_total_amount", "source_
 
 
 def per_window(
-    df: DataFrame, time: Column, size: str, keys: Sequence[str], *measures: Column, delay: str = DELAY
+    df: DataFrame, time: Column, size: str, keys: Sequence[str], *measures: Column,
+    delay: str | None = DELAY,
 ) -> DataFrame:
-    """Group by tumbling window and keys; rows later than the watermark are left out of a stream."""
-    timed = df.withColumn("_time", time).withWatermark("_time", delay)
-    grouped = timed.groupBy(tumble("_time", size).alias("window"), *keys).agg(*measures)
+    """Group by tumbling window and keys; rows later than the watermark are left out of a stream.
+
+    ``delay`` None: the time column has its watermark already.
+    """
+    if delay:
+        df, time = df.withColumn("_time", time).withWatermark("_time", delay), F.col("_time")
+    grouped = df.groupBy(tumble(time, size).alias("window"), *keys).agg(*measures)
     names = [c for c in grouped.columns if c != "window"]
     return grouped.select(*window_text("window"), *names)
 
@@ -96,11 +101,11 @@ def home_detail_uv_window(page: DataFrame) -> DataFrame:
     return home_detail_counts(firsts)
 
 
-def home_detail_counts(firsts: DataFrame) -> DataFrame:
+def home_detail_counts(firsts: DataFrame, delay: str | None = DELAY) -> DataFrame:
     is_home = (F.col("page_id") == "home").cast("long")
     return per_window(
         firsts, F.col("first_time"), SIZE, [],
-        F.sum(is_home).alias("home_uv_ct"), F.sum(1 - is_home).alias("good_detail_uv_ct"),
+        F.sum(is_home).alias("home_uv_ct"), F.sum(1 - is_home).alias("good_detail_uv_ct"), delay=delay,
     )
 
 
@@ -123,9 +128,9 @@ def login_window(page: DataFrame) -> DataFrame:
     return login_counts(returning(filter_login(page), F.col("common.uid"), millis_to_time("ts")))
 
 
-def login_counts(logins: DataFrame) -> DataFrame:
+def login_counts(logins: DataFrame, delay: str | None = DELAY) -> DataFrame:
     return per_window(
-        logins, F.col("first_time"), SIZE, [], total("is_back", "back_ct"), F.count("*").alias("uu_ct")
+        logins, F.col("first_time"), SIZE, [], total("is_back", "back_ct"), F.count("*").alias("uu_ct"), delay=delay
     )
 
 
@@ -140,8 +145,8 @@ def cart_uu_window(cart: DataFrame) -> DataFrame:
     return cart_counts(day_firsts(cart, F.col("user_id"), when))
 
 
-def cart_counts(firsts: DataFrame) -> DataFrame:
-    return per_window(firsts, F.col("first_time"), SIZE, [], F.count("*").alias("cart_add_uu_ct"))
+def cart_counts(firsts: DataFrame, delay: str | None = DELAY) -> DataFrame:
+    return per_window(firsts, F.col("first_time"), SIZE, [], F.count("*").alias("cart_add_uu_ct"), delay=delay)
 
 
 # ---- trade -----------------------------------------------------------------------
@@ -190,11 +195,12 @@ def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
     return order_counts(marked)
 
 
-def order_counts(marked: DataFrame) -> DataFrame:
+def order_counts(marked: DataFrame, delay: str | None = DELAY) -> DataFrame:
     return per_window(
         marked, F.col("time"), SIZE, [],
         total("is_unique", "order_unique_user_count"), total("is_new", "order_new_user_count"),
         *[F.sum(n).cast("double").alias(n) for n in ORDER_AMOUNTS],
+        delay=delay,
     )
 
 
@@ -207,10 +213,11 @@ def payment_window(paid: DataFrame) -> DataFrame:
     return payment_counts(first_of_day_and_ever(once, F.col("user_id"), text_time("callback_time")))
 
 
-def payment_counts(payers: DataFrame) -> DataFrame:
+def payment_counts(payers: DataFrame, delay: str | None = DELAY) -> DataFrame:
     return per_window(
         payers, F.col("first_time"), SIZE, [],
         F.count("*").alias("payment_suc_unique_user_count"), total("is_new", "payment_suc_new_user_count"),
+        delay=delay,
     )
 
 
@@ -272,18 +279,17 @@ def refund_window(refund: DataFrame, sku_dim: DataFrame, grain: str = "sku") ->
     return refund_counts(once, sku_dim, grain)
 
 
-def refund_counts(once: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
+def refund_counts(
+    once: DataFrame, sku_dim: DataFrame, grain: str = "sku", time: Column | None = None, delay: str | None = REFUND_DELAY
+) -> DataFrame:
     if grain not in ("sku", "user"):
         raise ValueError("grain is 'sku' or 'user'")
+    time = text_time("create_time") if time is None else time
+    n = F.count("*").alias("refund_count")
     if grain == "user":
         named = with_sku(once, sku_dim, REFUND_DIMS)
-        keys = ["user_id", *REFUND_DIMS]
-        return per_window(
-            named, text_time("create_time"), SIZE, keys, F.count("*").alias("refund_count"), delay=REFUND_DELAY
-        )
-    counted = per_window(
-        once, text_time("create_time"), SIZE, ["sku_id"], F.count("*").alias("refund_count"), delay=REFUND_DELAY
-    )
+        return per_window(named, time, SIZE, ["user_id", *REFUND_DIMS], n, delay=delay)
+    counted = per_window(once, time, SIZE, ["sku_id"], n, delay=delay)
     return with_sku(counted, sku_dim, REFUND_DIMS).select("stt", "edt", "sku_id", *REFUND_DIMS, "refund_count")
 
 

@@ -53,16 +53,24 @@ def base_log(records: DataFrame) -> DataFrame:
 
 def day_firsts(
     df: DataFrame, key: Column, ms: Column, carry: Column, carry_type: str, offset: Column | None = None,
-    ttl_ms: int | None = None, pass_rows: bool = False,
+    forget_ms: int | None = None, pass_rows: bool = False, delay: str | None = DELAY,
 ) -> DataFrame:
-    """Day-first rows per key: ``key, day, ts, prev_day, is_first, carry``."""
+    """Day-first rows per key: ``key, day, time, prev_day, is_first, carry``.
+
+    ``time`` keeps the watermark, so a window can follow. With ``delay`` None the input brings
+    its watermark along in a column ``_rt``.
+    """
+    time = millis_to_time(ms) if delay else F.col("_rt")
     keyed = df.select(
-        key.cast("string").alias("key"), ms.alias("ts"), (F.lit(0) if offset is None else offset).cast("long").alias("offset"),
+        key.cast("string").alias("key"), time.alias("time"), ms.alias("ts"),
+        (F.lit(0) if offset is None else offset).cast("long").alias("offset"),
         millis_to_day(ms).alias("day"), carry.alias("carry"),
     )
-    out = f"key string, day string, ts long, prev_day string, is_first long, carry {carry_type}"
+    if delay:
+        keyed = keyed.withWatermark("time", delay)
+    out = f"key string, day string, time timestamp, prev_day string, is_first long, carry {carry_type}"
     return keyed.groupBy("key").transformWithState(
-        DayFirst(ttl_ms, pass_rows), out, OUT, CLOCK if ttl_ms else NO_TIME
+        DayFirst(forget_ms, pass_rows), out, OUT, EVENT, eventTimeColumnName="time"
     )
 
 
@@ -74,7 +82,7 @@ def unique_visitor(records: DataFrame) -> DataFrame:
     """Page records to the first session start per device and day, as topic text."""
     starts = filter_session_start(parse_page_log(records, carry=("offset",)))
     firsts = day_firsts(
-        starts, F.col("common.mid"), F.col("ts"), _page_text(starts), "string", F.col("offset"), ttl_ms=DAY_MS
+        starts, F.col("common.mid"), F.col("ts"), _page_text(starts), "string", F.col("offset"), forget_ms=DAY_MS
     )
     return firsts.select(F.col("carry").alias("value"))
 
@@ -106,9 +114,11 @@ def home_detail_uv_window(records: DataFrame) -> DataFrame:
     page = filter_home_detail(parse_page_log(records, carry=("offset",)))
     key = F.concat_ws("\u0001", "common.mid", "page.page_id")
     firsts = day_firsts(
-        page, key, F.col("ts"), F.col("page.page_id"), "string", F.col("offset"), ttl_ms=DAY_MS
+        page, key, F.col("ts"), F.col("page.page_id"), "string", F.col("offset"), forget_ms=DAY_MS
+    )
+    return metrics.home_detail_counts(
+        firsts.select(F.col("carry").alias("page_id"), F.col("time").alias("first_time")), delay=None
     )
-    return metrics.home_detail_counts(firsts.select(F.col("carry").alias("page_id"), millis_to_time("ts").alias("first_time")))
 
 
 def login_window(records: DataFrame) -> DataFrame:
@@ -116,7 +126,7 @@ def login_window(records: DataFrame) -> DataFrame:
     firsts = day_firsts(page, F.col("common.uid"), F.col("ts"), F.lit(""), "string", F.col("offset"))
     gap = F.datediff(F.to_date("day"), F.to_date("prev_day"))
     back = F.coalesce(gap >= RETURN_DAYS, F.lit(False)).cast("long")
-    return metrics.login_counts(firsts.select(back.alias("is_back"), millis_to_time("ts").alias("first_time")))
+    return metrics.login_counts(firsts.select(back.alias("is_back"), F.col("time").alias("first_time")), delay=None)
 
 
 # ---- windows over trade ----------------------------------------------------------------
@@ -124,8 +134,8 @@ def login_window(records: DataFrame) -> DataFrame:
 def cart_uu_window(cart: DataFrame) -> DataFrame:
     """Cart facts (columns) to users adding first in the day."""
     ms = F.unix_millis(text_time(F.coalesce("operate_time", "create_time")))
-    firsts = day_firsts(cart, F.col("user_id"), ms, F.lit(""), "string", ttl_ms=DAY_MS)
-    return metrics.cart_counts(firsts.select(millis_to_time("ts").alias("first_time")))
+    firsts = day_firsts(cart, F.col("user_id"), ms, F.lit(""), "string", forget_ms=DAY_MS)
+    return metrics.cart_counts(firsts.select(F.col("time").alias("first_time")), delay=None)
 
 
 def latest_details(records: DataFrame) -> DataFrame:
@@ -153,11 +163,11 @@ def order_window(details: DataFrame) -> DataFrame:
     rows = day_firsts(details, F.col("user_id"), ms, carry, kind, pass_rows=True)
     first = F.col("is_first") == 1
     return metrics.order_counts(rows.select(
-        millis_to_time("ts").alias("time"),
+        "time",
         F.col("is_first").alias("is_unique"),
         (first & F.col("prev_day").isNull()).cast("long").alias("is_new"),
         *[F.when(~first, F.col(f"carry.{n}")).alias(n) for n in metrics.ORDER_AMOUNTS],
-    ))
+    ), delay=None)
 
 
 def first_within(df: DataFrame, keys: list[str], time: Column, delay: str = "5 seconds") -> DataFrame:
@@ -168,12 +178,12 @@ def first_within(df: DataFrame, keys: list[str], time: Column, delay: str = "5 s
 
 def payment_window(paid: DataFrame) -> DataFrame:
     """Payment facts to paying users."""
-    once = first_within(paid, ["order_detail_id"], text_time("callback_time")).drop("_rt")
+    once = first_within(paid, ["order_detail_id"], text_time("callback_time"))
     ms = F.unix_millis(text_time("callback_time"))
-    firsts = day_firsts(once, F.col("user_id"), ms, F.lit(""), "string")
+    firsts = day_firsts(once, F.col("user_id"), ms, F.lit(""), "string", delay=None)
     return metrics.payment_counts(firsts.select(
-        F.col("prev_day").isNull().cast("long").alias("is_new"), millis_to_time("ts").alias("first_time")
-    ))
+        F.col("prev_day").isNull().cast("long").alias("is_new"), F.col("time").alias("first_time")
+    ), delay=None)
 
 
 def province_window(details: DataFrame, province: DataFrame) -> DataFrame:
@@ -186,7 +196,7 @@ def spu_order_window(details: DataFrame, sku_dim: DataFrame) -> DataFrame:
 
 def refund_window(refund: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
     once = first_within(refund, ["id"], text_time("create_time"), REFUND_DELAY)
-    return metrics.refund_counts(once.drop("_rt"), sku_dim, grain)
+    return metrics.refund_counts(once, sku_dim, grain, F.col("_rt"), delay=None)
 
 
 # ---- joins of change streams --------------------------------------------------------

@@ -41,34 +41,45 @@ class FirstDay(StatefulProcessor):
 class DayFirst(StatefulProcessor):
     """The first row of each key and day, with the key's previous active day.
 
-    Input: ``ts, offset, day, carry``. Output: ``key, day, ts, prev_day, is_first, carry``. Days at
-    or before the last seen one give nothing. With ``pass_rows`` every input row is passed on as
-    well, with ``is_first`` 0.
+    Input: ``time, offset, day, carry``. Output: ``key, day, time, prev_day, is_first, carry``. Days
+    at or before the last seen one give nothing. With ``pass_rows`` every input row is passed on as
+    well, with ``is_first`` 0. With ``forget_ms`` a key is forgotten that long (in event time)
+    after its last first row; such jobs do not use ``prev_day``.
     """
 
-    def __init__(self, ttl_ms: int | None = None, pass_rows: bool = False):
-        self._ttl_ms, self._pass_rows = ttl_ms, pass_rows
+    def __init__(self, forget_ms: int | None = None, pass_rows: bool = False):
+        self._forget, self._pass_rows = forget_ms, pass_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_day", "day string", self._ttl_ms)
+        self._handle = handle
+        self._last = handle.getValueState("last_day", "day string, until long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         firsts = {}
         for r in rows:
             held = firsts.get(r.day)
-            if held is None or (r.ts, r.offset) < (held.ts, held.offset):
+            if held is None or (r.time, r.offset) < (held.time, held.offset):
                 firsts[r.day] = r
             if self._pass_rows:
-                yield Row(key=key[0], day=r.day, ts=r.ts, prev_day=None, is_first=0, carry=r.carry)
+                yield Row(key=key[0], day=r.day, time=r.time, prev_day=None, is_first=0, carry=r.carry)
         prev = self._last.get()[0] if self._last.exists() else None
         for day in sorted(firsts):
             if prev is not None and day <= prev:
                 continue
             r = firsts[day]
-            yield Row(key=key[0], day=day, ts=r.ts, prev_day=prev, is_first=1, carry=r.carry)
-            self._last.update((day,))
+            yield Row(key=key[0], day=day, time=r.time, prev_day=prev, is_first=1, carry=r.carry)
+            until = 0
+            if self._forget:
+                until = r.ts + self._forget
+                self._handle.registerTimer(until)
+            self._last.update((day, until))
             prev = day
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self._last.exists() and self._last.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self._last.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
