@@ -187,17 +187,17 @@ def prune_map_columns(t):
 
 @query
 def filter_home_detail(t):
-    return clean.filter_home_detail(src.page_log(t)).select(*page_cols())
+    return clean.filter_home_detail(src.page_log(t, items=False)).select(*page_cols())
 
 
 @query
 def filter_session_start(t):
-    return clean.filter_session_start(src.page_log(t)).select(*page_cols())
+    return clean.filter_session_start(src.page_log(t, items=False)).select(*page_cols())
 
 
 @query
 def filter_login(t):
-    return clean.filter_login(src.page_log(t)).select(*page_cols(), F.col("common.uid").alias("uid"))
+    return clean.filter_login(src.page_log(t, items=False)).select(*page_cols(), F.col("common.uid").alias("uid"))
 
 
 @query
@@ -287,17 +287,17 @@ def dim_route(t):
 
 @query
 def fix_is_new(t):
-    return visits.fix_is_new(src.page_log(t)).select(*page_cols(), F.col("common.is_new").alias("is_new"))
+    return visits.fix_is_new(src.page_log(t, items=False)).select(*page_cols(), F.col("common.is_new").alias("is_new"))
 
 
 @query
 def unique_visitor(t):
-    return visits.unique_visitor(src.page_log(t)).select(*page_cols())
+    return visits.unique_visitor(src.page_log(t, items=False)).select(*page_cols())
 
 
 @query
 def user_jump(t):
-    return visits.user_jump(src.page_log(t, fast=True)).select(*page_cols())
+    return visits.user_jump(src.page_log(t, fast=True, items=False)).select(*page_cols())
 
 
 @query
@@ -382,12 +382,12 @@ def traffic_window_from_streams(t):
 
 @query
 def home_detail_uv_window(t):
-    return metrics.home_detail_uv_window(src.page_log(t))
+    return metrics.home_detail_uv_window(src.page_log(t, items=False))
 
 
 @query
 def login_window(t):
-    return metrics.login_window(src.page_log(t))
+    return metrics.login_window(src.page_log(t, items=False))
 
 
 @query
@@ -445,18 +445,18 @@ def _day_text(rows: DataFrame) -> DataFrame:
 
 @query
 def first_of_day(t):
-    rows = clean.filter_home_detail(src.page_log(t))
+    rows = clean.filter_home_detail(src.page_log(t, items=False))
     return _day_text(firsts.day_firsts(rows, F.col("common.mid"), tm.millis_to_time("ts")))
 
 
 @query
 def first_of_day_and_ever(t):
-    return _day_text(firsts.first_of_day_and_ever(src.page_log(t), F.col("common.uid"), tm.millis_to_time("ts")))
+    return _day_text(firsts.first_of_day_and_ever(src.page_log(t, items=False), F.col("common.uid"), tm.millis_to_time("ts")))
 
 
 @query
 def returning_user(t):
-    logins = clean.filter_login(src.page_log(t))
+    logins = clean.filter_login(src.page_log(t, items=False))
     return _day_text(firsts.returning(logins, F.col("common.uid"), tm.millis_to_time("ts")))
 
 
@@ -483,7 +483,7 @@ def dedup_keep_first_sliding(t):
 
 @query
 def union_streams(t):
-    page = src.page_log(t, fast=True)
+    page = src.page_log(t, fast=True, items=False)
     return metrics.traffic_union(page, visits.unique_visitor(page), visits.user_jump(page))
 
 
@@ -491,7 +491,7 @@ def union_streams(t):
 
 @query
 def time_functions(t):
-    page = src.page_log(t).select(F.col("offset").alias("event_id"), "ts")
+    page = src.page_log(t, items=False).select(F.col("offset").alias("event_id"), "ts")
     text = page.withColumn("full", tm.millis_to_text("ts")).withColumn("day", tm.millis_to_day("ts"))
     return text.select(
         "event_id", "full", "day", tm.to_millis("full").alias("full_ms"), tm.to_millis("day", False).alias("day_ms"),
@@ -503,7 +503,7 @@ def time_functions(t):
 @query
 def compare_zulu(t):
     """Time texts with one to three fraction digits, compared with their three-digit neighbours."""
-    page = src.page_log(t).select(F.col("offset").alias("event_id"), "ts")
+    page = src.page_log(t, items=False).select(F.col("offset").alias("event_id"), "ts")
     full = F.concat(tm.millis_to_text("ts"), F.lit("."), F.lpad((F.col("ts") % 1000).cast("string"), 3, "0"))
     cut = F.expr("substring(t, 1, 21 + cast(event_id % 3 as int))")
     return page.withColumn("t", full).select(

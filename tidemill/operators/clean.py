@@ -40,9 +40,10 @@ def parse_json_or_dirty(
     return clean_rows(parsed, schema, carry), dirty_records(parsed, value)
 
 
-def is_control() -> Column:
+def is_control(kind: Column | str = "type") -> Column:
     # a record without a type cannot be judged and counts as dirty too
-    return F.col("type").isNull() | F.col("type").isin(*CONTROL_TYPES)
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    return kind.isNull() | kind.isin(*CONTROL_TYPES)
 
 
 def drop_control_rows(envelope: DataFrame) -> DataFrame:

@@ -19,10 +19,6 @@ def dim_route(changes: DataFrame, config: DataFrame) -> DataFrame:
     pk = F.when(F.coalesce("sink_pk", F.lit("")) == "", "id").otherwise(F.col("sink_pk"))
     return routed.select(
         "sink_table", "type", "ts",
-        F.col("data").getItem(pk).alias("pk"),
+        F.try_element_at("data", pk).alias("pk"),
         prune_map("data", "sink_columns").alias("data"),
     )
-
-
-def split_dirty(parsed: DataFrame) -> DataFrame:
-    return parsed.where("dirty")

@@ -51,6 +51,4 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the setting is absent (tests on one machine) a temporary folder is used.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    configured = configured or spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="tidemill-")
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemill-")

@@ -72,6 +72,9 @@ def read_upsert(spark: SparkSession, path: str, keys: Sequence[str], order: Sequ
 
 # ---- dimensions ------------------------------------------------------------------
 
+DIM_EXTRA = [T.StructField("_ts", T.LongType()), T.StructField("_pk", T.StringType())]
+
+
 def dim_schema(sink_columns: str) -> T.StructType:
     return T.StructType([T.StructField(c.strip(), T.StringType()) for c in sink_columns.split(",")])
 
@@ -86,10 +89,7 @@ def ensure_dim_table(spark: SparkSession, root: str, config: dict[str, str]) ->
     """Create the all-text table of a routing row unless it is there; returns its folder."""
     path = f"{root}/{config['sink_table']}"
     if not _exists(spark, path):
-        fields = dim_schema(config["sink_columns"]).fields + [
-            T.StructField("_ts", T.LongType()), T.StructField("_pk", T.StringType())
-        ]
-        empty = spark.createDataFrame([], T.StructType(fields))
+        empty = spark.createDataFrame([], T.StructType(dim_schema(config["sink_columns"]).fields + DIM_EXTRA))
         empty.write.parquet(f"{path}/{BATCH}=-1")
     return path
 
@@ -129,10 +129,11 @@ def merge_dim(existing: DataFrame, changes: DataFrame, key: str, ts: str, ties:
     return existing.join(latest.select(key), key, "left_anti").unionByName(latest)
 
 
-def read_dim(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The current rows of one dimension table."""
-    parts = spark.read.parquet(f"{root}/{table}")
-    return upsert_view(parts, ["_pk"], (BATCH, "_ts")).drop(BATCH, "_ts", "_pk")
+def read_dim(spark: SparkSession, root: str, config: dict[str, str]) -> DataFrame:
+    """The current rows of one dimension table, with the columns its routing row names now."""
+    cols = dim_schema(config["sink_columns"])
+    parts = spark.read.schema(T.StructType(cols.fields + DIM_EXTRA)).parquet(f"{root}/{config['sink_table']}")
+    return upsert_view(parts, ["_pk"], (BATCH, "_ts")).select(*cols.names)
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:

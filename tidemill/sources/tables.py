@@ -49,12 +49,15 @@ def _event_ms(fast: bool) -> Column:
     return F.floor(micros / F.lit(1000))
 
 
-def _event_rows(t: Tables, fast: bool) -> DataFrame:
+def _event_rows(t: Tables, fast: bool, items: bool) -> DataFrame:
     e = F.col("event_id")
-    items = t.part.select(F.col("p_partkey").alias("_part"), F.col("p_name").alias("_item"))
     last = F.when(e % 5 == 2, "search").when(e % 5 > 2, "home")
     searched = last == "search"
-    rows = t.events.join(items, e % 200 == F.col("_part"), "left")
+    if items:
+        parts = t.part.select(F.col("p_partkey").alias("_part"), F.col("p_name").alias("_item"))
+        rows = t.events.join(parts, e % 200 == F.col("_part"), "left")
+    else:
+        rows = t.events.withColumn("_item", F.lit(None).cast("string"))
     common = F.struct(
         F.concat(F.lit("m"), F.col("user_id")).alias("mid"),
         F.when(e % 3 != 0, F.col("user_id").cast("string")).alias("uid"),
@@ -81,9 +84,12 @@ def _event_rows(t: Tables, fast: bool) -> DataFrame:
     )
 
 
-def page_log(t: Tables, fast: bool = False) -> DataFrame:
-    """Every event as a page row; ``fast`` squeezes time a thousandfold for second-long windows."""
-    return _event_rows(t, fast).select("common", "page", "ts", "offset")
+def page_log(t: Tables, fast: bool = False, items: bool = True) -> DataFrame:
+    """Every event as a page row; ``fast`` squeezes time a thousandfold for second-long windows.
+
+    Only searches look at the items; without ``items`` they stay empty and `part` is not read.
+    """
+    return _event_rows(t, fast, items).select("common", "page", "ts", "offset")
 
 
 def raw_log(t: Tables, fast: bool = False) -> DataFrame:
@@ -93,7 +99,7 @@ def raw_log(t: Tables, fast: bool = False) -> DataFrame:
     three displays, clicks up to two actions. Offsets divisible by 97 are cut short, by 89 empty.
     """
     n = F.col("offset")
-    rows = _event_rows(t, fast)
+    rows = _event_rows(t, fast, True)
     is_start = n % 11 == 0
     element = lambda name, width: F.transform(
         F.sequence(F.lit(1), (n % width).cast("int")),
