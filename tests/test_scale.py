@@ -94,20 +94,63 @@ def hot_log(spark, n=60_000):
     )
 
 
+SPLIT_EARLY = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
+}
+
+
 def test_hot_device_is_split_in_the_join(spark, conf):
-    conf(**{
-        "spark__sql__autoBroadcastJoinThreshold": "-1",
-        "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
-        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
-        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.2",
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
-        "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
-    })
+    conf(**SPLIT_EARLY)
     fixed = visits.fix_is_new(hot_log(spark))
-    assert re.search(r"skew=true", final_plan(fixed))
+    assert "skew=true" in final_plan(fixed)
     assert fixed.count() == 60_000
-    firsts = fixed.where("common.mid = 'hot' and common.is_new = '1'").agg(F.max("ts")).first()[0]
-    assert firsts < 1_704_067_200_000 + 86_400_000
+    last_new = fixed.where("common.mid = 'hot' and common.is_new = '1'").agg(F.max("ts")).first()[0]
+    assert last_new < 1_704_067_200_000 + 86_400_000
+
+
+def hot_changes(spark, n=40_000):
+    """A third of all detail and refund records are of one order and detail."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, "hot").otherwise(i.cast("string"))
+    base = spark.range(0, n, 1, 8)
+
+    def rows(table, kind, ts, old=None, **data):
+        pairs = [x for k, v in data.items() for x in (F.lit(k), v.cast("string"))]
+        return base.select(
+            F.lit("shop").alias("database"), F.lit(table).alias("table"), F.lit(kind).alias("type"),
+            F.create_map(*pairs).cast("map<string,string>").alias("data"),
+            (F.create_map(*map(F.lit, old)) if old else F.lit(None)).cast("map<string,string>").alias("old"),
+            F.lit(ts).cast("long").alias("ts"),
+        )
+
+    parts = [
+        rows("order_detail", "insert", 1, id=key, order_id=key, sku_id=i, source_type=F.lit("A")),
+        rows("order_detail_activity", "insert", 1, id=i, order_detail_id=key, activity_id=key),
+        rows("order_detail_coupon", "insert", 1, id=i, order_detail_id=key, coupon_id=key),
+        rows("order_info", "insert", 1, id=key, user_id=key),
+        rows("order_info", "update", 2, ("order_status", "1001"), id=key, user_id=key, order_status=F.lit("1005"), province_id=key),
+        rows("order_refund_info", "insert", 1, id=i, order_id=key, sku_id=i, refund_type=F.lit("A")),
+    ]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole
+
+
+def test_hot_order_is_split_and_copies_do_not_multiply(spark, conf):
+    conf(**SPLIT_EARLY)
+    log, dic = hot_changes(spark), src.dictionary(spark)
+    wide = facts.order_detail_wide(log, dic).select("order_detail_id", "sku_id", "activity_id", "coupon_id", "user_id", "type")
+    assert final_plan(wide).count("skew=true") >= 2
+    assert wide.count() == 80_000 and wide.where("activity_id is null or coupon_id is null").count() == 0
+    refund = facts.order_refund(log, dic).select("id", "province_id", "refund_type_name")
+    assert "skew=true" in final_plan(refund)
+    assert refund.count() == 40_000
 
 
 def biggest_share(df, *keys) -> float:

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemill.operators.dedup import keep_last
-
 SMALL_ROWS = 100_000
 
 
@@ -65,11 +63,19 @@ def with_sku(df: DataFrame, sku_dim: DataFrame, columns: Sequence[str]) -> DataF
 def config_join(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the routing row of each change's table; tables without one are dropped.
 
-    One routing row per source table: a later one replaces an earlier one.
+    The routing table has one row per source table.
     """
     conf = small_side(config)
     return changes.join(conf, F.col("table") == F.col("source_table"), "inner")
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str] = ()) -> DataFrame:
-    return keep_last(df, keys, ts, ties)
+def reduced_join(df: DataFrame, one: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join a side that was just reduced to one row per key, keeping hot keys of ``df`` splittable.
+
+    The adaptive skew join only splits between two shuffles, but a side fresh from an aggregation or
+    ranking by the key is joined where it lies. Null-safe equality asks for a partitioning of its
+    own, so the reduced side, the smaller one, is shuffled once more and a hot key can be
+    split. Rows without a key match nothing.
+    """
+    side = one.where(F.col(key).isNotNull()).withColumnRenamed(key, "_one")
+    return df.join(side, F.col(key).eqNullSafe(F.col("_one")), how).drop("_one")

@@ -45,32 +45,40 @@ def explode_actions(log: DataFrame) -> DataFrame:
 def split_log(log: DataFrame) -> DataFrame:
     """``(topic, value)`` rows for the page, start, display, action and error topics.
 
-    Every log row is expanded where it stands: one scan, no shuffle, no cached batch. Written to a
-    topic sink the ``topic`` column routes each row; written to files it is the partition column.
+    Every log row is expanded where it stands: one scan, no shuffle, no cached batch. First the
+    topics of a row are listed (with the display or action element), then each is written as JSON.
+    Sent to a topic sink the ``topic`` column routes each row; in files it is the partition column.
+    Rows with a ``dirty_text`` (if there is such a column) go to the dirty topic as that text.
     """
-    common, page, ts = F.col("common"), F.col("page"), F.col("ts")
+    kind = "array<struct<topic: string, part: map<string, string>>>"
+    none = F.array().cast(kind)
+    no_part = F.lit(None).cast("map<string,string>")
 
-    def out(topic: str, value: Column) -> Column:
-        return F.struct(F.lit(TOPICS[topic]).alias("topic"), value.alias("value"))
+    def one(topic: str) -> Column:
+        return F.array(F.struct(F.lit(TOPICS[topic]).alias("topic"), no_part.alias("part"))).cast(kind)
 
-    def each(array: str, topic: str, name: str) -> Column:
-        some = F.coalesce(F.col(array), F.array().cast("array<map<string,string>>"))
-        return F.transform(
-            some, lambda x: out(topic, _json(**{name: x}, common=common, page=page, ts=ts))
-        )
-
-    def one_if(cond: Column, row: Column) -> Column:
-        return F.filter(F.array(F.when(cond, row)), lambda x: x.isNotNull())
+    def each(array: str, topic: str) -> Column:
+        parts = F.transform(array, lambda x: F.struct(F.lit(TOPICS[topic]).alias("topic"), x.alias("part")))
+        return F.coalesce(parts.cast(kind), none)
 
+    page_topics = F.concat(one("page"), each("displays", "display"), each("actions", "action"))
+    listed = F.concat(
+        F.when(F.col("err").isNotNull(), one("error")).otherwise(none),
+        F.when(is_start(), one("start")).otherwise(page_topics),
+    )
     full = ["common", "page", "start", "displays", "actions", "err", "ts"]
-    whole = _json(**{n: F.col(n) for n in full})
-    no_err = _json(**{n: F.col(n) for n in full if n != "err"})
-    error = one_if(F.col("err").isNotNull(), out("error", whole))
-    start = F.array(out("start", no_err))
-    page_rows = F.concat(
-        F.array(out("page", _json(common=common, page=page, ts=ts))),
-        each("displays", "display", "display"),
-        each("actions", "action", "action"),
+    dirty = F.col("dirty_text") if "dirty_text" in log.columns else F.lit(None).cast("string")
+    listed = F.when(dirty.isNotNull(), one("dirty")).otherwise(listed)
+    rows = log.select(*full, dirty.alias("dirty_text"), F.explode(listed).alias("out"))
+    rows = rows.select(*full, "dirty_text", "out.topic", "out.part")
+    common, page, ts, part = (F.col(c) for c in ("common", "page", "ts", "part"))
+    topic = F.col("topic")
+    value = (
+        F.when(topic == TOPICS["dirty"], F.col("dirty_text"))
+        .when(topic == TOPICS["page"], _json(common=common, page=page, ts=ts))
+        .when(topic == TOPICS["display"], _json(display=part, common=common, page=page, ts=ts))
+        .when(topic == TOPICS["action"], _json(action=part, common=common, page=page, ts=ts))
+        .when(topic == TOPICS["start"], _json(**{n: F.col(n) for n in full if n != "err"}))
+        .otherwise(_json(**{n: F.col(n) for n in full}))
     )
-    rows = F.concat(error, F.when(is_start(), start).otherwise(page_rows))
-    return log.select(F.explode(rows).alias("out")).select("out.topic", "out.value")
+    return rows.select("topic", value.alias("value"))

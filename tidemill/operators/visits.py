@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemill.functions.times import millis_to_time
 from tidemill.operators.clean import filter_session_start, session_start
 from tidemill.operators.firsts import first_rows_of_day
+from tidemill.operators.lookups import reduced_join
 
 JUMP_MS = 10_000          # fixed value: a session start alone for this long is a jump
 SLICE_MS = 300_000        # look-ahead slices; a divisor of every zone offset
@@ -23,7 +24,8 @@ def first_days(log: DataFrame, order: str = "offset") -> DataFrame:
     """
     first = F.min(F.struct(F.col("ts"), F.col(order), F.col("common.is_new").alias("is_new")))
     return (
-        log.groupBy(F.col("common.mid").alias("mid"))
+        log.where(F.col("common.mid").isNotNull())
+        .groupBy(F.col("common.mid").alias("mid"))
         .agg(first.alias("first"))
         .select(
             "mid",
@@ -38,13 +40,15 @@ def fix_is_new(log: DataFrame, order: str = "offset") -> DataFrame:
     """Set ``common.is_new`` to '0' where a device claims to be new on a later day.
 
     First days are minima and combine before the shuffle. The join back is by device; a device
-    with very many rows is split by the adaptive skew join.
+    with very many rows is split by the adaptive skew join. Rows without a device match nothing and
+    stay as they are; their offset spreads them over the join's tasks.
     """
     base = first_days(log, order)
     late = (F.col("common.is_new") == "1") & (_day_of("ts") != F.col("first_day"))
-    fixed = F.when(late, F.lit("0")).otherwise(F.col("common.is_new"))
-    joined = log.join(base, F.col("common.mid").eqNullSafe(base["mid"]), "left")
-    return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*log.columns)
+    device = F.coalesce("common.mid", F.concat(F.lit("\u0000"), F.col(order)))
+    joined = reduced_join(log.withColumn("_device", device), base.withColumnRenamed("mid", "_device"), "_device")
+    common = F.when(late, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
+    return joined.withColumn("common", common).select(*log.columns)
 
 
 def unique_visitor(page: DataFrame, order: str = "offset") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemill.functions.changes import changed_key_exists, changed_key_not_null, field, pick_change
 from tidemill.functions.times import text_day
 from tidemill.operators.dedup import keep_last
-from tidemill.operators.lookups import lookup_join, small_side
+from tidemill.operators.lookups import lookup_join, reduced_join, small_side
 from tidemill.schemas import CART_KEYS, ORDER_DETAIL_KEYS, ORDER_INFO_KEYS, ORDER_WIDE, REFUND_KEYS, SHOP_DB
 
 # fixed values: order and payment states
@@ -67,9 +67,9 @@ def order_detail_wide(log: DataFrame, dic: DataFrame, database: str | None = SHO
     with an unknown source leave before anything is shuffled.
     """
     details = lookup_join(order_details(log, database), dic, "source_type", "dic_name")
+    wide = reduced_join(details, _one_per_detail(order_activities(log, database)), "order_detail_id")
     wide = (
-        details.join(_one_per_detail(order_activities(log, database)), "order_detail_id", "left")
-        .join(_one_per_detail(order_coupons(log, database)), "order_detail_id", "left")
+        reduced_join(wide, _one_per_detail(order_coupons(log, database)), "order_detail_id")
         .join(_distinct_versions(order_infos(log, database)).withColumnRenamed("id", "order_id"), "order_id", "inner")
     )
     ts = F.timestamp_seconds("ts").alias("ts")
@@ -135,7 +135,7 @@ def order_refund(log: DataFrame, dic: DataFrame) -> DataFrame:
     """
     codes = small_side(dic.select("dic_code", "dic_name"))
     orders = keep_last(refunded_orders(log), ["order_id"], "ts", ("province_id",)).drop("ts")
-    joined = refunds(log).join(orders, "order_id", "left")
+    joined = reduced_join(refunds(log), orders, "order_id")
     return name_refunds(joined, codes)
 
 

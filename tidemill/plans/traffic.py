@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tidemill.operators.clean import parse_json_or_dirty
+from tidemill.operators.clean import drop_blank, parse_json, parse_json_or_dirty
 from tidemill.operators.split import pages, split_log
 from tidemill.operators.visits import fix_is_new, unique_visitor, user_jump
 from tidemill.schemas import RAW_LOG
@@ -17,9 +17,16 @@ def clean_log(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def base_log(records: DataFrame) -> DataFrame:
-    """``(topic, value)`` rows of the five detail topics and the dirty topic."""
-    rows, dirty = clean_log(records)
-    return split_log(rows).unionByName(dirty)
+    """``(topic, value)`` rows of the five detail topics and the dirty topic.
+
+    Dirty records stay in the flow as text, so that the log is not parsed once more for them.
+    """
+    parsed = parse_json(drop_blank(records), RAW_LOG, carry=("offset",))
+    rows = parsed.select(
+        *[F.when(~F.col("dirty"), F.col(f"row.{n}")).alias(n) for n in RAW_LOG.names], "offset",
+        F.when(F.col("dirty"), F.col("value")).alias("dirty_text"),
+    )
+    return split_log(fix_is_new(rows))
 
 
 def page_rows(records: DataFrame) -> DataFrame:

@@ -22,7 +22,9 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return spread(df, LARGE[name]) if name in LARGE else df
+        df = spread(df, LARGE[name]) if name in LARGE else df
+        setattr(self, name, df)  # footers are read once per table
+        return df
 
 
 LARGE = {
