@@ -124,6 +124,9 @@ def test_copies_do_not_multiply_in_the_wide_join(spark):
     wide = facts.order_detail_wide(log, src.dictionary(spark))
     assert wide.count() == 1
     assert facts.pay_success(log, wide, src.dictionary(spark)).count() == 1
+    assert wide.first().activity_id == "x"
+    bare = facts.order_detail_wide(log, src.dictionary(spark), extras=False)
+    assert bare.columns == wide.columns and bare.count() == 1 and bare.first().activity_id is None
 
 
 # ---- new-visitor flag, visitors, jumps ------------------------------------------------

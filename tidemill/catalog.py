@@ -35,9 +35,14 @@ def page_cols(*extra: str) -> list[Column]:
             F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"), "ts", *extra]
 
 
-def wide(t: src.Tables) -> DataFrame:
-    log = src.change_log(t, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
-    return facts.order_detail_wide(log, src.dictionary(t.spark))
+def wide(t: src.Tables, extras: bool = True) -> DataFrame:
+    more = ["order_detail_activity", "order_detail_coupon"] if extras else []
+    log = src.change_log(t, "order_detail", "order_info", *more)
+    return facts.order_detail_wide(log, src.dictionary(t.spark), extras=extras)
+
+
+def paid_details(t: src.Tables, extras: bool = True) -> DataFrame:
+    return facts.pay_success(src.change_log(t, "payment_info"), wide(t, extras), src.dictionary(t.spark))
 
 
 # ---- sources and sinks -------------------------------------------------------------
@@ -78,7 +83,7 @@ def read_dim(t):
 @query
 def write_upsert(t):
     """The keyed order-detail table: last version per detail id."""
-    last = sinks.upsert_view(wide(t), ["order_detail_id"], ("ts", "type", *metrics.DETAIL_TIES))
+    last = sinks.upsert_view(wide(t, extras=False), ["order_detail_id"], ("ts", "type", *metrics.DETAIL_TIES))
     return last.select("order_detail_id", "order_id", "sku_id", "type", "order_status", "split_total_amount")
 
 
@@ -111,7 +116,7 @@ def drop_control_rows(t):
 
 @query
 def drop_empty_and_keep_insert(t):
-    rows = sinks.as_topic_rows(wide(t).drop("pt"), "order_detail")
+    rows = sinks.as_topic_rows(wide(t, extras=False).drop("pt"), "order_detail")
     tombstones = rows.select("topic", F.lit("").alias("value"))
     kept = clean.drop_empty_and_keep_insert(rows.unionAll(tombstones), ORDER_WIDE_TS)
     return kept.select("order_detail_id", "order_id", "type", "split_original_amount")
@@ -217,7 +222,7 @@ def join_order_wide(t):
 
 @query
 def join_payment_detail(t):
-    return pay_success(t).select("order_detail_id", "order_id", "payment_type_name", "split_payment_amount")
+    return paid_details(t, extras=False).select("order_detail_id", "order_id", "payment_type_name", "split_payment_amount")
 
 
 @query
@@ -307,17 +312,17 @@ def order_detail_wide(t):
 
 @query
 def order_add(t):
-    return facts.order_add(wide(t)).select("order_detail_id", "order_id", "sku_id", "sku_num", "user_id", "type")
+    return facts.order_add(wide(t, extras=False)).select("order_detail_id", "order_id", "sku_id", "sku_num", "user_id", "type")
 
 
 @query
 def order_cancel(t):
-    return facts.order_cancel(wide(t)).select("order_detail_id", "order_id", "sku_id", "user_id", "order_status", "operate_time")
+    return facts.order_cancel(wide(t, extras=False)).select("order_detail_id", "order_id", "sku_id", "user_id", "order_status", "operate_time")
 
 
 @query
 def pay_success(t):
-    return facts.pay_success(src.change_log(t, "payment_info"), wide(t), src.dictionary(t.spark))
+    return paid_details(t)
 
 
 @query
@@ -402,27 +407,27 @@ def cart_uu_window(t):
 
 @query
 def order_window(t):
-    return metrics.order_window(wide(t))
+    return metrics.order_window(wide(t, extras=False))
 
 
 @query
 def order_window_per_order(t):
-    return metrics.order_window(wide(t), per_order=True)
+    return metrics.order_window(wide(t, extras=False), per_order=True)
 
 
 @query
 def payment_window(t):
-    return metrics.payment_window(pay_success(t))
+    return metrics.payment_window(paid_details(t, extras=False))
 
 
 @query
 def province_window(t):
-    return metrics.province_window(wide(t), src.dimensions(t)["province"])
+    return metrics.province_window(wide(t, extras=False), src.dimensions(t)["province"])
 
 
 @query
 def spu_order_window(t):
-    return metrics.spu_order_window(wide(t), lookups.sku_dimension(src.dimensions(t)))
+    return metrics.spu_order_window(wide(t, extras=False), lookups.sku_dimension(src.dimensions(t)))
 
 
 @query
@@ -477,7 +482,7 @@ def dedup_keep_first(t):
 @query
 def dedup_keep_first_sliding(t):
     """One payment row per order detail, although every order version joined it."""
-    paid = pay_success(t).select("order_detail_id", "user_id", "callback_time")
+    paid = paid_details(t, extras=False).select("order_detail_id", "user_id", "callback_time")
     return dedup.keep_first(paid, ["order_detail_id"], "callback_time", ("user_id",))
 
 

@@ -60,20 +60,28 @@ def _distinct_versions(infos: DataFrame) -> DataFrame:
     return plain.withColumn("old", F.map_from_entries("old"))
 
 
-def order_detail_wide(log: DataFrame, dic: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
+def order_detail_wide(
+    log: DataFrame, dic: DataFrame, database: str | None = SHOP_DB, extras: bool = True
+) -> DataFrame:
     """Order details with order, activity, coupon and source name; one row per order version.
 
     Both left joins share the shuffle on the detail id. The dictionary join goes first: details
-    with an unknown source leave before anything is shuffled.
+    with an unknown source leave before anything is shuffled. Activity and coupon never add or
+    drop a row; for readers of other columns ``extras=False`` saves their joins and leaves them empty.
     """
-    details = lookup_join(order_details(log, database), dic, "source_type", "dic_name")
-    wide = reduced_join(details, _one_per_detail(order_activities(log, database)), "order_detail_id")
-    wide = (
-        reduced_join(wide, _one_per_detail(order_coupons(log, database)), "order_detail_id")
-        .join(_distinct_versions(order_infos(log, database)).withColumnRenamed("id", "order_id"), "order_id", "inner")
-    )
-    ts = F.timestamp_seconds("ts").alias("ts")
-    return wide.withColumn("pt", F.current_timestamp()).select(*ORDER_WIDE.names, ts)
+    wide = lookup_join(order_details(log, database), dic, "source_type", "dic_name")
+    for part, columns in ((order_activities, ACTIVITY_COLUMNS), (order_coupons, COUPON_COLUMNS)):
+        if extras:
+            wide = reduced_join(wide, _one_per_detail(part(log, database)), "order_detail_id")
+        else:
+            wide = wide.withColumns({c: F.lit(None).cast("string") for c in columns})
+    infos = _distinct_versions(order_infos(log, database)).withColumnRenamed("id", "order_id")
+    wide = wide.join(infos, "order_id", "inner").withColumn("pt", F.current_timestamp())
+    return wide.select(*ORDER_WIDE.names, F.timestamp_seconds("ts").alias("ts"))
+
+
+ACTIVITY_COLUMNS = ["activity_id", "activity_rule_id", "activity_create_time"]
+COUPON_COLUMNS = ["coupon_id", "coupon_use_id", "coupon_create_time"]
 
 
 def order_add(wide: DataFrame) -> DataFrame:
