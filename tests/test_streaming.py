@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from streams import rows, run, write_chunks, write_topic
 from tidemill.functions.times import millis_to_day
-from tidemill.operators import clean, firsts, lookups, split, visits
+from tidemill.operators import clean, lookups, visits
 from tidemill.plans import facts, metrics, traffic
-from tidemill.schemas import ORDER_WIDE_TS, TOPICS
+from tidemill.schemas import TOPICS
 from tidemill.sinks.tables import as_topic_rows
 from tidemill.sources import tables as src, topics
 from tidemill.streaming import jobs
@@ -321,4 +321,3 @@ def test_days_follow_the_session_zone(spark):
     ms = spark.createDataFrame([(1_650_702_276_000,)], "ts long")
     day = lambda: ms.select(millis_to_day("ts")).first()[0]
     assert day() == "2022-04-23"
-    assert firsts.RETURN_DAYS == 8 and split and ORDER_WIDE_TS
