@@ -124,7 +124,7 @@ p as (
   from r group by rule),
 s as (
   select source, max(case when v > 1e-9
-    then (k + m * greatest(m * (1 - m) / v - 1, 0)) / (n + greatest(m * (1 - m) / v - 1, 0)) else m end) > 0.5 as rejected
+    then (k + m * greatest(m * (1 - m) / v - 1, 10)) / (n + greatest(m * (1 - m) / v - 1, 10)) else m end) > 0.5 as rejected
   from r join p using (rule) group by source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not coalesce(rejected, false) as kept

@@ -25,13 +25,17 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 @dataclass(frozen=True)
 class Rules:
-    """A host is rejected when the shrunken rate of its documents failing one rule is above ``max_rate``."""
+    """A host is rejected when the shrunken rate of its documents failing one rule is above ``max_rate``.
+
+    The prior counts as ``least_weight`` documents at least, so a few pages alone never condemn a host.
+    """
 
     min_words: int = 20
     max_repeat_percent: int = 30
     max_symbols_per_100_words: int = 10
     max_dup_line_percent: int = 30
     max_rate: float = 0.5
+    least_weight: float = 10.0
 
 
 def _covered(places: Column) -> Column:
@@ -98,7 +102,8 @@ def host_verdicts(marked: DataFrame, host: str = "source", rules: Rules = Rules(
     """host, n_docs, a shrunken failure rate per rule and ``rejected``, from measured documents.
 
     The prior of a rule: mean m of the pooled rate, and the variance between hosts that is left after taking
-    off the binomial noise, v. Its weight is m(1-m)/v - 1 documents; without variance every host gets m.
+    off the binomial noise, v. Its weight is m(1-m)/v - 1 documents, or the least weight if that is more; without
+    variance every host gets m.
     Only these two numbers per rule pass through the driver.
     """
     fails = failures(rules)
@@ -120,7 +125,7 @@ def host_verdicts(marked: DataFrame, host: str = "source", rules: Rules = Rules(
             continue
         m = moments[f"k_{r}"] / moments["n"]
         v = (moments[f"v_{r}"] or 0.0) - m * (1 - m) * moments["noise"]
-        weight = max(m * (1 - m) / v - 1, 0.0) if v > 1e-9 else None
+        weight = max(m * (1 - m) / v - 1, rules.least_weight) if v > 1e-9 else None
         shrunk[r] = F.lit(m) if weight is None else (F.col(f"k_{r}") + m * weight) / (F.col("n_docs") + weight)
     return hosts.select(
         "host", "n_docs", *[c.alias(f"rate_{r}") for r, c in shrunk.items()],

@@ -18,6 +18,7 @@ counts as toxic if one of them says so; repeated documents are scored each.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -100,40 +101,45 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
     """Train vectors and softmax together by full-batch Adam on the passages of the sample."""
-    cut, owner = [], []
+    owner: list[int] = []
+    place: dict[str, int] = {}
+    doc_words, doc_counts, starts, total = [], [], [], 0
     for k, t in enumerate(texts):
         ws = tokens(t)
         bounds = passages(len(ws)).tolist()
-        cut += [ws[a:b] for a, b in zip(bounds, bounds[1:]) if a < b]
-        owner += [k] * (len(cut) - len(owner))
+        for a, b in zip(bounds, bounds[1:]):
+            if a < b:
+                ids = np.unique([place.setdefault(w, len(place)) for w in ws[a:b]]).astype(np.int32)
+                owner.append(k)
+                starts.append(total)
+                total += len(ids)
+                doc_words.append(ids)
+                doc_counts.append(np.full(len(ids), 1 / (b - a), dtype=np.float32))
     owner = np.array(owner)
     doc_starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
     weights = weights / weights.sum()
     even = (weights / np.maximum(np.bincount(owner, minlength=len(texts)), 1))[owner]
     heavy, labels = weights[owner], labels[owner]
-    place: dict[str, int] = {}
-    doc_words, doc_counts, starts, total = [], [], [], 0
-    for c in cut:
-        ids = np.unique([place.setdefault(w, len(place)) for w in c])
-        starts.append(total)
-        total += len(ids)
-        doc_words.append(ids)
-        doc_counts.append(np.full(len(ids), 1 / len(c)))
-    doc_of = np.repeat(np.arange(len(cut)), [len(d) for d in doc_words])
-    words_, share = np.concatenate(doc_words), np.concatenate(doc_counts).astype(np.float32)[:, None]
-    grams = [buckets(w) for w in place]
-    sizes = np.array([len(g) for g in grams])
-    flat = np.fromiter((b for g in grams for b in g), dtype=np.int64, count=int(sizes.sum()))
+    doc_of = np.repeat(np.arange(len(owner), dtype=np.int32), [len(d) for d in doc_words])
+    words_, share = np.concatenate(doc_words), np.concatenate(doc_counts)[:, None]
+    del doc_words, doc_counts
+    packed, lengths = array("i"), array("i")
+    for w in place:
+        found = buckets(w)
+        packed.extend(found)
+        lengths.append(len(found))
+    flat, sizes = np.frombuffer(packed, dtype=np.int32), np.frombuffer(lengths, dtype=np.int32).astype(np.int64)
+    every = sizes
     word_starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     least = max(LEAST_SHARE * len(texts), 3)
     # N-grams of a few documents alone would only be learnt by heart: they stay out of the averages.
-    met = np.unique(words_ * len(texts) + owner[doc_of]) // len(texts)
+    met = np.unique(words_.astype(np.int64) * len(texts) + owner[doc_of]) // len(texts)
     spread = np.bincount(flat, weights=np.repeat(np.bincount(met, minlength=len(place)), sizes), minlength=BUCKETS)
     common = spread[flat] >= least
     sizes = np.add.reduceat(common.astype(np.int64), word_starts)
-    common |= np.repeat(sizes == 0, [len(g) for g in grams])  # a word without any keeps its own, at no weight
-    inverse = np.where(sizes > 0, 1 / np.maximum([len(g) for g in grams], 1), 0).astype(np.float32)[:, None]
-    sizes = np.where(sizes > 0, sizes, [len(g) for g in grams])
+    common |= np.repeat(sizes == 0, every)  # a word without any keeps its own, at no weight
+    inverse = np.where(sizes > 0, 1 / np.maximum(every, 1), 0).astype(np.float32)[:, None]
+    sizes = np.where(sizes > 0, sizes, every)
     flat = flat[common]
     word_starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     used, flat = np.unique(flat, return_inverse=True)
