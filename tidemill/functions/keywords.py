@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD_RUN = r"[\p{L}\p{N}]+"
 
@@ -19,22 +20,25 @@ def keyword_split(text: Column | str) -> Column:
 def word_list_split(words: Iterable[str]):
     """Longest-match splitter for scripts written without spaces (an Arrow UDF).
 
-    The word list travels with the task; at most ``MAX_WORDS`` entries are taken, else it fails.
+    A run is first split where the script changes; only its Han parts are cut by the list, the other parts
+    are words already. The list is a broadcast variable: each executor holds it once, whatever its length.
     """
     known = frozenset(w.lower() for w in words)
-    if len(known) > MAX_WORDS:
-        raise ValueError(f"word list has {len(known)} entries, more than {MAX_WORDS}")
-    longest = max(map(len, known), default=1)
+    shared = SparkSession.getActiveSession().sparkContext.broadcast((known, max(map(len, known), default=1)))
+    scripts = regex.compile(r"\p{Han}+|\P{Han}+")
 
     def cut(run: str) -> list[str]:
-        # Latin-like runs are words already; only ideographs are cut by the list.
-        if not any("一" <= ch <= "鿿" for ch in run):
-            return [run]
-        out, i = [], 0
-        while i < len(run):
-            step = next((n for n in range(min(longest, len(run) - i), 1, -1) if run[i:i + n] in known), 1)
-            out.append(run[i:i + step])
-            i += step
+        known, longest = shared.value
+        out = []
+        for part in scripts.findall(run):
+            if not regex.match(r"\p{Han}", part):
+                out.append(part)
+                continue
+            i = 0
+            while i < len(part):
+                step = next((n for n in range(min(longest, len(part) - i), 1, -1) if part[i:i + n] in known), 1)
+                out.append(part[i:i + step])
+                i += step
         return out
 
     @F.pandas_udf("array<string>")
@@ -44,9 +48,6 @@ def word_list_split(words: Iterable[str]):
     return split
 
 
-MAX_WORDS = 1_000_000
-
-
 def explode_words(df: DataFrame, text: str, word: str = "word", splitter=None) -> DataFrame:
     """One row per word of ``text``; the other columns are kept."""
     words = keyword_split(text)

@@ -45,7 +45,8 @@ def text_day(text: Column | str) -> Column:
 
 
 def text_time(text: Column | str) -> Column:
-    return F.to_timestamp(_col(text), SECOND)
+    """Date-time text to a timestamp; null where the text is no date-time, so one bad row fails no job."""
+    return F.try_to_timestamp(_col(text), F.lit(SECOND))
 
 
 def zulu_time(text: Column | str) -> Column:

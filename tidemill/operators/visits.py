@@ -137,7 +137,8 @@ def visit_counts(marks: DataFrame) -> DataFrame:
     first_day = F.when(first["is_new"] == "1", _day_of(first["ts"])).otherwise(F.date_sub(_day_of(first["ts"]), 1))
     day = _day_of("cell")
     place = F.row_number().over(Window.partitionBy("mid", "day").orderBy(F.asc_nulls_last("first_start")))
-    late = (F.col("is_new") == "1") & (F.col("day") != F.col("first_day"))
+    # As in fix_is_new, rows without a device keep the flag they came with.
+    late = F.col("mid").isNotNull() & (F.col("is_new") == "1") & (F.col("day") != F.col("first_day"))
     return (
         marks.withColumn("first_day", first_day).withColumn("day", day)
         .withColumn("uv_ct", (F.col("first_start").isNotNull() & (place == 1)).cast("long"))

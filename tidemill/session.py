@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,17 @@ def local_session(cores: int = 8, time_zone: str = "UTC", app: str = "tidemill")
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is used.
+    Without the setting only a session on one machine (tests) gets a folder, the same one for its whole life; a
+    cluster must name one, as a folder of one machine would be lost with it.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemill-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemill-")

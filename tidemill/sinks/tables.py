@@ -79,7 +79,7 @@ def dim_schema(sink_columns: str) -> T.StructType:
     return T.StructType([T.StructField(c.strip(), T.StringType()) for c in sink_columns.split(",")])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -88,7 +88,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def ensure_dim_table(spark: SparkSession, root: str, config: dict[str, str]) -> str:
     """Create the all-text table of a routing row unless it is there; returns its folder."""
     path = f"{root}/{config['sink_table']}"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         empty = spark.createDataFrame([], T.StructType(dim_schema(config["sink_columns"]).fields + DIM_EXTRA))
         empty.write.parquet(f"{path}/{BATCH}=-1")
     return path

@@ -28,7 +28,8 @@ OUT, NO_TIME, EVENT, CLOCK = "append", "None", "EventTime", "ProcessingTime"
 # fixed values: how long a stream may run behind
 DELAY, REFUND_DELAY, TRAFFIC_DELAY = "2 seconds", "10 seconds", "13 seconds"
 # bounds we choose for joins between streams
-SAME_WRITE, ORDER_LIFE = "1 minute", "3 days"
+# Defaults of how far apart records that belong together may come, in event time; every job takes its own.
+SAME_WRITE, ORDER_LIFE, REFUND_LIFE = "1 hour", "30 days", "30 days"
 
 
 # ---- log -------------------------------------------------------------------------
@@ -210,11 +211,14 @@ def _near(left: str, right: str, before: str, after: str) -> Column:
     return (F.col(right) >= F.col(left) - lo) & (F.col(right) <= F.col(left) + hi)
 
 
-def order_detail_wide(log: DataFrame, dic: DataFrame, database: str | None = facts.SHOP_DB) -> DataFrame:
+def order_detail_wide(
+    log: DataFrame, dic: DataFrame, database: str | None = facts.SHOP_DB, same_write: str = SAME_WRITE,
+    order_life: str = ORDER_LIFE,
+) -> DataFrame:
     """Order details joined to their activity, coupon and order versions as these arrive.
 
-    Activity and coupon are written together with the detail, order versions follow within the
-    life of an order; state older than that is dropped.
+    Activity and coupon are written together with the detail (``same_write``), order versions follow within the
+    life of an order (``order_life``); state older than that is dropped.
     """
     details = _timed(lookup_join(facts.order_details(log, database), dic, "source_type", "dic_name"), "rt")
     rename = lambda df, name: df.withColumnRenamed("order_detail_id", name).drop("id")
@@ -224,30 +228,35 @@ def order_detail_wide(log: DataFrame, dic: DataFrame, database: str | None = fac
         facts.order_infos(log, database, "ts").withColumnRenamed("id", "_order"), "info_rt"
     )
     wide = (
-        details.join(acts, (F.col("order_detail_id") == F.col("_act")) & _near("rt", "act_rt", SAME_WRITE, SAME_WRITE), "left")
-        .join(coupons, (F.col("order_detail_id") == F.col("_cou")) & _near("rt", "cou_rt", SAME_WRITE, SAME_WRITE), "left")
-        .join(infos, (F.col("order_id") == F.col("_order")) & _near("rt", "info_rt", SAME_WRITE, ORDER_LIFE), "inner")
+        details.join(acts, (F.col("order_detail_id") == F.col("_act")) & _near("rt", "act_rt", same_write, same_write), "left")
+        .join(coupons, (F.col("order_detail_id") == F.col("_cou")) & _near("rt", "cou_rt", same_write, same_write), "left")
+        .join(infos, (F.col("order_id") == F.col("_order")) & _near("rt", "info_rt", same_write, order_life), "inner")
     )
     return wide.withColumn("pt", F.current_timestamp()).select(*ORDER_WIDE.names, F.col("rt").alias("ts"))
 
 
-def pay_success(log: DataFrame, wide: DataFrame, dic: DataFrame) -> DataFrame:
-    """Payments joined to order details that arrived up to an order's life before."""
+def pay_success(
+    log: DataFrame, wide: DataFrame, dic: DataFrame, same_write: str = SAME_WRITE, order_life: str = ORDER_LIFE,
+) -> DataFrame:
+    """Payments joined to order details that arrived up to ``order_life`` before."""
     paid = lookup_join(facts.payments(log), dic, "payment_type_code", "payment_type_name")
     paid = paid.withColumn("pay_rt", text_time("callback_time")).withWatermark("pay_rt", DELAY)
     paid = paid.withColumnRenamed("order_id", "_order")
     details = wide.withColumn("rt", F.col("ts")).withWatermark("rt", DELAY)
-    on = (F.col("order_id") == F.col("_order")) & _near("rt", "pay_rt", SAME_WRITE, ORDER_LIFE)
+    on = (F.col("order_id") == F.col("_order")) & _near("rt", "pay_rt", same_write, order_life)
     return details.join(paid, on, "inner").withColumnRenamed(
         "split_total_amount", "split_payment_amount"
     ).select(*facts.PAY_COLUMNS)
 
 
-def order_refund(log: DataFrame, dic: DataFrame) -> DataFrame:
-    """Refund requests joined to the refund update of their order, if it comes close by."""
+def order_refund(log: DataFrame, dic: DataFrame, within: str = REFUND_LIFE) -> DataFrame:
+    """Refund requests joined to the refund update of their order, if it comes ``within`` that time.
+
+    A request without one is emitted with nulls, but only after that time has passed.
+    """
     codes = small_side(dic.select("dic_code", "dic_name"))
     orders = _timed(facts.refunded_orders(log).withColumnRenamed("order_id", "_order"), "order_rt")
     requests = facts.refunds(log).withColumn("rt", F.timestamp_seconds("ts")).withWatermark("rt", DELAY)
-    on = (F.col("order_id") == F.col("_order")) & _near("rt", "order_rt", SAME_WRITE, SAME_WRITE)
+    on = (F.col("order_id") == F.col("_order")) & _near("rt", "order_rt", within, within)
     return facts.name_refunds(requests.join(orders, on, "left"), codes)
 

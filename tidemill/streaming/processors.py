@@ -8,6 +8,7 @@ by the look-ahead, never by the number of rows, except for a device's very first
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date, timedelta
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -41,18 +42,19 @@ class FirstDay(StatefulProcessor):
 class DayFirst(StatefulProcessor):
     """The first row of each key and day, with the key's previous active day.
 
-    Input: ``time, offset, day, carry``. Output: ``key, day, time, prev_day, is_first, carry``. Days
-    at or before the last seen one give nothing. With ``pass_rows`` every input row is passed on as
+    Input: ``time, offset, day, carry``. Output: ``key, day, time, prev_day, is_first, carry``. A day that
+    comes after a later one counts as well, within ``late_days`` of the latest; its previous day is the latest
+    before it that was seen. With ``pass_rows`` every input row is passed on as
     well, with ``is_first`` 0. With ``forget_ms`` a key is forgotten that long (in event time)
     after its last first row; such jobs do not use ``prev_day``.
     """
 
-    def __init__(self, forget_ms: int | None = None, pass_rows: bool = False):
-        self._forget, self._pass_rows = forget_ms, pass_rows
+    def __init__(self, forget_ms: int | None = None, pass_rows: bool = False, late_days: int = 30):
+        self._forget, self._pass_rows, self._late_days = forget_ms, pass_rows, late_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._last = handle.getValueState("last_day", "day string, until long")
+        self._last = handle.getValueState("days", "days string, until long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         firsts = {}
@@ -62,18 +64,23 @@ class DayFirst(StatefulProcessor):
                 firsts[r.day] = r
             if self._pass_rows:
                 yield Row(key=key[0], day=r.day, time=r.time, prev_day=None, is_first=0, carry=r.carry)
-        prev = self._last.get()[0] if self._last.exists() else None
+        seen = self._last.get()[0].split(",") if self._last.exists() else []
         for day in sorted(firsts):
-            if prev is not None and day <= prev:
+            if day in seen or seen and date.fromisoformat(day) < _days_before(seen[-1], self._late_days):
                 continue
             r = firsts[day]
+            prev = max((d for d in seen if d < day), default=None)
             yield Row(key=key[0], day=day, time=r.time, prev_day=prev, is_first=1, carry=r.carry)
             until = 0
             if self._forget:
                 until = r.ts + self._forget
                 self._handle.registerTimer(until)
-            self._last.update((day, until))
-            prev = day
+            seen = sorted([*seen, day])
+            oldest = _days_before(seen[-1], self._late_days)
+            # The latest of the older days stays, as the previous day of one that comes late.
+            older = [d for d in seen if date.fromisoformat(d) < oldest]
+            seen = older[-1:] + seen[len(older):]
+            self._last.update((",".join(seen), max(until, self._last.get()[1] if self._last.exists() else 0)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self._last.exists() and self._last.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
@@ -84,6 +91,10 @@ class DayFirst(StatefulProcessor):
         pass
 
 
+def _days_before(day: str, n: int) -> date:
+    return date.fromisoformat(day) - timedelta(days=n)
+
+
 class Jump(StatefulProcessor):
     """Session starts not followed by a page of the same session within the limit.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,14 +22,32 @@ def start(
     stream: DataFrame, name: str, write: Callable[[DataFrame, int], None], trigger: dict | None = None,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Run a stream, handing every micro-batch to ``write(batch, batch_id)``."""
+    """Run a stream, handing every micro-batch to ``write(batch, part)``.
+
+    ``part`` orders batches over restarts: it is the batch id of the checkpoint, behind the number of the run that
+    the checkpoint began with. A repeated batch has the same part and replaces itself; a stream that lost its
+    checkpoint begins a later run, so it overwrites nothing and its rows win over older ones.
+    """
     folder = checkpoint or f"{shared_dir(stream.sparkSession)}/checkpoints/{name}"
+    run = run_number(stream.sparkSession, folder)
     return (
-        stream.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+        stream.writeStream.queryName(name).outputMode("append")
+        .foreachBatch(lambda batch, batch_id: write(batch, run * RUN_BATCHES + batch_id))
         .option("checkpointLocation", folder).trigger(**(trigger or {"processingTime": "3 seconds"})).start()
     )
 
 
+RUN_BATCHES = 1_000_000_000
+
+
+def run_number(spark: SparkSession, checkpoint: str) -> int:
+    """Seconds at which this checkpoint was first used, kept beside its own files."""
+    note = f"{checkpoint}/run"
+    if not sinks.exists(spark, f"{note}/_SUCCESS"):
+        spark.range(1).select(F.lit(int(time.time())).alias("run")).write.mode("overwrite").parquet(note)
+    return spark.read.parquet(note).first()["run"]
+
+
 def to_topics(topic: str | None = None, **where) -> Callable[[DataFrame, int], None]:
     """Writer for topic rows (``topic``, ``value``) or, with ``topic``, for rows of any shape."""
     return sinks.batch_writer(sinks.write_topic, topic=topic, **where)
