@@ -26,7 +26,7 @@ CTES["ev"] = """
     epoch_us(ts) // 1000 as slow_ms,
     (1704067200000000 + (epoch_us(ts) - 1704067200000000) // 1000) // 1000 as fast_ms,
     event_type, props
-  from events left join part on p_partkey = event_id % 200"""
+  from events left join part on p_partkey = event_id % (select max(p_partkey) + 1 from part)"""
 CTES["page"] = "select *, slow_ms as ts, make_timestamp(slow_ms * 1000)::date as d from ev"
 CTES["fpage"] = "select *, fast_ms as ts, make_timestamp(fast_ms * 1000)::date as d from ev"
 # log rows that survive parsing; event_id % 11 = 0 are start logs
@@ -385,7 +385,7 @@ SQL["refund_window_by_user"] = f"""
 SQL["first_of_day"] = """select mid as key, strftime(d, '%Y-%m-%d') as day, min(ts) as first_time
   from page where page_id in ('home', 'good_detail') group by mid, d"""
 SQL["first_of_day_and_ever"] = f"""select uid as key, strftime(d, '%Y-%m-%d') as day, ts as first_time,
-  (prev is null)::bigint as is_new from {FIRSTS.format(key='uid', cond='true')} where prev is null or prev <> d"""
+  (prev is null)::bigint as is_new from {FIRSTS.format(key='uid', cond='uid is not null')} where prev is null or prev <> d"""
 SQL["returning_user"] = f"""select uid as key, strftime(d, '%Y-%m-%d') as day, ts as first_time,
   coalesce(d - prev >= 8, false)::bigint as is_back from {FIRSTS.format(key='uid', cond=LOGIN)}
   where prev is null or prev <> d"""
@@ -406,6 +406,12 @@ SQL["compare_zulu"] = """
   select event_id, t[1:21 + k] || 'Z' as a, t || 'Z' as b, (case when cut_ms < ms then -1 else 0 end)::bigint as cmp from y"""
 SQL["keyword_split"] = f"""select event_id, item, {WORDS.format(text='item')} as word from page
   where event_id % 5 = 2 and item is not null"""
+# Written to a table and read back: the results are those of the rows that went in.
+SQL["read_dictionary"] = SQL["lookup_join_inner"]
+SQL["read_dim_config"] = f"select sink_table, type, count(*) as n from ({SQL['dim_route']}) group by all"
+SQL["write_topic"] = "select order_detail_id, order_id, sku_id, type from wide"
+SQL["write_append_table"] = SQL["user_register"]
+SQL["ensure_dim_table"] = "select p_partkey::varchar as id, p_name from part"
 SQL["keyword_count"] = f"""select lang, keyword, count(*) as keyword_count from (
   select lang, {WORDS.format(text='text')} as keyword from documents) group by all"""
 

@@ -1,4 +1,7 @@
-"""Every registered query against its SQL, run by another engine on the same tables."""
+"""Every query of the library against its SQL, run by another engine on the same tables.
+
+The queries on training text have tests of their own.
+"""
 
 from __future__ import annotations
 
@@ -14,8 +17,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import check  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from oracle.sql import oracle  # noqa: E402
+from tidemill.catalog import QUERIES  # noqa: E402
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +32,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     state, n, _, note = check.compare(spark, con, name, SMALL, QUERIES, SQL)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemill.functions import changes as ch, times as tm
 from tidemill.functions.keywords import explode_words
 from tidemill.operators import clean, dedup, firsts, lookups, split, visits
 from tidemill.plans import dim, facts, metrics, traffic
-from tidemill.schemas import ORDER_WIDE_TS, RAW_LOG
-from tidemill.session import tune
+from tidemill.schemas import BASE_DIC, ORDER_WIDE_TS, RAW_LOG, TABLE_PROCESS, TOPICS
+from tidemill.session import shared_dir, tune
 from tidemill.sinks import tables as sinks
 from tidemill.sources import tables as src, topics
 
@@ -47,10 +48,30 @@ def paid_details(t: src.Tables, extras: bool = True) -> DataFrame:
 
 # ---- sources and sinks -------------------------------------------------------------
 
+def scratch(t: src.Tables, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(t.spark)}/tidemill-{name}-{uuid.uuid4().hex}"
+
+
+def stored(t: src.Tables, rows: DataFrame, schema: T.StructType, name: str) -> str:
+    """A lookup table written with its row type; returns its folder."""
+    path = scratch(t, name)
+    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(path)
+    return path
+
+
+def part_routing(t: src.Tables) -> tuple[DataFrame, dict[str, str]]:
+    """Routed changes of the parts, and their routing row."""
+    config = src.dim_config(t.spark).where("source_table = 'part'")
+    return dim.dim_route(src.change_log(t, "part"), config), config.first().asDict()
+
+
 @query
 def read_topic(t):
-    """Raw records: empty ones kept as empty text."""
-    return topics.as_records(src.raw_log(t)).select(
+    """Raw records by way of a topic folder: empty ones kept as empty text."""
+    root = scratch(t, "topics")
+    src.raw_log(t).write.parquet(f"{root}/{TOPICS['log']}")
+    return topics.read_topic(t.spark, TOPICS["log"], path=root, stream=False).select(
         F.col("offset").alias("event_id"), flag(F.col("value") == "", "is_empty"),
         flag(F.substring("value", -1, 1) == "}", "is_whole"),
     )
@@ -75,26 +96,84 @@ def read_detail_topic(t):
     )
 
 
+@query
+def read_dictionary(t):
+    """Order details with the names of the dictionary, read from its table."""
+    path = stored(t, src.dictionary(t.spark), BASE_DIC, "dictionary")
+    rows = facts.order_details(src.change_log(t, "order_detail"))
+    return lookups.lookup_join(rows, topics.read_dictionary(t.spark, path), "source_type", "dic_name").select(
+        "order_detail_id", "sku_id", "source_type", "dic_name"
+    )
+
+
+@query
+def read_dim_config(t):
+    """Changes per dimension table, routed by the routing table as it is stored."""
+    path = stored(t, src.dim_config(t.spark), TABLE_PROCESS, "routing")
+    routed = dim.dim_route(src.change_log(t, "part", "nation", "user_info"), topics.read_dim_config(t.spark, path))
+    return routed.groupBy("sink_table", "type").agg(F.count("*").alias("n"))
+
+
 @query
 def read_dim(t):
-    return src.dimensions(t)["sku"]
+    """The sku dimension, written to its table and read back."""
+    sku = src.dimensions(t)["sku"]
+    config = {"sink_table": "dim_sku", "sink_columns": ",".join(sku.columns)}
+    data = F.create_map(*[x for c in sku.columns for x in (F.lit(c), F.col(c))])
+    routed = sku.select(
+        F.lit("dim_sku").alias("sink_table"), data.alias("data"), F.lit(0).cast("long").alias("ts"), F.col("id").alias("pk"))
+    root = scratch(t, "dims")
+    sinks.upsert_dim(routed, [config], root, 0)
+    return sinks.read_dim(t.spark, root, config)
+
+
+@query
+def write_topic(t):
+    """Order details written to their topic and read back."""
+    path = scratch(t, "topics")
+    sinks.write_topic(wide(t, extras=False).drop("pt"), "order_detail", path=path, batch_id=0)
+    rows, _ = clean.parse_json_or_dirty(sinks.read_routed(t.spark, path, "order_detail"), ORDER_WIDE_TS)
+    return rows.select("order_detail_id", "order_id", "sku_id", "type")
+
+
+@query
+def write_append_table(t):
+    """Registrations in two batches, the second repeated."""
+    path, rows = scratch(t, "registrations"), facts.user_register(src.change_log(t, "user_info"))
+    for batch in (0, 1, 1):
+        sinks.write_append_table(rows.where(F.col("ts") % 2 == batch), path, batch)
+    return t.spark.read.parquet(path).drop(sinks.BATCH)
 
 
 @query
 def write_upsert(t):
-    """The keyed order-detail table: last version per detail id."""
-    last = sinks.upsert_view(wide(t, extras=False), ["order_detail_id"], ("ts", "type", *metrics.DETAIL_TIES))
-    return last.select("order_detail_id", "order_id", "sku_id", "type", "order_status", "split_total_amount")
+    """The keyed order-detail table, written and read back: last version per detail id."""
+    order = ("ts", "type", *metrics.DETAIL_TIES)
+    kept = ["order_detail_id", "order_id", "sku_id", "type", "order_status", "split_total_amount"]
+    path = scratch(t, "details")
+    sinks.write_upsert(wide(t, extras=False).select(*dict.fromkeys((*kept, *order))), path, 0)
+    return sinks.read_upsert(t.spark, path, ["order_detail_id"], order).select(*kept)
 
 
 @query
 def upsert_dim(t):
-    """The part dimension after its changes: the loaded rows merged with the latest updates."""
-    routed = dim.dim_route(src.change_log(t, "part"), src.dim_config(t.spark))
-    cols = ["id", "p_name", "p_retailprice"]
-    rows = routed.select("type", "ts", *[F.col("data").getItem(c).alias(c) for c in cols])
-    loaded = rows.where("type = 'bootstrap-insert'").select(*cols)
-    return sinks.merge_dim(loaded, rows.where("type = 'update'"), "id", "ts", ("p_retailprice",))
+    """The part dimension after two batches: the loaded rows, then their updates."""
+    routed, config = part_routing(t)
+    root = scratch(t, "dims")
+    for batch, kind in enumerate(("bootstrap-insert", "update")):
+        sinks.upsert_dim(routed.where(F.col("type") == kind), [config], root, batch)
+    return sinks.read_dim(t.spark, root, config)
+
+
+@query
+def ensure_dim_table(t):
+    """The part dimension made before its first batch and asked for again after it."""
+    routed, config = part_routing(t)
+    root = scratch(t, "dims")
+    sinks.ensure_dim_table(t.spark, root, config)
+    sinks.upsert_dim(routed, [config], root, 0)
+    sinks.ensure_dim_table(t.spark, root, config)
+    return sinks.read_dim(t.spark, root, config).select("id", "p_name")
 
 
 # ---- parsing, filters, projections ---------------------------------------------------
@@ -156,7 +235,10 @@ def base_log_split(t):
 
 @query
 def route_side_output(t):
-    return traffic.base_log(src.raw_log(t)).groupBy("topic").agg(F.count("*").alias("n"))
+    """Rows per topic folder after the cleaning job wrote them in one go."""
+    path = scratch(t, "routed")
+    sinks.route_side_output(traffic.base_log(src.raw_log(t)), path, batch_id=0)
+    return t.spark.read.parquet(path).groupBy("topic").agg(F.count("*").alias("n"))
 
 
 @query

@@ -24,9 +24,9 @@ def first_rows_of_day(
 
 
 def day_firsts(df: DataFrame, key: Column, time: Column) -> DataFrame:
-    """``key, day, first_time`` per key and day."""
+    """``key, day, first_time`` per key and day; rows without a key are nobody's."""
     return (
-        df.select(key.alias("key"), time.alias("time"))
+        df.select(key.alias("key"), time.alias("time")).where(F.col("key").isNotNull())
         .groupBy("key", F.to_date("time").alias("day"))
         .agg(F.min("time").alias("first_time"))
     )

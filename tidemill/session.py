@@ -37,6 +37,7 @@ def local_session(cores: int = 8, time_zone: str = "UTC", app: str = "tidemill")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.tidemill.scan.partitions", str(cores))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", time_zone)

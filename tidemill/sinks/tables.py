@@ -112,13 +112,16 @@ def latest_changes(routed: DataFrame) -> DataFrame:
 def upsert_dim(routed: DataFrame, configs: Sequence[dict[str, str]], root: str, batch_id: int) -> None:
     """Write one micro-batch of routed changes: per table the latest row of each key.
 
-    Only the changes are written, in the order of the batches; a table is never rewritten here.
+    Only the changes are written, in the order of the batches; a table is never rewritten here, and one without
+    changes gets no folder. A batch that is repeated has the same changes, so it replaces what it wrote.
     """
     latest = latest_changes(routed).persist()
     try:
+        changed = {r.sink_table for r in latest.select("sink_table").distinct().toLocalIterator()}
         for config in configs:
             path = ensure_dim_table(routed.sparkSession, root, config)
-            dim_columns(latest, config).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            if config["sink_table"] in changed:
+                dim_columns(latest, config).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
     finally:
         latest.unpersist()
 

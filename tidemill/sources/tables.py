@@ -33,12 +33,12 @@ LARGE = {
 
 
 def spread(df: DataFrame, by: list[str]) -> DataFrame:
-    """Give every core work when a table comes in fewer files than there are cores.
+    """Deal the rows of a table over ``spark.tidemill.scan.partitions`` partitions, where a session asks for it.
 
-    A table of many files is read as it is, without a shuffle.
+    The local session does, as its tables are single files; elsewhere a table is read as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if len(df.inputFiles()) * 2 <= cores else df
+    partitions = df.sparkSession.conf.get("spark.tidemill.scan.partitions", None)
+    return df.repartition(int(partitions), *by) if partitions else df
 
 
 # ---- page log --------------------------------------------------------------------
@@ -57,7 +57,8 @@ def _event_rows(t: Tables, fast: bool, items: bool) -> DataFrame:
     searched = last == "search"
     if items:
         parts = t.part.select(F.col("p_partkey").alias("_part"), F.col("p_name").alias("_item"))
-        rows = t.events.join(parts, e % 200 == F.col("_part"), "left")
+        keys = t.part.agg(F.max("p_partkey") + 1).scalar()  # events go round all parts
+        rows = t.events.withColumn("_key", e % keys).join(parts, F.col("_key") == F.col("_part"), "left")
     else:
         rows = t.events.withColumn("_item", F.lit(None).cast("string"))
     common = F.struct(

@@ -135,7 +135,8 @@ def login_window(records: DataFrame) -> DataFrame:
 def cart_uu_window(cart: DataFrame) -> DataFrame:
     """Cart facts (columns) to users adding first in the day."""
     ms = F.unix_millis(text_time(F.coalesce("operate_time", "create_time")))
-    firsts = day_firsts(cart, F.col("user_id"), ms, F.lit(""), "string", forget_ms=DAY_MS)
+    known = cart.where(F.col("user_id").isNotNull())
+    firsts = day_firsts(known, F.col("user_id"), ms, F.lit(""), "string", forget_ms=DAY_MS)
     return metrics.cart_counts(firsts.select(F.col("time").alias("first_time")), delay=None)
 
 
@@ -181,7 +182,8 @@ def payment_window(paid: DataFrame) -> DataFrame:
     """Payment facts to paying users."""
     once = first_within(paid, ["order_detail_id"], text_time("callback_time"))
     ms = F.unix_millis(text_time("callback_time"))
-    firsts = day_firsts(once, F.col("user_id"), ms, F.lit(""), "string", delay=None)
+    known = once.where(F.col("user_id").isNotNull())
+    firsts = day_firsts(known, F.col("user_id"), ms, F.lit(""), "string", delay=None)
     return metrics.payment_counts(firsts.select(
         F.col("prev_day").isNull().cast("long").alias("is_new"), F.col("time").alias("first_time")
     ), delay=None)
