@@ -242,6 +242,12 @@ def test_new_only_on_the_first_day(spark):
     assert [(str(r.first_time), r.is_new) for r in got] == [("2024-01-01 09:00:00", 1), ("2024-01-02 10:00:00", 0)]
 
 
+def test_rows_without_a_user_are_nobodys(spark):
+    df = visits_of(spark, (None, "2024-01-01 10:00:00"), ("u", "2024-01-01 10:00:00"))
+    for rule in (firsts.day_firsts, firsts.first_of_day_and_ever, firsts.returning):
+        assert [r.key for r in rule(df, F.col("k"), F.col("t")).collect()] == ["u"]
+
+
 def test_keep_last_and_first_break_ties(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 5, "q")], "k string, ts int, v string")
     assert sorted(r.v for r in dedup.keep_last(df, ["k"], "ts", ("v",)).collect()) == ["q", "z"]
