@@ -45,9 +45,49 @@ def test_upsert_keeps_the_latest(spark, tmp_path):
     sinks.write_upsert(make(("a", 3, 1)), path, 1)
     got = sorted(tuple(r) for r in sinks.read_upsert(spark, path, ["id"], ["ts"]).collect())
     assert got == [("a", 3, 1), ("b", 1, 1)]
-    sinks.compact(spark, path, str(tmp_path / "compact"), ["id"], ["ts"])
-    again = sorted(tuple(r) for r in sinks.read_upsert(spark, str(tmp_path / "compact"), ["id"], ["ts"]).collect())
-    assert again == got
+    read = lambda: sorted(tuple(r) for r in sinks.read_upsert(spark, path, ["id"], ["ts"]).collect())
+    assert sinks.compact(spark, path, ["id"], ["ts"]) == 1
+    assert read() == got and sinks.read_parts(spark, path).count() == 2  # the two batches are not read any more
+    sinks.write_upsert(make(("b", 7, 0), ("c", 1, 1)), path, 2)
+    assert read() == [("a", 3, 1), ("b", 7, 0), ("c", 1, 1)]
+    assert sinks.compact(spark, path, ["id"], ["ts"]) == 2 == sinks.compact(spark, path, ["id"], ["ts"])
+    assert read() == [("a", 3, 1), ("b", 7, 0), ("c", 1, 1)]
+
+
+def test_readers_pass_over_an_unfinished_fold(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    make = lambda *rows: spark.createDataFrame(rows, "id string, v int")
+    sinks.write_upsert(make(("a", 1)), path, 0)
+    make(("a", 9)).withColumn("batch", F.lit(0)).write.parquet(f"{path}/{sinks.FOLDS}/upto=0")
+    (tmp_path / "facts" / sinks.FOLDS / "upto=0" / "_SUCCESS").unlink()
+    assert [tuple(r) for r in sinks.read_upsert(spark, path, ["id"]).collect()] == [("a", 1)]
+
+
+def test_keyed_topic_rows(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    got = sinks.as_topic_rows(df, "t", ["k"])
+    assert got.first().asDict() == {"topic": "t", "key": '{"k":"a"}', "value": '{"k":"a","n":1}'}
+    assert sinks.as_topic_rows(got) is got
+
+
+def test_dims_of_one_batch_are_one_write(spark, tmp_path):
+    """Tables with other columns, one repeated batch, a column that a table gets later, and a fold."""
+    root = str(tmp_path)
+    routed = lambda *rows: spark.createDataFrame(rows, "sink_table string, pk string, ts long, data map<string,string>")
+    a, b = ({"sink_table": t, "sink_columns": c} for t, c in (("dim_a", "id,name"), ("dim_b", "id, size")))
+    both = routed(("dim_a", "1", 1, {"id": "1", "name": "x"}), ("dim_b", "1", 1, {"id": "1", "size": "9"}))
+    for _ in range(2):
+        sinks.upsert_dim(both, [a, b], root, 0)
+    a["sink_columns"] = "id,name,extra"
+    sinks.upsert_dim(routed(("dim_a", "2", 2, {"id": "2", "name": "y", "extra": "e"})), [a, b], root, 1)
+    read = lambda c: sorted(tuple(r) for r in sinks.read_dim(spark, root, c).collect())
+    want = [("1", "x", None), ("2", "y", "e")]
+    assert read(a) == want and read(b) == [("1", "9")]
+    assert sinks.numbered(spark, sinks.dim_path(root, "dim_b"), "batch") == [-1, 0]  # no folder without changes
+    assert sinks.compact_dim(spark, root, "dim_a", 1) == 1
+    assert read(a) == want
+    sinks.upsert_dim(routed(("dim_a", "1", 0, {"id": "1", "name": "z"})), [a, b], root, 2)
+    assert read(a) == [("1", "z", None), ("2", "y", "e")] and read(b) == [("1", "9")]
 
 
 def test_ensure_dim_table(spark, tmp_path):

@@ -1,7 +1,8 @@
 """Writing topics, append tables, keyed tables and dimensions.
 
 Files written under ``batch=<id>`` make a repeated micro-batch replace itself. Keyed tables are
-appended to and read as the latest row per key; ``compact`` folds the parts together.
+appended to and read as the latest row per key. ``compact`` folds finished batches into one part, and
+readers take the latest fold and the batches after it.
 """
 
 from __future__ import annotations
@@ -13,25 +14,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemill.operators.dedup import keep_last
 
 BATCH = "batch"
+FOLDS = "_folds"  # hidden from a plain read of the folder
+TABLE = "_table"
 
 
 # ---- topics ----------------------------------------------------------------------
 
-def as_topic_rows(df: DataFrame, topic: str | None = None) -> DataFrame:
-    """``(topic, value)`` rows, the value being the row as JSON; rows that have both are kept."""
-    if set(df.columns) == {"topic", "value"}:
+def as_topic_rows(df: DataFrame, topic: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """``(topic, value)`` rows, the value being the row as JSON; rows that have both are kept.
+
+    With ``keys`` a column ``key`` holds these columns as JSON, so that a topic keeps the versions of a key together.
+    """
+    if {"topic", "value"} <= set(df.columns) <= {"topic", "key", "value"}:
         return df
     if topic is None:
         raise ValueError("rows without a topic column need a topic")
-    return df.select(F.lit(topic).alias("topic"), F.to_json(F.struct("*")).alias("value"))
+    key = [F.to_json(F.struct(*keys)).alias("key")] if keys else []
+    return df.select(F.lit(topic).alias("topic"), *key, F.to_json(F.struct("*")).alias("value"))
 
 
 def write_topic(
     df: DataFrame, topic: str | None = None, servers: str | None = None, path: str | None = None,
-    batch_id: int | None = None,
+    batch_id: int | None = None, keys: Sequence[str] = (),
 ) -> None:
-    """Append rows to their topics; each row names its own topic or all go to ``topic``."""
-    rows = as_topic_rows(df, topic)
+    """Append rows to their topics; each row names its own topic or all go to ``topic``, keyed by ``keys``.
+
+    A message log cannot replace a repeated batch: there, readers of a keyed topic take the last version of a key.
+    """
+    rows = as_topic_rows(df, topic, keys)
     if servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
         return
@@ -67,7 +77,64 @@ def upsert_view(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 
 def read_upsert(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The latest row per key; a later batch wins, within a batch ``order`` decides."""
-    return upsert_view(spark.read.parquet(path), keys, (BATCH, *order)).drop(BATCH)
+    return upsert_view(read_parts(spark, path), keys, (BATCH, *order)).drop(BATCH)
+
+
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the finished folders ``<name>=<number>`` of a folder, in order."""
+    if not exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    found = [f.getPath().getName() for f in files if f.getPath().getName().startswith(f"{name}=")]
+    return sorted(int(n.split("=")[1]) for n in found)
+
+
+def last_fold(spark: SparkSession, path: str) -> int | None:
+    """The batch up to which the table is folded."""
+    folds = [n for n in numbered(spark, f"{path}/{FOLDS}", "upto") if exists(spark, f"{path}/{FOLDS}/upto={n}/_SUCCESS")]
+    return folds[-1] if folds else None
+
+
+def read_parts(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False
+) -> DataFrame:
+    """The latest fold of a keyed table and the batches after it, each row with its batch.
+
+    With ``merge`` the columns are those of all parts (whose footers are all read). Batches in the fold are not read.
+    """
+    number = T.StructField(BATCH, T.LongType())
+    reader = lambda: (
+        spark.read.schema(T.StructType([*schema.fields, number])) if schema else spark.read.option("mergeSchema", merge))
+    typed = lambda df: df.withColumn(BATCH, F.col(BATCH).cast("long"))
+    upto = last_fold(spark, path)
+    if upto is None:
+        return typed(reader().parquet(path))
+    fold = typed(reader().parquet(f"{path}/{FOLDS}/upto={upto}"))
+    later = [f"{path}/{BATCH}={n}" for n in numbered(spark, path, BATCH) if n > upto]
+    if not later:
+        return fold
+    return fold.unionByName(typed(reader().option("basePath", path).parquet(*later)), allowMissingColumns=True)
+
+
+def compact(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (), upto: int | None = None,
+    merge: bool = False,
+) -> int | None:
+    """Fold the batches of a keyed table up to ``upto`` (the last finished one) into one part; returns ``upto``.
+
+    Readers follow when the fold is complete. Rows keep the batch they came with, so a later batch still wins.
+    Nothing is deleted: batches and folds below the last fold are no longer read.
+    """
+    done = [n for n in numbered(spark, path, BATCH) if exists(spark, f"{path}/{BATCH}={n}/_SUCCESS")]
+    upto = max(done, default=None) if upto is None else upto
+    before = last_fold(spark, path)
+    if upto is None or before is not None and upto <= before:
+        return before
+    parts = read_parts(spark, path, merge=merge).where(F.col(BATCH) <= upto)
+    upsert_view(parts, keys, (BATCH, *order)).write.mode("overwrite").parquet(f"{path}/{FOLDS}/upto={upto}")
+    return upto
 
 
 # ---- dimensions ------------------------------------------------------------------
@@ -85,20 +152,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def dim_path(root: str, sink_table: str) -> str:
+    return f"{root}/{TABLE}={sink_table}"
+
+
 def ensure_dim_table(spark: SparkSession, root: str, config: dict[str, str]) -> str:
     """Create the all-text table of a routing row unless it is there; returns its folder."""
-    path = f"{root}/{config['sink_table']}"
+    path = dim_path(root, config["sink_table"])
     if not exists(spark, path):
         empty = spark.createDataFrame([], T.StructType(dim_schema(config["sink_columns"]).fields + DIM_EXTRA))
         empty.write.parquet(f"{path}/{BATCH}=-1")
     return path
 
 
-def dim_columns(routed: DataFrame, config: dict[str, str]) -> DataFrame:
-    """Routed changes of one sink table with the kept keys as text columns."""
-    cols = dim_schema(config["sink_columns"]).names
-    return routed.where(F.col("sink_table") == config["sink_table"]).select(
-        *[F.col("data").getItem(c).alias(c) for c in cols], F.col("ts").alias("_ts"), F.col("pk").alias("_pk")
+def dim_columns(routed: DataFrame, configs: Sequence[dict[str, str]]) -> DataFrame:
+    """Routed changes as rows of all their sink tables: the kept keys as text columns, null where a table has none."""
+    names: dict[str, dict[str, None]] = {}
+    for config in configs:
+        for c in dim_schema(config["sink_columns"]).names:
+            names.setdefault(c.lower(), {})[c] = None  # columns know no case, keys of a change do
+    return routed.select(
+        *[F.coalesce(*[F.col("data").getItem(s) for s in same]).alias(next(iter(same))) for same in names.values()],
+        F.col("ts").alias("_ts"), F.col("pk").alias("_pk"), F.col("sink_table").alias(TABLE),
     )
 
 
@@ -110,20 +185,17 @@ def latest_changes(routed: DataFrame) -> DataFrame:
 
 
 def upsert_dim(routed: DataFrame, configs: Sequence[dict[str, str]], root: str, batch_id: int) -> None:
-    """Write one micro-batch of routed changes: per table the latest row of each key.
+    """Write one micro-batch of routed changes, in one job for all tables: the latest row of each key.
 
     Only the changes are written, in the order of the batches; a table is never rewritten here, and one without
     changes gets no folder. A batch that is repeated has the same changes, so it replaces what it wrote.
     """
-    latest = latest_changes(routed).persist()
-    try:
-        changed = {r.sink_table for r in latest.select("sink_table").distinct().toLocalIterator()}
-        for config in configs:
-            path = ensure_dim_table(routed.sparkSession, root, config)
-            if config["sink_table"] in changed:
-                dim_columns(latest, config).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-    finally:
-        latest.unpersist()
+    for config in configs:
+        ensure_dim_table(routed.sparkSession, root, config)
+    if not configs:
+        return
+    rows = dim_columns(latest_changes(routed), configs).withColumn(BATCH, F.lit(batch_id).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TABLE, BATCH).parquet(root)
 
 
 def merge_dim(existing: DataFrame, changes: DataFrame, key: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -135,14 +207,13 @@ def merge_dim(existing: DataFrame, changes: DataFrame, key: str, ts: str, ties:
 def read_dim(spark: SparkSession, root: str, config: dict[str, str]) -> DataFrame:
     """The current rows of one dimension table, with the columns its routing row names now."""
     cols = dim_schema(config["sink_columns"])
-    parts = spark.read.schema(T.StructType(cols.fields + DIM_EXTRA)).parquet(f"{root}/{config['sink_table']}")
+    parts = read_parts(spark, dim_path(root, config["sink_table"]), T.StructType(cols.fields + DIM_EXTRA))
     return upsert_view(parts, ["_pk"], (BATCH, "_ts")).select(*cols.names)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Write a keyed table's current rows as one part of a new folder, for readers to switch to."""
-    view = upsert_view(spark.read.parquet(path), keys, (BATCH, *order)).drop(BATCH)
-    view.write.mode("overwrite").parquet(f"{target}/{BATCH}=-1")
+def compact_dim(spark: SparkSession, root: str, sink_table: str, upto: int) -> int | None:
+    """Fold the batches of one dimension up to ``upto``, a batch that the job has finished."""
+    return compact(spark, dim_path(root, sink_table), ["_pk"], ("_ts",), upto, merge=True)
 
 
 def batch_writer(write: Callable[..., None], **fixed) -> Callable[[DataFrame, int], None]:
@@ -150,5 +221,3 @@ def batch_writer(write: Callable[..., None], **fixed) -> Callable[[DataFrame, in
     def run(df: DataFrame, batch_id: int) -> None:
         write(df, batch_id=batch_id, **fixed)
     return run
-
-

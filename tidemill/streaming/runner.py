@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemill.operators.clean import (
     clean_rows, dirty_records, drop_blank, drop_control_rows, is_control, parse_json,
 )
-from tidemill.operators.lookups import SMALL_ROWS
 from tidemill.plans.dim import dim_route
 from tidemill.schemas import ENVELOPE, TOPICS
 from tidemill.session import shared_dir
@@ -49,7 +48,7 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
 
 
 def to_topics(topic: str | None = None, **where) -> Callable[[DataFrame, int], None]:
-    """Writer for topic rows (``topic``, ``value``) or, with ``topic``, for rows of any shape."""
+    """Writer for topic rows (``topic``, ``value``) or, with ``topic`` and maybe ``keys``, for rows of any shape."""
     return sinks.batch_writer(sinks.write_topic, topic=topic, **where)
 
 
@@ -59,11 +58,8 @@ def to_table(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def config_rows(config: DataFrame) -> list[dict[str, str]]:
-    """The routing table on the driver; refused when it is not the small table it should be."""
-    rows = config.limit(SMALL_ROWS + 1).collect()
-    if len(rows) > SMALL_ROWS:
-        raise ValueError(f"the routing table has more than {SMALL_ROWS} rows")
-    return [r.asDict() for r in rows]
+    """The routing table on the driver: one row per source table, to make the tables it names."""
+    return [r.asDict() for r in config.select("sink_table", "sink_columns").distinct().toLocalIterator()]
 
 
 def dim_batch(read_config: Callable[[SparkSession], DataFrame], root: str, dirty_path: str | None = None):
