@@ -134,8 +134,10 @@ CTES["paid"] = f"""
     from orders where o_orderstatus = 'F' and o_orderkey % 10 <> 0) p on p.oid = w.order_id
     join dic on code = p.pt"""
 CTES["paid_once"] = """
-  select * from (select order_detail_id, user_id, callback_time,
-    row_number() over (partition by order_detail_id order by callback_time, user_id) as rn from paid) where rn = 1"""
+  select order_detail_id, user_id, callback_time from (
+    select order_detail_id, user_id, callback_time, epoch(strptime(callback_time, '%Y-%m-%d %H:%M:%S')) as paid_sec,
+      lag(paid_sec) over (partition by order_detail_id order by paid_sec, user_id) as before from paid)
+  where before is null or paid_sec - before > 5"""
 CTES["refund"] = f"""
   select line_id as id, l_suppkey::varchar as user_id, l_orderkey::varchar as order_id, l_partkey::varchar as sku_id,
     i.province_id, {day('sec')} as date_id, {stamp('sec')} as create_time, l_returnflag as refund_type_code,

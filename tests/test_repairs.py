@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemill import session
 from tidemill.functions import keywords, times
-from tidemill.operators import visits
+from streams import rows, run, write_chunks
+from tidemill.operators import dedup, visits
+from tidemill.plans import metrics, traffic
 from tidemill.sinks import tables as sinks
-from tidemill.streaming import processors, runner
+from tidemill.sources import topics
+from tidemill.streaming import jobs, processors, runner
 
 
 def _run_once(spark, source, table, checkpoint):
@@ -100,3 +103,102 @@ def test_rows_without_a_device_keep_their_flag(spark):
     ).withColumn("first_start", F.lit(None).cast("struct<ts:long,offset:long>"))
     got = {(r.mid, r.cell): r.is_new for r in visits.visit_counts(marks).collect()}
     assert got == {(None, 0): "1", (None, 5 * day): "1", ("m", 0): "1", ("m", 5 * day): "0"}
+
+
+def test_orders_without_a_user_add_amounts_only(spark):
+    wide = spark.createDataFrame(
+        [("1", "o1", "u", "5"), ("2", "o2", None, "7"), ("3", "o3", None, None)],
+        "order_detail_id string, order_id string, user_id string, original_total_amount string",
+    ).selectExpr(
+        "*", "'insert' as type", "timestamp_seconds(0) as ts", "'2024-01-01 00:00:01' as order_create_time",
+        *[f"cast(null as string) as {c}" for c in (*metrics.DETAIL_TIES, "activity_reduce_amount", "coupon_reduce_amount")],
+    )
+    got = metrics.order_window(wide).first()
+    assert (got.order_unique_user_count, got.order_new_user_count, got.order_original_total_amount) == (1, 1, 12.0)
+
+
+# (key, second, kept): every copy renews the five seconds; 300 is where a slice ends
+BURSTS = [("a", 0, True), ("a", 4, False), ("a", 8, False), ("a", 14, True), ("b", 8, True), ("b", 296, True),
+          ("b", 300, False), ("b", 304, False), ("b", 310, True)]
+
+
+def _paid(spark, found):
+    rows = [(k, f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}") for k, s, *_ in found]
+    return spark.createDataFrame(rows, "k string, t string")
+
+
+def test_sliding_duplicates(spark, tmp_path):
+    every = [*BURSTS, ("a", 0, False)]
+    extra = spark.createDataFrame([(None, "2024-01-01 00:00:00"), ("c", "no time")], "k string, t string")
+    table = _paid(spark, every).unionByName(extra)
+    want = rows(_paid(spark, [b for b in BURSTS if b[2]]))
+    assert rows(dedup.keep_first_sliding(table, ["k"], times.text_time("t"))) == want
+    for i in range(3):  # on a stream, in time order over three batches
+        part = sorted(every, key=lambda r: r[1])[i * 4:i * 4 + 4]
+        _paid(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = spark.readStream.schema("k string, t string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    once = jobs.first_of_burst(live, F.col("k"), times.text_time("t"), F.struct("k", "t"), "struct<k:string,t:string>")
+    assert rows(run(once.select("carry.*"), tmp_path, "bursts")) == want
+
+
+def test_stream_leaves_rows_without_a_device_alone(spark, tmp_path):
+    day = 86_400_000
+    log = lambda mid, ts: (
+        '{"common":{%s"is_new":"1"},"page":{"page_id":"home","during_time":1},"ts":%d}' % (f'"mid":"{mid}",' if mid else "", ts))
+    values = [log("m", 0), log(None, 0), "{bad", log("m", 3 * day), log(None, 3 * day), log(None, 3 * day)]
+    write_chunks(tmp_path, "log", [values[:3], values[3:]])
+    records = lambda **where: topics.read_topic(spark, "log", path=str(tmp_path), **where)
+    got = rows(run(jobs.base_log(records(max_per_batch=1)), tmp_path, "nobody"))
+    assert got == rows(traffic.base_log(records(stream=False)))
+    assert sum('"is_new":"0"' in value for _, value in got) == 1 and len(got) == 6
+
+
+def test_jumps_of_a_busy_device_are_judged_in_one_pass(spark):
+    from pyspark.sql import Row
+
+    class State(list):
+        reads = 0
+
+        def get(self):
+            self.reads += 1
+            return self
+
+        def appendValue(self, value):
+            self.append(Row("ts", "offset", "is_start", "value")(*value))
+
+        def put(self, values):
+            self[:] = [Row("ts", "offset", "is_start", "value")(*v) for v in values]
+
+        def exists(self):
+            return bool(self)
+
+        def update(self, value):
+            self[:] = [*value]
+
+    class Handle:
+        rows, judged, timers = State(), State(), []
+
+        def getListState(self, *_):
+            return self.rows
+
+        def getValueState(self, *_):
+            return self.judged
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 1_000_000
+
+    class Info:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = lambda: at
+
+    jump, handle = processors.Jump(10), Handle()
+    jump.init(handle)
+    make = Row("ts", "offset", "is_start", "value")
+    list(jump.handleInputRows(("m",), iter([make(k, k, True, str(k)) for k in range(0, 1_000_020, 20)]), None))
+    out = [r.ts for at in sorted(handle.timers) if at <= 1_000_000 for r in jump.handleExpiredTimer(("m",), Clock(), Info(at))]
+    assert out == list(range(0, 1_000_000, 20)) and handle.rows.reads == 1
+    assert [r.ts for r in handle.rows] == [1_000_000]

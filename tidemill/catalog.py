@@ -563,9 +563,9 @@ def dedup_keep_first(t):
 
 @query
 def dedup_keep_first_sliding(t):
-    """One payment row per order detail, although every order version joined it."""
+    """One payment row per order detail and burst of copies; every order version joined it."""
     paid = paid_details(t, extras=False).select("order_detail_id", "user_id", "callback_time")
-    return dedup.keep_first(paid, ["order_detail_id"], "callback_time", ("user_id",))
+    return dedup.keep_first_sliding(paid, ["order_detail_id"], tm.text_time("callback_time"), ("user_id",))
 
 
 @query

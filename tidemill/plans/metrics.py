@@ -20,7 +20,7 @@ from tidemill.functions.times import millis_to_second_time, millis_to_time, text
 from tidemill.operators.clean import (
     filter_home_detail, filter_login, filter_search_keyword, keep_insert, session_start,
 )
-from tidemill.operators.dedup import keep_first, keep_last
+from tidemill.operators.dedup import keep_first, keep_first_sliding, keep_last
 from tidemill.operators.firsts import day_firsts, first_of_day_and_ever, returning
 from tidemill.operators.lookups import dim_join, with_sku
 from tidemill.operators.visits import page_marks, visit_counts
@@ -174,7 +174,8 @@ def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
     each order once per window instead.
 
     A user's orders are first summed per window. That keeps the per-user step, which looks at the
-    previous window to tell a first order of the day, down to one row per user and window.
+    previous window to tell a first order of the day, down to one row per user and window. Rows without a user
+    add their amounts and count for nobody.
     """
     rows = latest_details(wide).select(
         "user_id", "order_id", text_time("order_create_time").alias("time"),
@@ -185,11 +186,12 @@ def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
         rows = rows.groupBy("user_id", "order_id", window).agg(*[F.max(n).alias(n) for n in ORDER_AMOUNTS])
         window = F.col("window")
     users = rows.groupBy("user_id", window).agg(*[total(n) for n in ORDER_AMOUNTS])
-    day = F.to_date("window.start")
-    before = F.lag(day).over(Window.partitionBy("user_id").orderBy("window.start"))
+    day, known = F.to_date("window.start"), F.col("user_id").isNotNull()
+    nobody = F.when(~known, F.col("window.start"))  # rows without a user are no one group
+    before = F.lag(day).over(Window.partitionBy("user_id", nobody).orderBy("window.start"))
     marked = users.withColumn("prev", before).withColumns({
-        "is_unique": (F.col("prev").isNull() | (F.col("prev") != day)).cast("long"),
-        "is_new": F.col("prev").isNull().cast("long"),
+        "is_unique": (known & (F.col("prev").isNull() | (F.col("prev") != day))).cast("long"),
+        "is_new": (known & F.col("prev").isNull()).cast("long"),
         "time": F.col("window.start"),
     })
     return order_counts(marked)
@@ -205,10 +207,10 @@ def order_counts(marked: DataFrame, delay: str | None = DELAY) -> DataFrame:
 
 
 def payment_window(paid: DataFrame) -> DataFrame:
-    """Paying users of the day and first-time payers; a detail paid twice counts by its first."""
-    once = keep_first(
+    """Paying users of the day and first-time payers; copies of a detail in one burst count by their first."""
+    once = keep_first_sliding(
         paid.select("order_detail_id", "user_id", "callback_time"),
-        ["order_detail_id"], "callback_time", ("user_id",),
+        ["order_detail_id"], text_time("callback_time"), ("user_id",),
     )
     return payment_counts(first_of_day_and_ever(once, F.col("user_id"), text_time("callback_time")))
 

@@ -11,16 +11,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions.times import DAY, millis_to_day, millis_to_time, text_time
 from tidemill.operators.clean import (
-    filter_home_detail, filter_login, filter_session_start, keep_insert, parse_json_or_dirty, parse_page_log,
-    session_start,
+    drop_blank, filter_home_detail, filter_login, filter_session_start, keep_insert, parse_json, parse_json_or_dirty,
+    parse_page_log, session_start,
 )
+from tidemill.operators.dedup import GAP_MS
 from tidemill.operators.firsts import RETURN_DAYS
 from tidemill.operators.lookups import lookup_join, small_side
 from tidemill.operators.split import split_log
 from tidemill.operators.visits import JUMP_MS
 from tidemill.plans import facts, metrics
 from tidemill.schemas import ORDER_WIDE, ORDER_WIDE_TS, RAW_LOG
-from tidemill.streaming.processors import DAY_MS, DayFirst, FirstDay, Jump, KeepLast
+from tidemill.streaming.processors import DAY_MS, NOBODY, DayFirst, FirstDay, FirstOfBurst, Jump, KeepLast
 
 LOG = RAW_LOG.simpleString()
 OUT, NO_TIME, EVENT, CLOCK = "append", "None", "EventTime", "ProcessingTime"
@@ -30,31 +31,37 @@ DELAY, REFUND_DELAY, TRAFFIC_DELAY = "2 seconds", "10 seconds", "13 seconds"
 # bounds we choose for joins between streams
 # Defaults of how far apart records that belong together may come, in event time; every job takes its own.
 SAME_WRITE, ORDER_LIFE, REFUND_LIFE = "1 hour", "30 days", "30 days"
+SPARE_KEYS = 1024  # rows without a device are spread over as many keys
 
 
 # ---- log -------------------------------------------------------------------------
 
 def base_log(records: DataFrame) -> DataFrame:
-    """``(topic, value)`` rows of the five detail topics and the dirty topic."""
-    rows, dirty = parse_json_or_dirty(records, RAW_LOG, carry=("offset",))
+    """``(topic, value)`` rows of the five detail topics and the dirty topic, from one read of the log.
+
+    Rows without a device, dirty ones among them, pass as they are and are spread over many keys.
+    """
+    parsed = parse_json(drop_blank(records), RAW_LOG, carry=("offset",))
+    dirty, row = F.col("dirty"), lambda name: F.when(~F.col("dirty"), F.col(f"row.{name}"))
     day = lambda ms: F.date_format(millis_to_time(ms), DAY)
-    keyed = rows.select(
-        F.col("common.mid").alias("mid"), "ts", "offset", day(F.col("ts")).alias("day"),
-        day(F.col("ts") - DAY_MS).alias("day_before"), F.col("common.is_new").alias("is_new"),
-        F.struct(*RAW_LOG.names).alias("log"),
+    spare = F.concat(F.lit(NOBODY), F.pmod(F.coalesce("offset", F.lit(0)), F.lit(SPARE_KEYS)).cast("string"))
+    keyed = parsed.select(
+        F.coalesce(row("common")["mid"], spare).alias("mid"), row("ts").alias("ts"), "offset",
+        day(row("ts")).alias("day"), day(row("ts") - DAY_MS).alias("day_before"), row("common")["is_new"].alias("is_new"),
+        F.when(~dirty, F.struct(*[F.col(f"row.{n}").alias(n) for n in RAW_LOG.names])).alias("log"),
+        F.when(dirty, F.col("value")).alias("dirty_text"),
     )
     seen = keyed.groupBy("mid").transformWithState(
-        FirstDay(), f"log {LOG}, day string, first_day string", OUT, NO_TIME
+        FirstDay(), f"log {LOG}, dirty_text string, day string, first_day string", OUT, NO_TIME
     )
     late = (F.col("log.common.is_new") == "1") & (F.col("day") != F.col("first_day"))
     common = F.when(late, F.col("log.common").withField("is_new", F.lit("0"))).otherwise(F.col("log.common"))
-    fixed = seen.select(F.col("log").withField("common", common).alias("log")).select("log.*")
-    return split_log(fixed).unionByName(dirty)
+    return split_log(seen.select(F.col("log").withField("common", common).alias("log"), "dirty_text").select("log.*", "dirty_text"))
 
 
 def day_firsts(
     df: DataFrame, key: Column, ms: Column, carry: Column, carry_type: str, offset: Column | None = None,
-    forget_ms: int | None = None, pass_rows: bool = False, delay: str | None = DELAY,
+    forget_ms: int | None = None, delay: str | None = DELAY,
 ) -> DataFrame:
     """Day-first rows per key: ``key, day, time, prev_day, is_first, carry``.
 
@@ -71,7 +78,7 @@ def day_firsts(
         keyed = keyed.withWatermark("time", delay)
     out = f"key string, day string, time timestamp, prev_day string, is_first long, carry {carry_type}"
     return keyed.groupBy("key").transformWithState(
-        DayFirst(forget_ms, pass_rows), out, OUT, EVENT, eventTimeColumnName="time"
+        DayFirst(forget_ms), out, OUT, EVENT, eventTimeColumnName="time"
     )
 
 
@@ -143,7 +150,9 @@ def cart_uu_window(cart: DataFrame) -> DataFrame:
 def latest_details(records: DataFrame) -> DataFrame:
     """Order-detail records to one settled insert version per detail id."""
     parsed = keep_insert(_wide_rows(records))
-    tie = F.concat_ws("\u0001", *metrics.DETAIL_TIES)
+    # As a table orders them: column by column, a missing value before all others.
+    part = lambda c: F.coalesce(F.concat(F.lit("\u0002"), c, F.lit("\u0001")), F.lit("\u0000"))
+    tie = F.concat(*[part(F.col(c).cast("string")) for c in metrics.DETAIL_TIES])
     keyed = parsed.select(
         "order_detail_id", F.unix_millis("ts").alias("ts"), tie.alias("tie"),
         F.to_json(F.struct(*[c for c in ORDER_WIDE_TS.names if c != "pt"])).alias("value"),
@@ -158,18 +167,21 @@ def _wide_rows(records: DataFrame) -> DataFrame:
 
 
 def order_window(details: DataFrame) -> DataFrame:
-    """Settled order details to order metrics."""
-    ms = F.unix_millis(text_time("order_create_time"))
-    carry = F.struct(*[metrics.or_zero(c).alias(n) for n, c in metrics.ORDER_AMOUNTS.items()])
-    kind = "struct<" + ", ".join(f"{n}: decimal(16,2)" for n in metrics.ORDER_AMOUNTS) + ">"
-    rows = day_firsts(details, F.col("user_id"), ms, carry, kind, pass_rows=True)
-    first = F.col("is_first") == 1
-    return metrics.order_counts(rows.select(
-        "time",
-        F.col("is_first").alias("is_unique"),
-        (first & F.col("prev_day").isNull()).cast("long").alias("is_new"),
-        *[F.when(~first, F.col(f"carry.{n}")).alias(n) for n in metrics.ORDER_AMOUNTS],
-    ), delay=None)
+    """Settled order details to order metrics.
+
+    Amounts stay columns and are summed as such; only user and time go through the per-user state.
+    """
+    time, zero = text_time("order_create_time"), F.lit(0).cast("decimal(16,2)")
+    known = details.where(F.col("user_id").isNotNull())
+    firsts = day_firsts(known, F.col("user_id"), F.unix_millis(time), F.lit(""), "string")
+    amounts = details.select(
+        time.alias("time"), F.lit(0).cast("long").alias("is_unique"), F.lit(0).cast("long").alias("is_new"),
+        *[metrics.or_zero(c).alias(n) for n, c in metrics.ORDER_AMOUNTS.items()],
+    ).withWatermark("time", DELAY)
+    return metrics.order_counts(amounts.unionByName(firsts.select(
+        "time", F.col("is_first").alias("is_unique"), F.col("prev_day").isNull().cast("long").alias("is_new"),
+        *[zero.alias(n) for n in metrics.ORDER_AMOUNTS],
+    )), delay=None)
 
 
 def first_within(df: DataFrame, keys: list[str], time: Column, delay: str = "5 seconds") -> DataFrame:
@@ -178,12 +190,24 @@ def first_within(df: DataFrame, keys: list[str], time: Column, delay: str = "5 s
     return timed.dropDuplicatesWithinWatermark(keys)
 
 
-def payment_window(paid: DataFrame) -> DataFrame:
-    """Payment facts to paying users."""
-    once = first_within(paid, ["order_detail_id"], text_time("callback_time"))
-    ms = F.unix_millis(text_time("callback_time"))
-    known = once.where(F.col("user_id").isNotNull())
-    firsts = day_firsts(known, F.col("user_id"), ms, F.lit(""), "string", delay=None)
+def first_of_burst(
+    df: DataFrame, key: Column, time: Column, carry: Column, carry_type: str, gap_ms: int = GAP_MS, delay: str = DELAY
+) -> DataFrame:
+    """``time`` (with its watermark) and ``carry`` of rows whose key had no copy within ``gap_ms`` before."""
+    keyed = df.select(key.alias("key"), time.alias("time"), F.unix_millis(time).alias("ts"), carry.alias("carry"))
+    timed = keyed.dropna(subset=["key", "ts"]).withWatermark("time", delay)
+    return timed.groupBy("key").transformWithState(
+        FirstOfBurst(gap_ms), f"time timestamp, carry {carry_type}", OUT, EVENT, eventTimeColumnName="time"
+    )
+
+
+def payment_window(paid: DataFrame, gap_ms: int = GAP_MS) -> DataFrame:
+    """Payment facts to paying users; copies of a detail within ``gap_ms`` of each other count once."""
+    known = paid.where(F.col("user_id").isNotNull())
+    once = first_of_burst(
+        known, F.col("order_detail_id"), text_time("callback_time"), F.col("user_id"), "string", gap_ms
+    ).withColumnRenamed("time", "_rt")
+    firsts = day_firsts(once, F.col("carry"), F.unix_millis("_rt"), F.lit(""), "string", delay=None)
     return metrics.payment_counts(firsts.select(
         F.col("prev_day").isNull().cast("long").alias("is_new"), F.col("time").alias("first_time")
     ), delay=None)

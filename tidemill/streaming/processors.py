@@ -3,6 +3,7 @@
 Each is one small state machine over the rows of a key, run by ``transformWithState`` on the
 RocksDB store. Rows are consumed as they come; what is held back per key is bounded by days or
 by the look-ahead, never by the number of rows, except for a device's very first micro-batch.
+Python state is kept where the earliest row of a micro-batch must win: the built-in duplicate operators take any.
 """
 
 from __future__ import annotations
@@ -15,25 +16,31 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SETTLE_MS = 2_000   # fixed value: a detail is emitted this long after its first version
 DAY_MS = 86_400_000
+NOBODY = "\u0000"
 
 
 class FirstDay(StatefulProcessor):
     """Adds ``first_day``, the day a device counts as first seen, to each of its logs.
 
-    Input: ``ts, offset, day, day_before, is_new, log``. Output: ``log, day, first_day``.
+    Input: ``ts, offset, day, day_before, is_new, log, dirty_text``. Output: ``log, dirty_text, day, first_day``.
+    Keys that begin with ``NOBODY`` are no device: their rows pass as they are.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._first = handle.getValueState("first_day", "day string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[0].startswith(NOBODY):
+            for r in rows:
+                yield Row(log=r.log, dirty_text=r.dirty_text, day=r.day, first_day=None)
+            return
         if not self._first.exists():
             rows = list(rows)  # the earliest log of a new device decides for all of them
             first = min(rows, key=lambda r: (r.ts, r.offset))
             self._first.update((first.day if first.is_new == "1" else first.day_before,))
         (first_day,) = self._first.get()
         for r in rows:
-            yield Row(log=r.log, day=r.day, first_day=first_day)
+            yield Row(log=r.log, dirty_text=r.dirty_text, day=r.day, first_day=first_day)
 
     def close(self) -> None:
         pass
@@ -44,13 +51,12 @@ class DayFirst(StatefulProcessor):
 
     Input: ``time, offset, day, carry``. Output: ``key, day, time, prev_day, is_first, carry``. A day that
     comes after a later one counts as well, within ``late_days`` of the latest; its previous day is the latest
-    before it that was seen. With ``pass_rows`` every input row is passed on as
-    well, with ``is_first`` 0. With ``forget_ms`` a key is forgotten that long (in event time)
+    before it that was seen. With ``forget_ms`` a key is forgotten that long (in event time)
     after its last first row; such jobs do not use ``prev_day``.
     """
 
-    def __init__(self, forget_ms: int | None = None, pass_rows: bool = False, late_days: int = 30):
-        self._forget, self._pass_rows, self._late_days = forget_ms, pass_rows, late_days
+    def __init__(self, forget_ms: int | None = None, late_days: int = 30):
+        self._forget, self._late_days = forget_ms, late_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -62,8 +68,6 @@ class DayFirst(StatefulProcessor):
             held = firsts.get(r.day)
             if held is None or (r.time, r.offset) < (held.time, held.offset):
                 firsts[r.day] = r
-            if self._pass_rows:
-                yield Row(key=key[0], day=r.day, time=r.time, prev_day=None, is_first=0, carry=r.carry)
         seen = self._last.get()[0].split(",") if self._last.exists() else []
         for day in sorted(firsts):
             if day in seen or seen and date.fromisoformat(day) < _days_before(seen[-1], self._late_days):
@@ -108,6 +112,7 @@ class Jump(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._rows = handle.getListState("rows", "ts long, offset long, is_start boolean, value string")
+        self._judged = handle.getValueState("judged", "until long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         due = set()
@@ -120,22 +125,57 @@ class Jump(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """The first timer of a micro-batch judges all starts that are due; the others find nothing to do."""
         at = expiredTimerInfo.getExpiryTimeInMs()
-        start_ts = at - self._within
+        if self._judged.exists() and at <= self._judged.get()[0]:
+            return
+        until = max(at, timerValues.getCurrentWatermarkInMs())
+        self._judged.update((until,))
         held = sorted((tuple(r) for r in self._rows.get()), key=lambda r: r[:2])
-        out = []
-        for i, (ts, _, is_start, value) in enumerate(held):
-            if is_start and ts == start_ts:
-                nxt = held[i + 1] if i + 1 < len(held) else None
-                if nxt is None or nxt[0] - ts >= self._within or nxt[2]:
-                    out.append(Row(value=value, ts=ts))
-        # starts are judged in time order: nothing up to this one is needed any more
-        keep = [r for r in held if r[0] > start_ts]
+        for (ts, _, is_start, value), nxt in zip(held, [*held[1:], None]):
+            if is_start and ts + self._within <= until and (
+                nxt is None or nxt[0] - ts >= self._within or nxt[2]
+            ):
+                yield Row(value=value, ts=ts)
+        keep = [r for r in held if r[0] + self._within > until]
         if keep:
             self._rows.put(keep)
         else:
             self._rows.clear()
-        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class FirstOfBurst(StatefulProcessor):
+    """The first row of a key, and each that comes more than ``gap_ms`` after the copy before it.
+
+    Input: ``time, ts, carry``. Output: ``time, carry``. Every copy renews the time to wait. A key is forgotten
+    when the watermark has passed that time.
+    """
+
+    def __init__(self, gap_ms: int):
+        self._gap = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last", "ts long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last = self._last.get()[0] if self._last.exists() else None
+        before = last
+        for r in sorted(rows, key=lambda r: r.ts):
+            if last is None or r.ts - last > self._gap:
+                yield Row(time=r.time, carry=r.carry)
+            last = r.ts if last is None else max(last, r.ts)
+        if last != before:
+            self._last.update((last,))
+            self._handle.registerTimer(last + self._gap + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self._last.exists() and self._last.get()[0] + self._gap < expiredTimerInfo.getExpiryTimeInMs():
+            self._last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
