@@ -285,6 +285,12 @@ def test_pieces_equal_the_library(edges, nothing):
 
 # ---- toxicity ----------------------------------------------------------------------
 
+def test_toxicity_words_cover_runs_of_any_length():
+    run = "".join(random.Random(3).choices("abcdef", k=1000))
+    assert "".join(toxicity.tokens(run)) == run and max(map(len, toxicity.tokens(run))) == 64
+    assert toxicity.tokens("One two_2, é日本!") == ["one", "two_2", "é日本"]
+
+
 def test_toxicity_on_held_out_and_unseen_spellings(spark, edges, nothing):
     rows, labels = [], []
     for i in range(900):

@@ -39,7 +39,7 @@ ROUNDS = (12, 28)  # on all passages, then on the worst ones
 RATE = 0.1
 SCALE = 16.0
 KNOWN = 400_000
-WORDS = re.compile(r"\w+")
+WORDS = re.compile(r"\w{1,64}")  # a longer run of letters is several words, so a text without blanks counts whole
 
 
 def tokens(text: str | None) -> list[str]:
@@ -48,7 +48,7 @@ def tokens(text: str | None) -> list[str]:
 
 def buckets(word: str) -> list[int]:
     """Hashed character n-grams of a word with its ends marked, and the word itself."""
-    marked = f"<{word[:64]}>"
+    marked = f"<{word}>"
     out = {marked}
     for n in range(GRAMS[0], GRAMS[1] + 1):
         out.update(marked[i:i + n] for i in range(len(marked) - n + 1))
