@@ -245,7 +245,11 @@ def province_window(wide: DataFrame, province: DataFrame) -> DataFrame:
 
 
 def province_counts(details: DataFrame, province: DataFrame) -> DataFrame:
-    named = dim_join(order_totals(details, ["province_id"]), province, "province_id", {"name": "province_name"})
+    return name_provinces(order_totals(details, ["province_id"]), province)
+
+
+def name_provinces(totals: DataFrame, province: DataFrame) -> DataFrame:
+    named = dim_join(totals, province, "province_id", {"name": "province_name"})
     return named.select("stt", "edt", "province_id", "province_name", "order_count", "order_amount")
 
 
@@ -291,7 +295,10 @@ def refund_counts(
     if grain == "user":
         named = with_sku(once, sku_dim, REFUND_DIMS)
         return per_window(named, time, SIZE, ["user_id", *REFUND_DIMS], n, delay=delay)
-    counted = per_window(once, time, SIZE, ["sku_id"], n, delay=delay)
+    return name_refunds(per_window(once, time, SIZE, ["sku_id"], n, delay=delay), sku_dim)
+
+
+def name_refunds(counted: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return with_sku(counted, sku_dim, REFUND_DIMS).select("stt", "edt", "sku_id", *REFUND_DIMS, "refund_count")
 
 

@@ -12,9 +12,10 @@ RECORD = T.StructType([T.StructField("value", T.StringType()), T.StructField("of
 
 
 def as_records(df: DataFrame) -> DataFrame:
-    """``value`` as text, null as the empty string."""
-    rest = [c for c in df.columns if c != "value"]
-    return df.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *rest)
+    """``value`` as text, null as the empty string; without an offset all are 0 and their order is open."""
+    rest = [c for c in df.columns if c not in ("value", "offset")]
+    offset = [F.coalesce("offset", F.lit(0)).cast("long").alias("offset")] if "offset" in df.columns else []
+    return df.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *offset, *rest)
 
 
 def read_topic(

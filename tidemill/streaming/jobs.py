@@ -221,6 +221,13 @@ def spu_order_window(details: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return metrics.spu_counts(details, sku_dim)
 
 
+def refund_counts(refund: DataFrame) -> DataFrame:
+    """Refund requests per sku, to be named by ``metrics.name_refunds``."""
+    once = first_within(refund, ["id"], text_time("create_time"), REFUND_DELAY)
+    return metrics.per_window(
+        once, F.col("_rt"), metrics.SIZE, ["sku_id"], F.count("*").alias("refund_count"), delay=None)
+
+
 def refund_window(refund: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
     once = first_within(refund, ["id"], text_time("create_time"), REFUND_DELAY)
     return metrics.refund_counts(once, sku_dim, grain, F.col("_rt"), delay=None)
@@ -237,16 +244,26 @@ def _near(left: str, right: str, before: str, after: str) -> Column:
     return (F.col(right) >= F.col(left) - lo) & (F.col(right) <= F.col(left) + hi)
 
 
+def _looked_up(df: DataFrame, dic: DataFrame | None, code: str, name: str) -> DataFrame:
+    return df.withColumn(name, F.lit(None).cast("string")) if dic is None else lookup_join(df, dic, code, name)
+
+
+def named(df: DataFrame, dic: DataFrame, code: str, name: str) -> DataFrame:
+    """Rows of a micro-batch with the dictionary's name of today; unknown codes are dropped."""
+    return lookup_join(df.drop(name), dic, code, name).select(*df.columns)
+
+
 def order_detail_wide(
-    log: DataFrame, dic: DataFrame, database: str | None = facts.SHOP_DB, same_write: str = SAME_WRITE,
+    log: DataFrame, dic: DataFrame | None, database: str | None = facts.SHOP_DB, same_write: str = SAME_WRITE,
     order_life: str = ORDER_LIFE,
 ) -> DataFrame:
     """Order details joined to their activity, coupon and order versions as these arrive.
 
     Activity and coupon are written together with the detail (``same_write``), order versions follow within the
-    life of an order (``order_life``); state older than that is dropped.
+    life of an order (``order_life``); state older than that is dropped. A dictionary given here is as it was when
+    the stream began; without one the name is left empty for ``named`` to fill in each micro-batch.
     """
-    details = _timed(lookup_join(facts.order_details(log, database), dic, "source_type", "dic_name"), "rt")
+    details = _timed(_looked_up(facts.order_details(log, database), dic, "source_type", "dic_name"), "rt")
     rename = lambda df, name: df.withColumnRenamed("order_detail_id", name).drop("id")
     acts = _timed(rename(facts.order_activities(log, database), "_act"), "act_rt")
     coupons = _timed(rename(facts.order_coupons(log, database), "_cou"), "cou_rt")
@@ -262,10 +279,10 @@ def order_detail_wide(
 
 
 def pay_success(
-    log: DataFrame, wide: DataFrame, dic: DataFrame, same_write: str = SAME_WRITE, order_life: str = ORDER_LIFE,
+    log: DataFrame, wide: DataFrame, dic: DataFrame | None, same_write: str = SAME_WRITE, order_life: str = ORDER_LIFE,
 ) -> DataFrame:
     """Payments joined to order details that arrived up to ``order_life`` before."""
-    paid = lookup_join(facts.payments(log), dic, "payment_type_code", "payment_type_name")
+    paid = _looked_up(facts.payments(log), dic, "payment_type_code", "payment_type_name")
     paid = paid.withColumn("pay_rt", text_time("callback_time")).withWatermark("pay_rt", DELAY)
     paid = paid.withColumnRenamed("order_id", "_order")
     details = wide.withColumn("rt", F.col("ts")).withWatermark("rt", DELAY)
@@ -275,14 +292,17 @@ def pay_success(
     ).select(*facts.PAY_COLUMNS)
 
 
-def order_refund(log: DataFrame, dic: DataFrame, within: str = REFUND_LIFE) -> DataFrame:
+def order_refund(log: DataFrame, dic: DataFrame | None, within: str = REFUND_LIFE) -> DataFrame:
     """Refund requests joined to the refund update of their order, if it comes ``within`` that time.
 
-    A request without one is emitted with nulls, but only after that time has passed.
+    A request without one is emitted with nulls, but only after that time has passed. Without a dictionary the rows
+    are those that ``facts.name_refunds`` names.
     """
-    codes = small_side(dic.select("dic_code", "dic_name"))
     orders = _timed(facts.refunded_orders(log).withColumnRenamed("order_id", "_order"), "order_rt")
     requests = facts.refunds(log).withColumn("rt", F.timestamp_seconds("ts")).withWatermark("rt", DELAY)
     on = (F.col("order_id") == F.col("_order")) & _near("rt", "order_rt", within, within)
-    return facts.name_refunds(requests.join(orders, on, "left"), codes)
+    joined = requests.join(orders, on, "left")
+    if dic is None:
+        return joined.select(*facts.REFUND_KEYS, "province_id", "ts")
+    return facts.name_refunds(joined, small_side(dic.select("dic_code", "dic_name")))
 
