@@ -76,15 +76,37 @@ def test_a_new_dimension_row_is_seen_by_the_next_batch(spark, tmp_path):
     assert got == {("00:00:00", "1"): "north", ("00:00:00", "2"): None, ("00:01:00", "2"): "south"}
 
 
-@pytest.mark.parametrize("name", ["dim", *sorted(job_table.JOBS)])
-def test_every_job_starts(spark, tables, tmp_path, name):
-    inputs = {TOPICS["db"]} if name == "dim" else {topic for _, topic in job_table.JOBS[name].inputs}
-    for topic in inputs:
+def inputs(tmp_path, name):
+    for topic in {TOPICS["db"]} if name == "dim" else {topic for _, topic in job_table.JOBS[name].inputs}:
         put(tmp_path, topic, 0, "", "{}")
+
+
+def test_every_job_is_wired(spark, tables, tmp_path):
+    """Streams fit the rows of each job, and lookups the rows of a batch."""
+    place = place_of(tmp_path, src.dictionary, lambda s: src.dimensions(tables))
+    for name, job in job_table.JOBS.items():
+        (tmp_path / name).mkdir()
+        inputs(tmp_path / name, name)
+        here = place_of(tmp_path / name, None, None)
+        streams = []
+        for read, topic in job.inputs:
+            folder, where = here.source(topic)
+            streams.append(read(spark, folder, **where))
+        rows = job.rows(*streams)
+        assert rows.isStreaming, name
+        batch = spark.createDataFrame([], rows.schema)
+        done = job.finish(batch, place) if job.finish else batch
+        assert set(job.keys) <= set(done.columns), name
+        assert done.isEmpty(), name
+
+
+@pytest.mark.parametrize("name", ["dim", "settled_details", "sku_details", "spu_order_window", "traffic_window", "unique_visitor"])
+def test_jobs_start(spark, tables, tmp_path, name):
+    inputs(tmp_path, name)
     place = place_of(tmp_path, src.dictionary, lambda s: src.dimensions(tables), config=lambda s: config_frame(s, CONFIG))
-    if name == "settled_details":  # its timers follow the clock
+    if name == "settled_details":  # its timers follow the clock, so it never has nothing to do
         query = job_table.start_job(spark, name, place, checkpoint=str(tmp_path / "ck"))
-        query.processAllAvailable()
+        query.awaitTermination(10)
         query.stop()
         assert query.exception() is None
     else:
