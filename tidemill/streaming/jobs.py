@@ -39,14 +39,14 @@ SPARE_KEYS = 1024  # rows without a device are spread over as many keys
 def base_log(records: DataFrame) -> DataFrame:
     """``(topic, value)`` rows of the five detail topics and the dirty topic, from one read of the log.
 
-    Rows without a device, dirty ones among them, pass as they are and are spread over many keys.
+    Rows without a device or time, dirty ones among them, pass as they are and are spread over many keys.
     """
     parsed = parse_json(drop_blank(records), RAW_LOG, carry=("offset",))
     dirty, row = F.col("dirty"), lambda name: F.when(~F.col("dirty"), F.col(f"row.{name}"))
     day = lambda ms: F.date_format(millis_to_time(ms), DAY)
     spare = F.concat(F.lit(NOBODY), F.pmod(F.coalesce("offset", F.lit(0)), F.lit(SPARE_KEYS)).cast("string"))
     keyed = parsed.select(
-        F.coalesce(row("common")["mid"], spare).alias("mid"), row("ts").alias("ts"), "offset",
+        F.coalesce(F.when(row("ts").isNotNull(), row("common")["mid"]), spare).alias("mid"), row("ts").alias("ts"), "offset",
         day(row("ts")).alias("day"), day(row("ts") - DAY_MS).alias("day_before"), row("common")["is_new"].alias("is_new"),
         F.when(~dirty, F.struct(*[F.col(f"row.{n}").alias(n) for n in RAW_LOG.names])).alias("log"),
         F.when(dirty, F.col("value")).alias("dirty_text"),
@@ -66,14 +66,14 @@ def day_firsts(
     """Day-first rows per key: ``key, day, time, prev_day, is_first, carry``.
 
     ``time`` keeps the watermark, so a window can follow. With ``delay`` None the input brings
-    its watermark along in a column ``_rt``.
+    its watermark along in a column ``_rt``. Rows without a time belong to no day and are left out.
     """
     time = millis_to_time(ms) if delay else F.col("_rt")
     keyed = df.select(
         key.cast("string").alias("key"), time.alias("time"), ms.alias("ts"),
         (F.lit(0) if offset is None else offset).cast("long").alias("offset"),
         millis_to_day(ms).alias("day"), carry.alias("carry"),
-    )
+    ).where(F.col("ts").isNotNull())
     if delay:
         keyed = keyed.withWatermark("time", delay)
     out = f"key string, day string, time timestamp, prev_day string, is_first long, carry {carry_type}"
@@ -101,7 +101,7 @@ def user_jump(records: DataFrame, within_ms: int = JUMP_MS) -> DataFrame:
     keyed = page.select(
         F.col("common.mid").alias("mid"), millis_to_time("ts").alias("rt"), "ts", "offset",
         session_start().alias("is_start"), _page_text(page).alias("value"),
-    ).withWatermark("rt", DELAY)
+    ).where(F.col("ts").isNotNull()).withWatermark("rt", DELAY)
     return keyed.groupBy("mid").transformWithState(
         Jump(within_ms), "value string, ts long", OUT, EVENT
     ).select("value")
@@ -154,7 +154,7 @@ def latest_details(records: DataFrame) -> DataFrame:
     part = lambda c: F.coalesce(F.concat(F.lit("\u0002"), c, F.lit("\u0001")), F.lit("\u0000"))
     tie = F.concat(*[part(F.col(c).cast("string")) for c in metrics.DETAIL_TIES])
     keyed = parsed.select(
-        "order_detail_id", F.unix_millis("ts").alias("ts"), tie.alias("tie"),
+        "order_detail_id", F.coalesce(F.unix_millis("ts"), F.lit(-1)).alias("ts"), tie.alias("tie"),
         F.to_json(F.struct(*[c for c in ORDER_WIDE_TS.names if c != "pt"])).alias("value"),
     )
     last = keyed.groupBy("order_detail_id").transformWithState(KeepLast(), "value string", OUT, CLOCK)
