@@ -205,6 +205,26 @@ def test_leaks(spark, edges, nothing, monkeypatch):
     assert decontaminate.leaks(edges, bench.where("false")).count() == 0
 
 
+def test_edited_and_partial_copies_in_many_documents(spark):
+    """Neither a seed that very many documents hold nor broken seeds hide a leak; brute force over all pairs."""
+    items = [(k, " ".join(f"v{k}x{j}" for j in range(30))) for k in range(3)]
+    w = [t.split() for _, t in items]
+    edited = " ".join("changed" if j in (5, 15, 25) else x for j, x in enumerate(w[0]))
+    first, last = " ".join(w[1][:16]), " ".join(w[1][14:])
+    texts = [prose(k, 12) + " " + edited + " " + prose(k + 1, 12) for k in range(200)]
+    texts += [prose(k, 12) + " " + first for k in range(200)] + [last + " one document"]
+    texts += [" ".join(w[2][:9]) + " " + prose(k, 30) for k in range(50)]  # too little of the item
+    docs = spark.createDataFrame(rows_of(*[(k, t, "s") for k, t in enumerate(texts)]), SCHEMA)
+    score = lambda t, i: brute_align(decontaminate.words(t), decontaminate.words(i)) / (2 * len(i.split()))
+    want = {(k, i): score(t, x) for k, t in enumerate(texts) for i, x in items}
+    want = {p: s for p, s in want.items() if s >= decontaminate.SIMILARITY}
+    assert len(want) == 401 and want[0, 0] == pytest.approx(0.85)
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(want)
+    kept = decontaminate.clean(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(401, 451))
+
+
 # ---- sentences ---------------------------------------------------------------------
 
 def test_sentences_join_to_the_text():

@@ -1,14 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every three-word sequence of the test items is a seed. One pass counts in how many documents each occurs.
-2. A seed is rare for its item if it occurs in at most ``SPREAD`` times as many documents as the item's quartile
-   seed. This is relative, so an item that leaked into very many documents keeps its seeds, and only sequences
-   of everyday words, which sit in far more documents than the rest of the item, are left out.
-3. A second pass cuts the documents into overlapping passages and sends those with rare seeds; they are joined
-   to the items by seed.
-4. Each passage and item is aligned word by word (local alignment, linear gaps). The score over the best score
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every three-word sequence of the test items is a seed. Documents are cut into overlapping passages, and each
+   passage meets the items whose seeds it holds. No seed is left out for being frequent: an edited passage in
+   very many documents makes all its surviving seeds frequent.
+2. A passage that holds too few of an item's words (each as often as the item has it) to reach the similarity even
+   if all of them matched in order is passed over, which loses nothing. That is what most passages that share
+   only everyday words with an item come to.
+3. Each passage and item left is aligned word by word (local alignment, linear gaps). The score over the best score
    the item can have is the similarity, which edits and paraphrase lower gradually.
 
+All of it happens where the document lies: nothing is shuffled by seed, so a seed in a third of the documents is
+work in proportion to its documents.
+
 The items are a stated query set: they are taken in blocks of a proven size, each block is sent to the tasks and
 held against all documents, so any number of items works. Words are lower-cased runs between ASCII punctuation
 and white space.
@@ -30,8 +33,6 @@ from pyspark.sql import DataFrame, functions as F
 from tidemill.llm.common import slices, text_key, written
 
 GRAM = 3
-SPREAD = 4
-LEAST_RARE = 10
 SIMILARITY = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
@@ -46,18 +47,26 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Seeds:
-    """Word numbers and sorted seed codes of a block of items."""
+    """Word numbers, sorted seed codes and word counts of a block of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        cut = {i: words(t) for i, t in items}
-        self.number = {w: k for k, w in enumerate(dict.fromkeys(w for ws in cut.values() for w in ws))}
+        self.items = [(i, words(t)) for i, t in items]
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(w for _, ws in self.items for w in ws))}
         self.base = len(self.number) + 1
         if self.base >= 1 << 21:
             raise ValueError("a block of items has too many words")
-        self.longest = max(map(len, cut.values()), default=0)
-        pairs = {(int(c), i) for i, ws in cut.items() for c in self.codes(self.numbers(ws))}
-        self.pairs = sorted(pairs)
-        self.sorted = np.unique(np.array([c for c, _ in self.pairs], dtype=np.int64))
+        numbered = [self.numbers(ws) for _, ws in self.items]
+        self.lengths = np.array([len(n) for n in numbered], dtype=np.int64)
+        self.longest = int(self.lengths.max(initial=0))
+        pairs = sorted({(int(c), k) for k, n in enumerate(numbered) for c in self.codes(n)})
+        self.sorted, first = np.unique(np.array([c for c, _ in pairs], dtype=np.int64), return_index=True)
+        # Items (by place in the block) with each seed, and words with their number of times in each item.
+        self.holders = np.array([k for _, k in pairs], dtype=np.int64)
+        self.held = np.append(first, len(pairs))
+        counted = [np.unique(n, return_counts=True) for n in numbered]
+        self.word = np.concatenate([np.empty(0, dtype=np.int64), *[w for w, _ in counted]])
+        self.times = np.concatenate([np.empty(0, dtype=np.int64), *[n for _, n in counted]])
+        self.begin = np.cumsum([0, *[len(w) for w, _ in counted]])
 
     def numbers(self, ws: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.number.get, ws, repeat(-1)), dtype=np.int64, count=len(ws))
@@ -69,14 +78,33 @@ class Seeds:
         a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
         return np.where((a >= 0) & (b >= 0) & (c >= 0), (a * self.base + b) * self.base + c, -1)
 
-    def hits(self, numbers: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and codes of the seeds of ``among`` (sorted)."""
+    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and seeds (by place in ``sorted``)."""
         codes = self.codes(numbers)
         at = np.flatnonzero(codes >= 0)
-        if not len(at) or not len(among):
-            return at[:0], codes[:0]
-        found = among[np.minimum(np.searchsorted(among, codes[at]), len(among) - 1)] == codes[at]
-        return at[found], codes[at[found]]
+        if not len(at) or not len(self.sorted):
+            return at[:0], at[:0]
+        seed = np.minimum(np.searchsorted(self.sorted, codes[at]), len(self.sorted) - 1)
+        found = self.sorted[seed] == codes[at]
+        return at[found], seed[found]
+
+    def near(self, passage: np.ndarray, seed: np.ndarray, similarity: float) -> np.ndarray:
+        """Items with one of the seeds whose words in the passage are enough for the similarity."""
+        seed = np.unique(seed)
+        items = np.unique(self.holders[_ranges(self.held[seed], self.held[seed + 1])])
+        among, n = np.unique(passage[passage >= 0], return_counts=True)
+        first, last = self.begin[items], self.begin[items + 1]
+        every = _ranges(first, last)
+        at = np.minimum(np.searchsorted(among, self.word[every]), len(among) - 1)
+        both = np.where(among[at] == self.word[every], np.minimum(n[at], self.times[every]), 0)
+        most = np.add.reduceat(both, np.cumsum(last - first) - (last - first))
+        return items[most >= similarity * self.lengths[items] - 1e-6]
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The whole numbers of all ranges, one behind the other."""
+    size = last - first
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
@@ -95,52 +123,6 @@ def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int
         yield block
 
 
-def _frequencies(rows: DataFrame, shared) -> DataFrame:
-    """seed and the number of documents with it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = shared.value
-        for batch in slices(batches, "text"):
-            found = []
-            for t in batch.column("text").to_pylist():
-                codes = seeds.hits(seeds.numbers(words(t)), seeds.sorted)[1]
-                if len(codes):
-                    found.append(np.unique(codes))
-            if found:
-                seed, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(n)], names=["seed", "n"])
-
-    return rows.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("docs"))
-
-
-def _passages(rows: DataFrame, shared, rare) -> DataFrame:
-    """doc_id, text_key, ``start`` (word place), ``passage`` and the rare ``seeds`` in it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, among = shared.value, rare.value
-        step = 2 * max(seeds.longest, 8)
-        for batch in slices(batches, "text"):
-            out = []
-            for doc, key, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
-                ws = words(t)
-                at, codes = seeds.hits(seeds.numbers(ws), among)
-                tiles: dict[int, set[int]] = {}
-                for p, c in zip(at.tolist(), codes.tolist()):
-                    for tile in {p // step, max(p // step - 1, 0)}:
-                        tiles.setdefault(tile, set()).add(c)
-                for tile, held in sorted(tiles.items()):
-                    part = b" ".join(ws[tile * step:(tile + 2) * step]).decode("utf-8", "replace")
-                    out.append((doc, key, tile * step, part, sorted(held)))
-            if out:
-                doc, key, start, part, held = zip(*out)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(start, pa.int64()),
-                    pa.array(part, pa.string()), pa.array(held, pa.list_(pa.int64())),
-                ], names=["doc_id", "text_key", "start", "passage", "seeds"])
-
-    return rows.mapInArrow(run, "doc_id long, text_key long, start long, passage string, seeds array<long>")
-
-
 def align(passages: list[list[bytes]], items: list[list[bytes]]) -> np.ndarray:
     """Best local alignment score of each pair, all pairs of a block at once: a row of the table per item word."""
     number: dict[bytes, int] = {}
@@ -166,19 +148,42 @@ def align(passages: list[list[bytes]], items: list[list[bytes]]) -> np.ndarray:
     return best
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
+def _aligned(rows: DataFrame, shared, similarity: float) -> DataFrame:
+    """doc_id, text_key, item_id, ``start`` (word place of the passage) and ``similarity`` where it is reached."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, PAIRS):
-                part = batch.slice(start, PAIRS)
-                left = [words(t) for t in part.column("passage").to_pylist()]
-                right = [words(t) for t in part.column("item").to_pylist()]
-                score = align(left, right) / (MATCH * np.array([len(w) for w in right]))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("doc_id", "text_key", "item_id", "start")), pa.array(score)],
-                    names=["doc_id", "text_key", "item_id", "start", "similarity"])
+        seeds = shared.value
+        step = 2 * max(seeds.longest, 8)
+        pairs: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(pairs), PAIRS):
+                doc, key, start, passage, item = zip(*pairs[k:k + PAIRS])
+                right = [seeds.items[i][1] for i in item]
+                score = align(list(passage), right) / (MATCH * np.array([len(w) for w in right]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(doc, pa.int64()), pa.array(key, pa.int64()),
+                    pa.array([seeds.items[i][0] for i in item], pa.int64()), pa.array(start, pa.int64()), pa.array(score),
+                ], names=["doc_id", "text_key", "item_id", "start", "similarity"])
+            pairs.clear()
 
-    return pairs.mapInArrow(run, "doc_id long, text_key long, item_id long, start long, similarity double")
+        for batch in slices(batches, "text"):
+            for doc, key, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
+                ws = words(t)
+                numbers = seeds.numbers(ws)
+                at, seed = seeds.hits(numbers)
+                tiles = at // step
+                for tile in np.union1d(tiles, np.maximum(tiles - 1, 0)).tolist():
+                    within = slice(*np.searchsorted(tiles, [tile, tile + 2]))
+                    place = slice(tile * step, (tile + 2) * step)
+                    for item in seeds.near(numbers[place], seed[within], similarity).tolist():
+                        pairs.append((doc, key, tile * step, ws[place], item))
+                    if len(pairs) >= PAIRS:
+                        yield from flush()
+        yield from flush()
+
+    found = rows.mapInArrow(run, "doc_id long, text_key long, item_id long, start long, similarity double")
+    return found.where(F.col("similarity") >= similarity)
 
 
 def alignments(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -190,28 +195,8 @@ def alignments(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     out = spark.createDataFrame([], "doc_id long, text_key long, item_id long, start long, similarity double")
     for block in blocks(items, item_id, item_text):
         seeds = Seeds(block)
-        if not len(seeds.sorted):
-            continue
-        shared = spark.sparkContext.broadcast(seeds)
-        counts = _frequencies(rows, shared)
-        own = spark.createDataFrame(
-            pa.table({"seed": pa.array([c for c, _ in seeds.pairs], pa.int64()),
-                      "item_id": pa.array([i for _, i in seeds.pairs], pa.int64())}))
-        known = own.join(counts, "seed", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
-        usual = known.groupBy("item_id").agg(F.percentile("docs", 0.25).alias("usual"))
-        rare = written(known.join(usual, "item_id").where(
-            F.col("docs") <= F.greatest(F.lit(LEAST_RARE), SPREAD * F.col("usual"))
-        ).where("docs > 0").select("seed", "item_id"), "rare-seeds")
-        # At most as many as the seeds of the block.
-        among = np.unique(np.array([r.seed for r in rare.select("seed").distinct().toLocalIterator()], dtype=np.int64))
-        if not len(among):
-            continue
-        found = _passages(rows, shared, spark.sparkContext.broadcast(among))
-        texts = spark.createDataFrame(pa.table({
-            "item_id": pa.array([i for i, _ in block], pa.int64()), "item": pa.array([t for _, t in block])}))
-        met = found.select("doc_id", "text_key", "start", "passage", F.explode("seeds").alias("seed")).join(rare, "seed")
-        pairs = met.select("doc_id", "text_key", "start", "passage", "item_id").distinct().join(texts, "item_id")
-        out = out.unionByName(_aligned(pairs).where(F.col("similarity") >= similarity))
+        if len(seeds.sorted):
+            out = out.unionByName(_aligned(rows, spark.sparkContext.broadcast(seeds), similarity))
     return out
 
 
