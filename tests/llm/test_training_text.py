@@ -245,6 +245,15 @@ def test_repeated_passage_goes_from_all_but_the_first(spark, edges, nothing):
     assert sentence_spans.without_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 2])
+def test_a_document_given_twice_is_one_place(spark, partitions):
+    lone = " ".join(f"Sentence {k} of the only text that says so here." for k in range(8))
+    docs = spark.createDataFrame(rows_of((1, lone, "s"), (1, lone, "s"), (None, prose(2, 60), "s"), (None, prose(2, 60), "s")), SCHEMA)
+    got = sentence_spans.without_repeats(docs.coalesce(1) if partitions == 1 else docs.repartition(2)).collect()
+    assert sorted((r.doc_id or 0, r.n_removed, r.text) for r in got) == sorted(
+        [(1, 0, lone)] * 2 + [(0, 0, prose(2, 60))] * 2)
+
+
 # ---- tokens ------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

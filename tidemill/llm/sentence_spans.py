@@ -69,12 +69,17 @@ def hashed_runs(docs: DataFrame, min_words: int, min_sentences: int, lone_words:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 16 << 20):
-            ids = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False)
             digests, places = [], []
-            for row in np.lexsort((keys, ids)).tolist():
+            document, seen = None, set()
+            for row in np.lexsort((keys, ids, known)).tolist():
                 text = batch.column("text")[row].as_py()
-                if text:
+                if document != (known[row], ids[row], keys[row]):
+                    document, seen = (known[row], ids[row], keys[row]), set()
+                if text and text not in seen:  # rows of one document are one place
+                    seen.add(text)
                     for digest, first, last in runs(sentences(text), min_words, min_sentences, lone_words):
                         digests.append(digest)
                         places.append((row, first, last))
