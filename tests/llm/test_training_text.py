@@ -254,6 +254,30 @@ def test_a_document_given_twice_is_one_place(spark, partitions):
         [(1, 0, lone)] * 2 + [(0, 0, prose(2, 60))] * 2)
 
 
+def test_spans_against_all_runs(spark):
+    """Every run of enough words that stands at an earlier place goes, up to both its ends."""
+    rng = random.Random(11)
+    sentence = lambda n: " ".join(["Word", *(rng.choice(WORDS) + str(rng.randint(0, 9999)) for _ in range(n - 1))]) + "."
+    shared = [[sentence(n) for n in sizes] for sizes in ((45, 30), (45, 5, 5), (5, 5, 45), (12, 12, 12, 3), (45,), (30,), (3, 50, 4, 9, 30, 1))]
+    pool = [sentence(rng.choice([1, 3, 9, 15, 22, 41])) for _ in range(25)]
+    docs = {k: [sentence(15), *shared[k % 7], sentence(8), sentence(25)] for k in range(14)}
+    docs |= {k: [rng.choice(pool) for _ in range(rng.randint(1, 25))] + rng.choice(shared) for k in range(14, 60)}
+    found = [(tuple(d[a:b]), k, a, b) for k, d in docs.items() for a in range(len(d)) for b in range(a + 1, len(d) + 1)
+             for n in [sum(len(s.split()) for s in d[a:b])] if n >= 20 and b - a >= 2 or n >= 40]
+    first = {}
+    for run, k, a, _ in found:
+        first.setdefault(run, (k, a))
+    gone = collections.defaultdict(set)
+    for run, k, a, b in found:
+        if first[run] != (k, a):
+            gone[k].update(range(a, b))
+    want = {k: (len(gone[k]), " ".join(s for j, s in enumerate(d) if j not in gone[k])) for k, d in docs.items()}
+    assert gone[7] == {1, 2} and gone[8] == {1, 2, 3} and 5 not in gone[12]
+    rows = spark.createDataFrame(rows_of(*[(k, " ".join(d), "s") for k, d in docs.items()]), SCHEMA)
+    got = sentence_spans.without_repeats(rows.repartition(3)).collect()
+    assert {r.doc_id: (r.n_removed, r.text.strip()) for r in got} == want
+
+
 # ---- tokens ------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -1,7 +1,9 @@
 """Substring de-duplication by sliding spans of sentences.
 
-From every sentence the shortest run of consecutive sentences with enough words is hashed (128 bits of its words
-joined by blanks). A run's first place is the smallest (document, sentence) in the whole table; every other place
+A run is some consecutive sentences with enough words. From every sentence the shortest run is hashed, and up to
+every sentence the shortest run too: together they cover each longer run, up to both its ends, and are repeated
+where it is (runs are equal sentence by sentence). A hash has 128 bits of a run's words
+joined by blanks. A run's first place is the smallest (document, sentence) in the whole table; every other place
 is a repeat, and the sentences it covers are removed. Each batch of texts keeps one place per run and marks the
 others as repeats at once, so a passage that a third of the documents share sends one row per batch to the join.
 
@@ -37,27 +39,30 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(parts: list[str], min_words: int, min_sentences: int, lone_words: int) -> list[tuple[bytes, int, int]]:
-    """(hash, first, last) of the shortest long enough run from every sentence."""
+    """(hash, first, last) of the shortest long enough runs from and up to every sentence, by their first."""
     words = [p.split() for p in parts]
-    if sum(map(len, words)) < min_words:
+    if sum(map(len, words)) < min(min_words, lone_words):
         return []
     kept = [k for k, w in enumerate(words) if w]
     counts = [len(words[k]) for k in kept]
     joined = [" ".join(words[k]) for k in kept]
-    out, stop, total = [], 0, 0
+    stops, stop, total = [], 0, 0  # end of the shortest run from each sentence
     for i in range(len(kept)):
         if stop <= i:
             stop, total = i, 0
-        while stop < len(kept) and not (
-            total >= min_words and stop - i >= min_sentences or total >= lone_words
-        ):
+        long = lambda: total >= min_words and stop - i >= min_sentences or stop > i and total >= lone_words
+        while stop < len(kept) and not long():
             total += counts[stop]
             stop += 1
-        if total < min_words or stop - i < min_sentences and total < lone_words:
+        if not long():
             break
-        digest = xxhash.xxh3_128_digest(" ".join(joined[i:stop]).encode("utf-8", "surrogatepass"))
-        out.append((digest, kept[i], kept[stop - 1]))
+        stops.append(stop)
         total -= counts[i]
+    out = []
+    for i, (stop, after) in enumerate(zip(stops, [*stops[1:], len(kept) + 1])):
+        for end in range(stop, max(after, stop + 1)):  # longer ones are the shortest up to their last sentence
+            digest = xxhash.xxh3_128_digest(" ".join(joined[i:end]).encode("utf-8", "surrogatepass"))
+            out.append((digest, kept[i], kept[end - 1]))
     return out
 
 
