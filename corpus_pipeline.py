@@ -20,8 +20,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their host (operator 6); n_chars follows the text."""
-    found = line_dedup.drop_boilerplate(docs)
+    """Documents without the boilerplate lines of their host (operator 6); n_chars follows the text.
+
+    Copies of a document are one page here: one of them is to be left by the next stage, with its text."""
+    found = line_dedup.drop_boilerplate(docs, distinct_texts=True)
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

@@ -110,6 +110,16 @@ def test_lines(spark, edges, nothing):
     assert line_dedup.drop_boilerplate(edges).count() == len(EDGES) and line_dedup.drop_boilerplate(nothing).count() == 0
 
 
+def test_copies_keep_their_lines_in_the_pipeline(spark):
+    copied = {k: f"menu home\n{prose(k, 60)}" for k in range(3)}
+    rows = [(10 * k + j, t, h) for k, t in copied.items() for j in range(5) for h in ("s" if k else "u",)]
+    rows += [(100 + k, f"menu home\n{prose(100 + k, 40)}", "s") for k in range(4)] + [(200 + k, None, "s") for k in range(9)]
+    docs = spark.createDataFrame(rows_of(*rows), SCHEMA).repartition(3)
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, docs, "").collect()}
+    # On s the menu is on six distinct pages of seven; u holds one page, given five times.
+    assert got == {i: t if t is None or h == "u" else t.removeprefix("menu home\n") for i, t, h in rows}
+
+
 # ---- simhash -----------------------------------------------------------------------
 
 def brute_print(t):

@@ -9,6 +9,10 @@ DataFrame functions only.
 Defined results: a null text stays null with no lines; lines without a word are never dropped; pages without a
 host are left as they are; a page whose lines all go keeps its row with an empty text; repeated rows are
 pages of their own; an empty table gives no rows.
+
+So three copies of a document on a small host make all its lines boilerplate, and the text goes from every copy.
+With ``distinct_texts`` rows of equal text on a host are one page, in the share and in ``min_pages``: exact copies
+keep their lines, for a later stage that removes copies. Copies with edits are still pages of their own.
 """
 
 from __future__ import annotations
@@ -31,13 +35,19 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """host and ``lines``: hashes of the lines on more than ``ratio`` of its pages, and on ``min_pages`` or more."""
     pages = docs.where(F.col(host).isNotNull()).select(F.col(host).alias("host"), F.col(text).alias("text"))
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     hashes = F.array_distinct(F.transform(F.filter(_lines(F.col("text")), has_word), _hash))
+    held = pages.select("host", hashes.alias("lines"))
+    if distinct_texts:
+        # Copies are combined before the shuffle, which carries line hashes and no text.
+        pages = pages.withColumn("page", _hash(F.col("text")))
+        held = pages.select("host", "page", hashes.alias("lines")).groupBy("host", "page").agg(F.first("lines").alias("lines"))
+        pages = pages.select("host", "page").distinct()
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = (
-        pages.select("host", F.explode(hashes).alias("line")).select("host", "line.a", "line.b")
+        held.select("host", F.explode("lines").alias("line")).select("host", "line.a", "line.b")
         .groupBy("host", "a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     )
     common = counts.join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
@@ -45,9 +55,9 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """``docs`` as a struct ``row``, with ``clean`` (the text that is left), ``n_lines`` and ``n_dropped``."""
-    found = written(boilerplate(docs, text, host, ratio, min_pages), "boilerplate")
+    found = written(boilerplate(docs, text, host, ratio, min_pages, distinct_texts), "boilerplate")
     rows = docs.select(
         F.struct(*docs.columns).alias("row"), F.col(host).alias("host"), _lines(F.col(text)).alias("all")
     ).join(found, "host", "left")
