@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.llm import (
-    decontaminate, licenses, line_dedup, pieces, quality_rules, sentence_spans, simhash_pivots, token_edits, toxicity, warc,
+    decontaminate, licenses, line_dedup, main_text, oracles, pieces, quality_rules, repair, sentence_spans, simhash_pivots, spelling,
+    token_edits, toxicity, warc,
 )
 from tidemill.llm.common import table
 
@@ -73,6 +74,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def _reachable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Python workers import this package too: name the folder it lies in."""
 
@@ -87,13 +100,17 @@ def _reachable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _reachable(q) for q in (
         op1_decontaminate, op2_quality_rules, op3_token_counts, op4_simhash, op5_licenses, op6_line_dedup,
-        op7_sentence_spans, op8_pieces, op9_toxicity, op10_warc,
+        op7_sentence_spans, op8_pieces, op9_toxicity, op10_warc, op11_main_text, op12_conversation_repair,
+        op13_spelling_variants,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op11_main_text": oracles.MAIN_TEXT,
+    "op12_conversation_repair": oracles.REPAIR,
+    "op13_spelling_variants": oracles.SPELLING,
     "op2_quality_rules": rf"""
 with d as (
   select row_number() over () as rid, doc_id, source, text, {_WORDS} as words,
