@@ -29,17 +29,13 @@ CTES["ev"] = """
   from events left join part on p_partkey = event_id % (select max(p_partkey) + 1 from part)"""
 CTES["page"] = "select *, slow_ms as ts, make_timestamp(slow_ms * 1000)::date as d from ev"
 CTES["fpage"] = "select *, fast_ms as ts, make_timestamp(fast_ms * 1000)::date as d from ev"
-# log rows that survive parsing; event_id % 11 = 0 are start logs
-CTES["good"] = "select * from page where event_id % 89 <> 0 and event_id % 97 <> 0"
-CTES["fgood"] = "select * from fpage where event_id % 89 <> 0 and event_id % 97 <> 0"
 
 FIXED = """
   select * replace (case when is_new = '1' and d <> first_value(
       case when is_new = '1' then d else d - 1 end) over (partition by mid order by ts, event_id)
     then '0' else is_new end as is_new) from {src}"""
 CTES["fixed"] = FIXED.format(src="page")
-CTES["fixed_good"] = FIXED.format(src="good")
-CTES["fixed_fgood"] = FIXED.format(src="fgood")
+CTES["fixed_fast"] = FIXED.format(src="fpage")
 
 JUMP = """
   select * from (
@@ -185,8 +181,9 @@ PAGE_COLS = "event_id, mid, page_id, last_page_id, ts"
 
 SQL: dict[str, str] = {}
 
-SQL["read_topic"] = """select event_id, (event_id % 89 = 0)::bigint as is_empty,
-  (event_id % 89 <> 0 and event_id % 97 <> 0)::bigint as is_whole from page"""
+# every log record, and damaged copies of some: empty (event_id % 89 = 0) or cut short (% 97)
+SQL["read_topic"] = """select event_id, 0::bigint as is_empty, 1::bigint as is_whole from page
+  union all select event_id, (event_id % 89 = 0)::bigint, 0 from page where event_id % 89 = 0 or event_id % 97 = 0"""
 
 SQL["read_change_log"] = f"""
   with x as (
@@ -219,16 +216,15 @@ SQL["write_upsert"] = """
 SQL["upsert_dim"] = f"""select p_partkey::varchar as id, p_name,
   {amount('round(p_retailprice * 100) + case when p_partkey % 2 = 0 then 100 else 0 end')} as p_retailprice from part"""
 
-SQL["parse_json_or_dirty"] = """select event_id, (event_id % 97 = 0)::bigint as dirty,
-  case when event_id % 97 <> 0 then mid end as mid, case when event_id % 97 <> 0 then ts end as ts
-  from page where event_id % 89 <> 0"""
+SQL["parse_json_or_dirty"] = """select event_id, 0::bigint as dirty, mid, ts from page
+  union all select event_id, 1, null, null from page where event_id % 97 = 0 and event_id % 89 <> 0"""
 SQL["drop_control_rows"] = "select type, p_partkey::varchar as id, 1704067200 + p_partkey + plus as ts from partlog"
 SQL["drop_empty_and_keep_insert"] = """select order_detail_id, order_id, type, split_original_amount from wide
   where type = 'insert'"""
 SQL["explode_displays"] = f"""select {PAGE_COLS}, props as item, pos::varchar as pos
-  from good, unnest(range(1, (event_id % 4 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'view'"""
+  from page, unnest(range(1, (event_id % 4 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'view'"""
 SQL["explode_actions"] = f"""select {PAGE_COLS}, props as action_id, pos::varchar as pos
-  from good, unnest(range(1, (event_id % 3 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'click'"""
+  from page, unnest(range(1, (event_id % 3 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'click'"""
 
 ROUTED = """
   select 'dwd_traffic_error_log' as topic, mid, is_new, ts::varchar as ts, case when event_id % 11 <> 0 then page_id end as page_id,
@@ -240,8 +236,8 @@ ROUTED = """
     from {src}, unnest(range(1, (event_id % 4 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'view'
   union all select 'dwd_traffic_action_log', mid, is_new, ts::varchar, page_id, null, null, pos::varchar
     from {src}, unnest(range(1, (event_id % 3 + 1)::bigint)) u(pos) where event_id % 11 <> 0 and event_type = 'click'"""
-SQL["split_log"] = ROUTED.format(src="good")
-SQL["base_log_split"] = ROUTED.format(src="fixed_good") + """
+SQL["split_log"] = ROUTED.format(src="page")
+SQL["base_log_split"] = ROUTED.format(src="fixed") + """
   union all select 'dirty_data', null, null, null, null, null, null, null from page
     where event_id % 97 = 0 and event_id % 89 <> 0"""
 SQL["route_side_output"] = f"select topic, count(*) as n from ({SQL['base_log_split']}) group by topic"
@@ -323,7 +319,7 @@ UNION = """
   union all select ts, ar, ch, is_new, vc, 0, 0, 0, 0, 1 from ({uj})
   union all select ts, ar, ch, is_new, vc, 0, case when last_page_id is null then 1 else 0 end, 1, during_time, 0 from {src}"""
 SQL["traffic_window"] = f"""
-  with p as (select * from fixed_fgood where event_id % 11 <> 0)
+  with p as (select * from fixed_fast where event_id % 11 <> 0)
   select {bounds('ts // 1000', 5)}, ar, ch, is_new, vc, sum(uv_ct)::bigint as uv_ct, sum(sv_ct)::bigint as sv_ct,
     sum(pv_ct)::bigint as pv_ct, sum(dur_sum)::bigint as dur_sum, sum(uj_ct)::bigint as uj_ct
   from ({UNION.format(uv=VISITOR.format(src='p'), uj=JUMP.format(src='p'), src='p')}) group by all"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from tidemill.catalog import QUERIES
-from tidemill.operators import visits
+from tidemill.operators import dedup, visits
 from tidemill.plans import facts, metrics
 from tidemill.sources import tables as src
 
@@ -47,7 +47,7 @@ def test_plan_has_no_cross_join_single_task_or_python(spark, name):
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", text)
 
 
-@pytest.mark.parametrize("name", ["dedup_keep_last", "dedup_keep_first", "unique_visitor", "payment_window"])
+@pytest.mark.parametrize("name", ["dedup_keep_last", "dedup_keep_first", "unique_visitor"])
 def test_one_row_per_key_is_limited_before_the_shuffle(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert re.search(r"WindowGroupLimit .*Partial", text) and re.search(r"WindowGroupLimit .*Final", text)
@@ -161,6 +161,14 @@ def test_hot_device_is_many_groups_in_the_look_ahead(spark):
     assert biggest_share(log, "common.mid", slot) < 0.01
 
 
+def test_hot_detail_is_many_groups_in_the_sliding_rule(spark):
+    """Copies of one detail are looked at by slices: what is shuffled and ordered is a slice of a detail."""
+    paid = hot_log(spark).select(F.lit("hot").alias("order_detail_id"), F.timestamp_millis("ts").alias("time"), "offset")
+    text = plan(dedup.keep_first_sliding(paid, ["order_detail_id"], F.col("time"), ("offset",)))
+    assert re.search(r"hashpartitioning\(order_detail_id#\d+, _slot#", text)
+    assert biggest_share(paid, "order_detail_id", F.floor(F.unix_millis("time") / dedup.SLICE_MS)) < 0.01
+
+
 def test_hot_user_is_reduced_before_its_own_shuffle(spark, conf):
     """Day firsts of a hot user: what reaches the per-user step is one row per day."""
     text = plan(metrics.login_window(hot_log(spark)))

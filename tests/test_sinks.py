@@ -23,7 +23,7 @@ def config_frame(spark, rows=CONFIG):
 
 
 def test_route_side_output_writes_each_topic_once(spark, tables, tmp_path):
-    rows = traffic.base_log(src.raw_log(tables))
+    rows = traffic.base_log(src.raw_log(tables, damaged=True))
     for _ in range(2):  # the same batch again replaces itself
         sinks.route_side_output(rows, str(tmp_path / "out"), batch_id=0)
     want = {r.topic: r.n for r in rows.groupBy("topic").agg(F.count("*").alias("n")).collect()}

@@ -52,7 +52,7 @@ def no_end(df):
 
 
 def test_base_log(spark, tables, tmp_path):
-    values = texts(src.raw_log(tables).withColumn("t", F.col("offset")), order="t")
+    values = texts(src.raw_log(tables, damaged=True).withColumn("t", F.col("offset")), order="t")
     write_topic(tmp_path, "log", values, files=4)
     got = run(jobs.base_log(stream(spark, tmp_path, "log")), tmp_path, "base_log")
     want = traffic.base_log(batch(spark, tmp_path, "log"))

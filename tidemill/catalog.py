@@ -70,7 +70,7 @@ def part_routing(t: src.Tables) -> tuple[DataFrame, dict[str, str]]:
 def read_topic(t):
     """Raw records by way of a topic folder: empty ones kept as empty text."""
     root = scratch(t, "topics")
-    src.raw_log(t).write.parquet(f"{root}/{TOPICS['log']}")
+    src.raw_log(t, damaged=True).write.parquet(f"{root}/{TOPICS['log']}")
     return topics.read_topic(t.spark, TOPICS["log"], path=root, stream=False).select(
         F.col("offset").alias("event_id"), flag(F.col("value") == "", "is_empty"),
         flag(F.substring("value", -1, 1) == "}", "is_whole"),
@@ -79,8 +79,10 @@ def read_topic(t):
 
 @query
 def read_change_log(t):
-    """The whole change-log topic as text, parsed back and counted per table and type."""
-    log = clean.parse_change_log(topics.envelope_records(src.change_log(t)))
+    """The whole change log written to its topic, read back and counted per table and type."""
+    root = scratch(t, "topics")
+    topics.envelope_records(src.change_log(t)).write.parquet(f"{root}/{TOPICS['db']}")
+    log = topics.read_change_log(t.spark, TOPICS["db"], path=root, stream=False)
     return log.groupBy("table", "type").agg(
         F.count("*").alias("n"), F.sum("ts").alias("ts_sum"), F.count(ch.field("id")).alias("with_id")
     )
@@ -88,8 +90,10 @@ def read_change_log(t):
 
 @query
 def read_detail_topic(t):
-    text = sinks.as_topic_rows(wide(t).drop("pt"), "order_detail")
-    rows, _ = clean.parse_json_or_dirty(text, ORDER_WIDE_TS)
+    """The wide order details written to their topic and read back."""
+    root = scratch(t, "topics")
+    sinks.as_topic_rows(wide(t).drop("pt"), "order_detail").select("value").write.parquet(f"{root}/order_detail")
+    rows = topics.read_detail_topic(t.spark, "order_detail", path=root, stream=False)
     return rows.select(
         "order_detail_id", "order_id", "sku_id", "split_original_amount", "type", "order_status", "user_id",
         "activity_id", "coupon_id", "dic_name", F.unix_timestamp("ts").alias("ts"),
@@ -180,7 +184,7 @@ def ensure_dim_table(t):
 
 @query
 def parse_json_or_dirty(t):
-    parsed = clean.parse_json(clean.drop_blank(src.raw_log(t)), RAW_LOG, carry=("offset",))
+    parsed = clean.parse_json(clean.drop_blank(src.raw_log(t, damaged=True)), RAW_LOG, carry=("offset",))
     return parsed.select(
         F.col("offset").alias("event_id"), F.col("dirty").cast("long").alias("dirty"),
         F.when(~F.col("dirty"), F.col("row.common.mid")).alias("mid"),
@@ -230,14 +234,14 @@ def split_log(t):
 @query
 def base_log_split(t):
     """The cleaning job: dirty records, corrected new-visitor flag, five detail topics."""
-    return _routed_text(traffic.base_log(src.raw_log(t)))
+    return _routed_text(traffic.base_log(src.raw_log(t, damaged=True)))
 
 
 @query
 def route_side_output(t):
     """Rows per topic folder after the cleaning job wrote them in one go."""
     path = scratch(t, "routed")
-    sinks.route_side_output(traffic.base_log(src.raw_log(t)), path, batch_id=0)
+    sinks.route_side_output(traffic.base_log(src.raw_log(t, damaged=True)), path, batch_id=0)
     return t.spark.read.parquet(path).groupBy("topic").agg(F.count("*").alias("n"))
 
 

@@ -13,8 +13,8 @@ def _col(c: Column | str) -> Column:
 
 
 def to_millis(text: Column | str, full: bool = True) -> Column:
-    """Date-time text (or day text when ``full`` is false) to epoch milliseconds."""
-    return F.unix_millis(F.to_timestamp(_col(text), SECOND if full else DAY))
+    """Date-time text (or day text when ``full`` is false) to epoch milliseconds; null where the text is neither."""
+    return F.unix_millis(F.try_to_timestamp(_col(text), F.lit(SECOND if full else DAY)))
 
 
 def millis_to_time(ms: Column | str) -> Column:

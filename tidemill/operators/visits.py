@@ -17,6 +17,11 @@ def _day_of(ms: Column | str) -> Column:
     return F.to_date(millis_to_time(ms))
 
 
+def device_or_row(order: str = "offset") -> Column:
+    """The device, or for a row without one a name of its own, which also spreads such rows over tasks."""
+    return F.coalesce("common.mid", F.concat(F.lit("\u0000"), F.col(order)))
+
+
 def first_days(log: DataFrame, order: str = "offset") -> DataFrame:
     """Per device the day it counts as first seen.
 
@@ -45,16 +50,15 @@ def fix_is_new(log: DataFrame, order: str = "offset") -> DataFrame:
     """
     base = first_days(log, order)
     late = (F.col("common.is_new") == "1") & (_day_of("ts") != F.col("first_day"))
-    device = F.coalesce("common.mid", F.concat(F.lit("\u0000"), F.col(order)))
-    joined = reduced_join(log.withColumn("_device", device), base.withColumnRenamed("mid", "_device"), "_device")
+    joined = reduced_join(log.withColumn("_device", device_or_row(order)), base.withColumnRenamed("mid", "_device"), "_device")
     common = F.when(late, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
     return joined.withColumn("common", common).select(*log.columns)
 
 
 def unique_visitor(page: DataFrame, order: str = "offset") -> DataFrame:
-    """The first session start of each device and day."""
+    """The first session start of each device and day; rows without a device are nobody's."""
     return first_rows_of_day(
-        filter_session_start(page), F.col("common.mid"), millis_to_time("ts"), "ts", (order,)
+        filter_session_start(page).where(F.col("common.mid").isNotNull()), F.col("common.mid"), millis_to_time("ts"), "ts", (order,)
     )
 
 
@@ -84,10 +88,10 @@ def user_jump(
     """Session starts not followed, within the limit, by a page of the same session.
 
     The next row of the device is either missing, or at least ``within_ms`` later, or itself a
-    session start.
+    session start. A row without a device has no next row, and hides no other's.
     """
     nxt = with_next_within(
-        page, F.col("common.mid"), "ts", order, within_ms, slice_ms, next_is_start=session_start()
+        page, device_or_row(order), "ts", order, within_ms, slice_ms, next_is_start=session_start()
     )
     alone = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("ts") >= within_ms) | F.col("next_is_start")
     return nxt.where(session_start() & alone).select(*page.columns)
@@ -108,7 +112,7 @@ def page_marks(log: DataFrame, order: str = "offset", slice_ms: int = SLICE_MS)
         F.col("page.during_time").alias("during_time"),
     )
     # start logs take no part in the page sequence of a device
-    key = F.struct("mid", "is_page")
+    key = F.struct(F.coalesce("mid", F.concat(F.lit("\u0000"), F.col(order))).alias("mid"), "is_page")
     near = with_next_within(seen, key, "ts", order, JUMP_MS, slice_ms, next_is_start=F.col("is_start"))
     alone = F.col("next_ts").isNull() | (F.col("next_ts") - F.col("ts") >= JUMP_MS) | F.col("next_is_start")
     cell = F.floor(F.col("ts") / F.lit(CELL_MS)) * CELL_MS
@@ -131,16 +135,17 @@ def visit_counts(marks: DataFrame) -> DataFrame:
 
     What is ordered per device here are its cells, not its logs.
     """
-    device = Window.partitionBy("mid")
+    nobody = F.when(F.col("mid").isNull(), F.col("cell"))  # rows without a device are no one group
+    device = Window.partitionBy("mid", nobody)
     whole = device.orderBy("first_log").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first("first_log").over(whole)
     first_day = F.when(first["is_new"] == "1", _day_of(first["ts"])).otherwise(F.date_sub(_day_of(first["ts"]), 1))
     day = _day_of("cell")
-    place = F.row_number().over(Window.partitionBy("mid", "day").orderBy(F.asc_nulls_last("first_start")))
+    place = F.row_number().over(Window.partitionBy("mid", nobody, "day").orderBy(F.asc_nulls_last("first_start")))
     # As in fix_is_new, rows without a device keep the flag they came with.
     late = F.col("mid").isNotNull() & (F.col("is_new") == "1") & (F.col("day") != F.col("first_day"))
     return (
         marks.withColumn("first_day", first_day).withColumn("day", day)
-        .withColumn("uv_ct", (F.col("first_start").isNotNull() & (place == 1)).cast("long"))
+        .withColumn("uv_ct", (F.col("mid").isNotNull() & F.col("first_start").isNotNull() & (place == 1)).cast("long"))
         .withColumn("is_new", F.when(late, F.lit("0")).otherwise(F.col("is_new")))
     )

@@ -93,7 +93,7 @@ def traffic_window_of_log(log: DataFrame) -> DataFrame:
 
 def home_detail_uv_window(page: DataFrame) -> DataFrame:
     """Devices whose first home (or detail) view of the day lies in the window."""
-    seen = filter_home_detail(page).select(
+    seen = filter_home_detail(page).where(F.col("common.mid").isNotNull()).select(
         F.struct(F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id")).alias("who"),
         millis_to_time("ts").alias("time"),
     )

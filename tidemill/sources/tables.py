@@ -7,6 +7,7 @@ Everything is a projection of the given tables: a row of `events` is a log recor
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +27,11 @@ class Tables:
         setattr(self, name, df)  # footers are read once per table
         return df
 
+    @cached_property
+    def last_part(self) -> int | None:
+        """The greatest part key, read once; null without parts."""
+        return self.part.agg(F.max("p_partkey")).first()[0]
+
 
 LARGE = {
     "events": ["event_id"], "lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"], "documents": ["doc_id"],
@@ -57,8 +63,8 @@ def _event_rows(t: Tables, fast: bool, items: bool) -> DataFrame:
     searched = last == "search"
     if items:
         parts = t.part.select(F.col("p_partkey").alias("_part"), F.col("p_name").alias("_item"))
-        keys = t.part.agg(F.max("p_partkey") + 1).scalar()  # events go round all parts
-        rows = t.events.withColumn("_key", e % keys).join(parts, F.col("_key") == F.col("_part"), "left")
+        rows = t.events.withColumn("_key", e % F.lit((t.last_part or 0) + 1))  # events go round all parts
+        rows = rows.join(parts, F.col("_key") == F.col("_part"), "left")
     else:
         rows = t.events.withColumn("_item", F.lit(None).cast("string"))
     common = F.struct(
@@ -95,11 +101,12 @@ def page_log(t: Tables, fast: bool = False, items: bool = True) -> DataFrame:
     return _event_rows(t, fast, items).select("common", "page", "ts", "offset")
 
 
-def raw_log(t: Tables, fast: bool = False) -> DataFrame:
-    """Log records as text with their offset.
+def raw_log(t: Tables, fast: bool = False, damaged: bool = False) -> DataFrame:
+    """Log records as text with their offset: every event as a whole record.
 
     Offsets divisible by 11 are start logs, error events carry an error part, view events up to
-    three displays, clicks up to two actions. Offsets divisible by 97 are cut short, by 89 empty.
+    three displays, clicks up to two actions. With ``damaged`` some records come a second time, as a log that was
+    cut off holds them: empty where 89 divides the offset, cut short where 97 does.
     """
     n = F.col("offset")
     rows = _event_rows(t, fast, True)
@@ -122,8 +129,10 @@ def raw_log(t: Tables, fast: bool = False) -> DataFrame:
         "ts",
     )
     text = F.to_json(body)
-    value = F.when(n % 89 == 0, F.lit("")).when(n % 97 == 0, F.substring(text, 1, 40)).otherwise(text)
-    return rows.select(value.alias("value"), "offset")
+    if not damaged:
+        return rows.select(text.alias("value"), "offset")
+    copies = F.when(n % 89 == 0, F.array(text, F.lit(""))).when(n % 97 == 0, F.array(text, F.substring(text, 1, 40)))
+    return rows.select(F.explode(F.coalesce(copies, F.array(text))).alias("value"), "offset")
 
 
 # ---- change log ------------------------------------------------------------------

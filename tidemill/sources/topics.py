@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemill.operators.clean import parse_change_log, parse_json_or_dirty
 from tidemill.operators.dedup import keep_last
 from tidemill.schemas import BASE_DIC, ENVELOPE, ORDER_WIDE_TS, RAW_LOG, TABLE_PROCESS
 
-RECORD = T.StructType([T.StructField("value", T.StringType()), T.StructField("offset", T.LongType())])
+RECORD = T.StructType([
+    T.StructField("value", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("partition", T.IntegerType())])
+PARTITION_BITS = 16  # partitions of a topic that an arrival number can tell apart
+
+
+def arrival(offset: Column, partition: Column) -> Column:
+    """One number for the place of a record in its topic: by offset, among equal offsets by partition.
+
+    Within a partition it is the arrival order; over partitions it is a fixed order, so ties fall the same way in every run.
+    """
+    return F.shiftleft(offset.cast("long"), PARTITION_BITS).bitwiseOR(partition.cast("long"))
 
 
 def as_records(df: DataFrame) -> DataFrame:
-    """``value`` as text, null as the empty string; without an offset all are 0 and their order is open."""
-    rest = [c for c in df.columns if c not in ("value", "offset")]
-    offset = [F.coalesce("offset", F.lit(0)).cast("long").alias("offset")] if "offset" in df.columns else []
+    """``value`` as text, null as the empty string; ``offset`` is the place in the topic, see ``arrival``.
+
+    Without an offset all are 0 and their order is open; records without a partition keep their offset as it is.
+    """
+    rest = [c for c in df.columns if c not in ("value", "offset", "partition")]
+    place = F.coalesce("offset", F.lit(0)) if "offset" in df.columns else None
+    if place is not None and "partition" in df.columns:
+        place = F.when(F.col("partition").isNull(), place).otherwise(arrival(place, F.col("partition")))
+    offset = [place.cast("long").alias("offset")] if place is not None else []
     return df.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *offset, *rest)
 
 
@@ -27,7 +43,7 @@ def read_topic(
     start: str = "latest",
     max_per_batch: int | None = None,
 ) -> DataFrame:
-    """Records of one topic as ``value`` and ``offset``.
+    """Records of one topic as ``value`` and ``offset``, which orders them over all partitions (see ``arrival``).
 
     With ``servers`` the Kafka source is used. With ``path`` the topic is a folder of JSON-lines or
     parquet files below it (tests, replays); both forms give the same columns.
@@ -39,7 +55,7 @@ def read_topic(
         if stream and max_per_batch:
             options["maxOffsetsPerTrigger"] = str(max_per_batch)
         raw = reader.format("kafka").options(**options).load()
-        return as_records(raw.select("value", "offset"))
+        return as_records(raw.select("value", "offset", "partition"))
     if not path:
         raise ValueError("give either servers or path")
     if stream:
@@ -50,6 +66,13 @@ def read_topic(
     return as_records(spark.read.schema(RECORD).parquet(f"{path}/{topic}"))
 
 
+def read_keyed(spark: SparkSession, topic: str, path: str) -> DataFrame:
+    """A keyed topic as it stands: ``key`` and the last ``value`` of each, keys whose last record is a tombstone left out."""
+    rows = spark.read.schema(T.StructType([*RECORD.fields, T.StructField("key", T.StringType())])).parquet(f"{path}/{topic}")
+    last = keep_last(rows.where("key is not null"), ["key"], "offset", ("value",))
+    return last.where(F.coalesce("value", F.lit("")) != "").select("key", "value")
+
+
 def read_change_log(spark: SparkSession, topic: str, **where) -> DataFrame:
     """The change-log topic as envelope columns."""
     return parse_change_log(read_topic(spark, topic, **where))

@@ -18,7 +18,7 @@ from tidemill.operators.dedup import GAP_MS
 from tidemill.operators.firsts import RETURN_DAYS
 from tidemill.operators.lookups import lookup_join, small_side
 from tidemill.operators.split import split_log
-from tidemill.operators.visits import JUMP_MS
+from tidemill.operators.visits import JUMP_MS, SLICE_MS, device_or_row
 from tidemill.plans import facts, metrics
 from tidemill.schemas import ORDER_WIDE, ORDER_WIDE_TS, RAW_LOG
 from tidemill.streaming.processors import DAY_MS, NOBODY, DayFirst, FirstDay, FirstOfBurst, Jump, KeepLast
@@ -31,6 +31,7 @@ DELAY, REFUND_DELAY, TRAFFIC_DELAY = "2 seconds", "10 seconds", "13 seconds"
 # bounds we choose for joins between streams
 # Defaults of how far apart records that belong together may come, in event time; every job takes its own.
 SAME_WRITE, ORDER_LIFE, REFUND_LIFE = "1 hour", "30 days", "30 days"
+LATE_DAYS = 30
 SPARE_KEYS = 1024  # rows without a device are spread over as many keys
 
 
@@ -61,12 +62,13 @@ def base_log(records: DataFrame) -> DataFrame:
 
 def day_firsts(
     df: DataFrame, key: Column, ms: Column, carry: Column, carry_type: str, offset: Column | None = None,
-    forget_ms: int | None = None, delay: str | None = DELAY,
+    forget_ms: int | None = None, delay: str | None = DELAY, late_days: int = LATE_DAYS,
 ) -> DataFrame:
     """Day-first rows per key: ``key, day, time, prev_day, is_first, carry``.
 
     ``time`` keeps the watermark, so a window can follow. With ``delay`` None the input brings
-    its watermark along in a column ``_rt``. Rows without a time belong to no day and are left out.
+    its watermark along in a column ``_rt``. Rows without a time belong to no day and are left out, days more than
+    ``late_days`` before the key's latest as well.
     """
     time = millis_to_time(ms) if delay else F.col("_rt")
     keyed = df.select(
@@ -78,7 +80,7 @@ def day_firsts(
         keyed = keyed.withWatermark("time", delay)
     out = f"key string, day string, time timestamp, prev_day string, is_first long, carry {carry_type}"
     return keyed.groupBy("key").transformWithState(
-        DayFirst(forget_ms), out, OUT, EVENT, eventTimeColumnName="time"
+        DayFirst(forget_ms, late_days), out, OUT, EVENT, eventTimeColumnName="time"
     )
 
 
@@ -88,21 +90,29 @@ def _page_text(page: DataFrame) -> Column:
 
 def unique_visitor(records: DataFrame) -> DataFrame:
     """Page records to the first session start per device and day, as topic text."""
-    starts = filter_session_start(parse_page_log(records, carry=("offset",)))
+    starts = filter_session_start(parse_page_log(records, carry=("offset",))).where(F.col("common.mid").isNotNull())
     firsts = day_firsts(
         starts, F.col("common.mid"), F.col("ts"), _page_text(starts), "string", F.col("offset"), forget_ms=DAY_MS
     )
     return firsts.select(F.col("carry").alias("value"))
 
 
-def user_jump(records: DataFrame, within_ms: int = JUMP_MS) -> DataFrame:
-    """Page records to jumps, as topic text."""
-    page = parse_page_log(records, carry=("offset",))
+def user_jump(records: DataFrame, within_ms: int = JUMP_MS, slice_ms: int = SLICE_MS) -> DataFrame:
+    """Page records to jumps, as topic text.
+
+    The state is kept by device and slice of time, and the first rows of a slice are shown to the slice before it, so
+    a busy device is many small states. Rows without a device are each alone.
+    """
+    if slice_ms < within_ms:
+        raise ValueError("a slice must be at least as long as the limit")
+    page = parse_page_log(records, carry=("offset",)).where(F.col("ts").isNotNull())
+    slot = F.floor(F.col("ts") / F.lit(slice_ms))
+    slots = F.when(F.col("ts") - slot * slice_ms < within_ms, F.array(slot, slot - 1)).otherwise(F.array(slot))
     keyed = page.select(
-        F.col("common.mid").alias("mid"), millis_to_time("ts").alias("rt"), "ts", "offset",
-        session_start().alias("is_start"), _page_text(page).alias("value"),
-    ).where(F.col("ts").isNotNull()).withWatermark("rt", DELAY)
-    return keyed.groupBy("mid").transformWithState(
+        device_or_row().alias("mid"), F.explode(slots).alias("slot"), slot.alias("own_slot"), millis_to_time("ts").alias("rt"),
+        "ts", "offset", session_start().alias("is_start"), _page_text(page).alias("value"),
+    ).withColumn("own", F.col("slot") == F.col("own_slot")).drop("own_slot").withWatermark("rt", DELAY)
+    return keyed.groupBy("mid", "slot").transformWithState(
         Jump(within_ms), "value string, ts long", OUT, EVENT
     ).select("value")
 
@@ -119,7 +129,7 @@ def kw_window(records: DataFrame, splitter=None) -> DataFrame:
 
 
 def home_detail_uv_window(records: DataFrame) -> DataFrame:
-    page = filter_home_detail(parse_page_log(records, carry=("offset",)))
+    page = filter_home_detail(parse_page_log(records, carry=("offset",))).where(F.col("common.mid").isNotNull())
     key = F.concat_ws("\u0001", "common.mid", "page.page_id")
     firsts = day_firsts(
         page, key, F.col("ts"), F.col("page.page_id"), "string", F.col("offset"), forget_ms=DAY_MS
@@ -129,9 +139,9 @@ def home_detail_uv_window(records: DataFrame) -> DataFrame:
     )
 
 
-def login_window(records: DataFrame) -> DataFrame:
+def login_window(records: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
     page = filter_login(parse_page_log(records, carry=("offset",)))
-    firsts = day_firsts(page, F.col("common.uid"), F.col("ts"), F.lit(""), "string", F.col("offset"))
+    firsts = day_firsts(page, F.col("common.uid"), F.col("ts"), F.lit(""), "string", F.col("offset"), late_days=late_days)
     gap = F.datediff(F.to_date("day"), F.to_date("prev_day"))
     back = F.coalesce(gap >= RETURN_DAYS, F.lit(False)).cast("long")
     return metrics.login_counts(firsts.select(back.alias("is_back"), F.col("time").alias("first_time")), delay=None)
@@ -166,14 +176,14 @@ def _wide_rows(records: DataFrame) -> DataFrame:
     return rows
 
 
-def order_window(details: DataFrame) -> DataFrame:
+def order_window(details: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
     """Settled order details to order metrics.
 
     Amounts stay columns and are summed as such; only user and time go through the per-user state.
     """
     time, zero = text_time("order_create_time"), F.lit(0).cast("decimal(16,2)")
     known = details.where(F.col("user_id").isNotNull())
-    firsts = day_firsts(known, F.col("user_id"), F.unix_millis(time), F.lit(""), "string")
+    firsts = day_firsts(known, F.col("user_id"), F.unix_millis(time), F.lit(""), "string", late_days=late_days)
     amounts = details.select(
         time.alias("time"), F.lit(0).cast("long").alias("is_unique"), F.lit(0).cast("long").alias("is_new"),
         *[metrics.or_zero(c).alias(n) for n, c in metrics.ORDER_AMOUNTS.items()],
@@ -201,13 +211,13 @@ def first_of_burst(
     )
 
 
-def payment_window(paid: DataFrame, gap_ms: int = GAP_MS) -> DataFrame:
+def payment_window(paid: DataFrame, gap_ms: int = GAP_MS, late_days: int = LATE_DAYS) -> DataFrame:
     """Payment facts to paying users; copies of a detail within ``gap_ms`` of each other count once."""
     known = paid.where(F.col("user_id").isNotNull())
     once = first_of_burst(
         known, F.col("order_detail_id"), text_time("callback_time"), F.col("user_id"), "string", gap_ms
     ).withColumnRenamed("time", "_rt")
-    firsts = day_firsts(once, F.col("carry"), F.unix_millis("_rt"), F.lit(""), "string", delay=None)
+    firsts = day_firsts(once, F.col("carry"), F.unix_millis("_rt"), F.lit(""), "string", delay=None, late_days=late_days)
     return metrics.payment_counts(firsts.select(
         F.col("prev_day").isNull().cast("long").alias("is_new"), F.col("time").alias("first_time")
     ), delay=None)

@@ -102,7 +102,8 @@ def _days_before(day: str, n: int) -> date:
 class Jump(StatefulProcessor):
     """Session starts not followed by a page of the same session within the limit.
 
-    Input: ``ts, offset, is_start, value``. Output: ``value, ts``. A start is judged once the
+    The key is a device and a slice of time. Input: ``ts, offset, is_start, own, value``; rows that are not ``own`` belong
+    to the next slice and are only looked at. Output: ``value, ts``. A start is judged once the
     watermark has passed the end of its limit; until then the rows around it are kept.
     """
 
@@ -111,15 +112,14 @@ class Jump(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._rows = handle.getListState("rows", "ts long, offset long, is_start boolean, value string")
+        self._rows = handle.getListState("rows", "ts long, offset long, is_start boolean, own boolean, value string")
         self._judged = handle.getValueState("judged", "until long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         due = set()
         for r in rows:
-            self._rows.appendValue((r.ts, r.offset, r.is_start, r.value if r.is_start else None))
-            if r.is_start:
-                due.add(r.ts + self._within)
+            self._rows.appendValue((r.ts, r.offset, r.is_start, r.own, r.value if r.is_start and r.own else None))
+            due.add(r.ts + self._within)  # rows that are no start are let go in time, too
         for at in due:
             self._handle.registerTimer(at)
         return iter(())
@@ -132,8 +132,8 @@ class Jump(StatefulProcessor):
         until = max(at, timerValues.getCurrentWatermarkInMs())
         self._judged.update((until,))
         held = sorted((tuple(r) for r in self._rows.get()), key=lambda r: r[:2])
-        for (ts, _, is_start, value), nxt in zip(held, [*held[1:], None]):
-            if is_start and ts + self._within <= until and (
+        for (ts, _, is_start, own, value), nxt in zip(held, [*held[1:], None]):
+            if is_start and own and ts + self._within <= until and (
                 nxt is None or nxt[0] - ts >= self._within or nxt[2]
             ):
                 yield Row(value=value, ts=ts)
