@@ -95,7 +95,8 @@ def test_every_job_is_wired(spark, tables, tmp_path):
         rows = job.rows(*streams)
         assert rows.isStreaming, name
         batch = spark.createDataFrame([], rows.schema)
-        done = job.finish(batch, place) if job.finish else batch
+        done = job.keep(batch, place, str(tmp_path / name / "kept"), 0) if job.keep else batch
+        done = job.finish(done, place) if job.finish else done
         assert set(job.keys) <= set(done.columns), name
         assert done.isEmpty(), name
 

@@ -42,13 +42,13 @@ def explode_actions(log: DataFrame) -> DataFrame:
     return _explode(log, "actions", "action")
 
 
-def split_log(log: DataFrame) -> DataFrame:
+def split_log(log: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """``(topic, value)`` rows for the page, start, display, action and error topics.
 
     Every log row is expanded where it stands: one scan, no shuffle, no cached batch. First the
     topics of a row are listed (with the display or action element), then each is written as JSON.
     Sent to a topic sink the ``topic`` column routes each row; in files it is the partition column.
-    Rows with a ``dirty_text`` (if there is such a column) go to the dirty topic as that text.
+    Rows with a ``dirty_text`` (if there is such a column) go to the dirty topic as that text. Columns to ``carry`` follow.
     """
     kind = "array<struct<topic: string, part: map<string, string>>>"
     none = F.array().cast(kind)
@@ -69,8 +69,8 @@ def split_log(log: DataFrame) -> DataFrame:
     full = ["common", "page", "start", "displays", "actions", "err", "ts"]
     dirty = F.col("dirty_text") if "dirty_text" in log.columns else F.lit(None).cast("string")
     listed = F.when(dirty.isNotNull(), one("dirty")).otherwise(listed)
-    rows = log.select(*full, dirty.alias("dirty_text"), F.explode(listed).alias("out"))
-    rows = rows.select(*full, "dirty_text", "out.topic", "out.part")
+    rows = log.select(*full, dirty.alias("dirty_text"), *carry, F.explode(listed).alias("out"))
+    rows = rows.select(*full, "dirty_text", *carry, "out.topic", "out.part")
     common, page, ts, part = (F.col(c) for c in ("common", "page", "ts", "part"))
     topic = F.col("topic")
     value = (
@@ -81,4 +81,4 @@ def split_log(log: DataFrame) -> DataFrame:
         .when(topic == TOPICS["start"], _json(**{n: F.col(n) for n in full if n != "err"}))
         .otherwise(_json(**{n: F.col(n) for n in full}))
     )
-    return rows.select("topic", value.alias("value"))
+    return rows.select("topic", value.alias("value"), *carry)

@@ -41,6 +41,12 @@ def first_days(log: DataFrame, order: str = "offset") -> DataFrame:
     )
 
 
+def late_claim(first: str) -> Column:
+    """Whether a log claims a new device on another day than that of the device's first log, a struct (ts, is_new)."""
+    day = F.when(F.col(f"{first}.is_new") == "1", _day_of(f"{first}.ts")).otherwise(F.date_sub(_day_of(f"{first}.ts"), 1))
+    return (F.col("common.is_new") == "1") & (_day_of("ts") != day)
+
+
 def fix_is_new(log: DataFrame, order: str = "offset") -> DataFrame:
     """Set ``common.is_new`` to '0' where a device claims to be new on a later day.
 

@@ -21,11 +21,11 @@ TABLE = "_table"
 # ---- topics ----------------------------------------------------------------------
 
 def as_topic_rows(df: DataFrame, topic: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """``(topic, value)`` rows, the value being the row as JSON; rows that have both are kept.
+    """``(topic, value)`` rows, the value being the row as JSON; rows that have both are kept, with their key and offset.
 
     With ``keys`` a column ``key`` holds these columns as JSON, so that a topic keeps the versions of a key together.
     """
-    if {"topic", "value"} <= set(df.columns) <= {"topic", "key", "value"}:
+    if {"topic", "value"} <= set(df.columns) <= {"topic", "key", "value", "offset"}:
         return df
     if topic is None:
         raise ValueError("rows without a topic column need a topic")
@@ -42,8 +42,8 @@ def write_topic(
     A message log cannot replace a repeated batch: there, readers of a keyed topic take the last version of a key.
     """
     rows = as_topic_rows(df, topic, keys)
-    if servers:
-        rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    if servers:  # the message log numbers its records itself
+        rows.drop("offset").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
         return
     target = f"{path}/{BATCH}={batch_id}" if batch_id is not None else path
     mode = "overwrite" if batch_id is not None else "append"

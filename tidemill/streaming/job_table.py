@@ -13,15 +13,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.operators.lookups import sku_dimension, small_side, with_sku
+from tidemill.operators.lookups import sku_dimension, with_sku
 from tidemill.plans import facts, metrics
 from tidemill.schemas import ORDER_WIDE_TS, TOPICS, strings
-from tidemill.sinks import tables as sinks
+from tidemill.sinks import tables as sinks, topic_log
 from tidemill.sources import topics
-from tidemill.streaming import jobs, runner
+from tidemill.streaming import jobs, kept, runner
 
 # Topics between jobs, beside those of ``schemas.TOPICS``.
 SETTLED, WITH_SKU = "order_detail_settled", "order_detail_sku"
+ROUTING = "table_process"  # the change feed of the routing table
 SKU_DETAIL = T.StructType(strings(" ".join(["order_id", "order_create_time", "split_total_amount", *metrics.SPU_KEYS])))
 
 
@@ -45,18 +46,20 @@ class Place:
         where = {"max_per_batch": self.max_per_batch}
         return (topic, {"servers": self.servers, **where}) if self.servers else (f"topic={topic}", {"path": self.path, **where})
 
-    def write(self, rows: DataFrame, part: int) -> None:
-        """Topic rows of a micro-batch, in one job for all topics; in a folder a repeated batch replaces itself."""
+    def write(self, rows: DataFrame, writer: str, part: int) -> None:
+        """Topic rows of a micro-batch, in one job for all topics; a folder takes a repeated batch once."""
         if self.servers:
             sinks.write_topic(rows, servers=self.servers)
-            return
-        rows.withColumn(sinks.BATCH, F.lit(part)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("topic", sinks.BATCH).parquet(self.path)
+        else:
+            topic_log.append_once(rows, self.path, writer, part)
 
 
 @dataclass(frozen=True)
 class Job:
-    """``inputs``: reader and topic of each stream; ``topic`` None: a table of the job's name."""
+    """``inputs``: reader and topic of each stream; ``topic`` None: a table of the job's name.
+
+    ``keep`` turns the rows of a micro-batch to those to write, with a folder for the tables it keeps and the batch's number.
+    """
 
     inputs: tuple[tuple[Callable[..., DataFrame], str], ...]
     rows: Callable[..., DataFrame]
@@ -64,6 +67,7 @@ class Job:
     keys: tuple[str, ...] = ()
     finish: Callable[[DataFrame, Place], DataFrame] | None = None
     is_text: bool = False  # the rows are topic text already
+    keep: Callable[[DataFrame, Place, str, int], DataFrame] | None = None
 
 
 def _typed(schema: T.StructType) -> Callable[..., DataFrame]:
@@ -87,28 +91,28 @@ def _sku_details(batch: DataFrame, place: Place) -> DataFrame:
     return named.select(*SKU_DETAIL.names)
 
 
-def _refund_names(batch: DataFrame, place: Place) -> DataFrame:
-    return facts.name_refunds(batch, small_side(_dictionary(batch, place).select("dic_code", "dic_name")))
-
-
 _same = lambda stream: stream
 _log, _page, _db = ((topics.read_topic, TOPICS["log"]),), (topics.read_topic, TOPICS["page"]), (topics.read_change_log, TOPICS["db"])
 _detail = (topics.read_detail_topic, TOPICS["order_detail"])
 _settled = (topics.read_detail_topic, SETTLED)
 
 JOBS: dict[str, Job] = {
-    "base_log": Job(_log, jobs.base_log, is_text=True),
-    "unique_visitor": Job((_page,), jobs.unique_visitor, TOPICS["unique_visitor"], is_text=True),
+    "base_log": Job(_log, _same, is_text=True, keep=lambda batch, place, folder, part: kept.base_log(batch, folder, part)),
+    "unique_visitor": Job(
+        (_page,), _same, TOPICS["unique_visitor"], is_text=True,
+        keep=lambda batch, place, folder, part: kept.unique_visitor(batch, folder, part)),
     "user_jump": Job((_page,), jobs.user_jump, TOPICS["user_jump"], is_text=True),
     "order_detail_wide": Job(
-        (_db,), lambda log: jobs.order_detail_wide(log, None).drop("pt"), TOPICS["order_detail"], ("order_detail_id",),
-        lambda batch, place: jobs.named(batch, _dictionary(batch, place), "source_type", "dic_name")),
+        (_db,), _same, TOPICS["order_detail"], is_text=True,
+        keep=lambda batch, place, folder, part: kept.order_detail_wide(batch, _dictionary(batch, place), folder, part)),
     "order_add": Job((_detail,), lambda wide: facts.order_add(wide).drop("pt"), TOPICS["order_add"], ("order_detail_id",)),
     "order_cancel": Job((_detail,), lambda wide: facts.order_cancel(wide).drop("pt"), TOPICS["order_cancel"], ("order_detail_id",)),
     "pay_success": Job(
         (_db, _detail), lambda log, wide: jobs.pay_success(log, wide, None), TOPICS["pay_success"], ("order_detail_id",),
         lambda batch, place: jobs.named(batch, _dictionary(batch, place), "payment_type_code", "payment_type_name")),
-    "order_refund": Job((_db,), lambda log: jobs.order_refund(log, None), TOPICS["order_refund"], ("id",), _refund_names),
+    "order_refund": Job(
+        (_db,), _same, TOPICS["order_refund"], is_text=True,
+        keep=lambda batch, place, folder, part: kept.order_refund(batch, _dictionary(batch, place), folder, part)),
     "cart_add": Job((_db,), _same, TOPICS["cart_add"], ("id",), lambda batch, place: facts.cart_add(batch, _dictionary(batch, place))),
     "comment_add": Job((_db,), _same, TOPICS["comment"], ("id",), lambda batch, place: facts.comment_add(batch, _dictionary(batch, place))),
     "coupon_get": Job((_db,), facts.coupon_get, TOPICS["coupon_get"], ("id",)),
@@ -141,7 +145,11 @@ JOBS: dict[str, Job] = {
 
 
 def start_job(spark: SparkSession, name: str, place: Place, **options) -> StreamingQuery:
-    """Start one job; ``options`` are those of ``runner.start``. The dimension job is ``dim``."""
+    """Start one job; ``options`` are those of ``runner.start``. The dimension job is ``dim``; ``dim_from_feed`` takes its
+    routing from the topic ``ROUTING`` (and first from ``place.config``)."""
+    if name == "dim_from_feed":
+        streams = [topics.read_topic(spark, t, **w) for t, w in (place.source(TOPICS["db"]), place.source(ROUTING))]
+        return runner.run_dim_from_feed(*streams, f"{place.tables}/dims", place.config, name, **options)
     if name == "dim":
         topic, where = place.source(TOPICS["db"])
         return runner.run_dim(topics.read_topic(spark, topic, **where), place.config, f"{place.tables}/dims", name, **options)
@@ -152,11 +160,12 @@ def start_job(spark: SparkSession, name: str, place: Place, **options) -> Stream
         streams.append(read(spark, folder, **where))
 
     def write(batch: DataFrame, part: int) -> None:
-        done = job.finish(batch, place) if job.finish else batch
+        done = job.keep(batch, place, f"{place.tables}/_kept/{name}", part) if job.keep else batch
+        done = job.finish(done, place) if job.finish else done
         if job.is_text and job.topic:
-            place.write(done.select(F.lit(job.topic).alias("topic"), "value"), part)
+            place.write(done.select(F.lit(job.topic).alias("topic"), *done.columns), name, part)
         elif job.is_text or job.topic:
-            place.write(sinks.as_topic_rows(done, job.topic, job.keys), part)
+            place.write(sinks.as_topic_rows(done, job.topic, job.keys), name, part)
         else:
             sinks.write_append_table(done, f"{place.tables}/{name}", part)
 
