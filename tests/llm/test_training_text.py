@@ -389,15 +389,62 @@ def test_licences(spark, nothing):
     assert licenses.inherit(licenses.scan(docs.where("false"))).count() == 0
 
 
-def test_passed_over_lines_could_not_reach_the_threshold():
-    scanner = licenses.Scanner({"license": 0.03, "the": 0.9, "under": 0.1, "version": 0.01}, 0.0001, 0.7)
-    every = licenses.Scanner({"license": 0.03, "the": 0.9, "under": 0.1, "version": 0.01}, 0.0001, 0.7)
-    every.anchors, every.maybe = {t for _, v in every.vectors for t in v}, re.compile("")
+SHARES = {"license": 0.03, "the": 0.9, "under": 0.1, "version": 0.01, "of": 0.9, "and": 0.9, "to": 0.8, "or": 0.5, "this": 0.5}
+
+
+def brute_licence(scanner, text):
+    """The best cosine over all windows of all templates."""
+    found, ws = None, licenses.terms(text)
+    for t in scanner.templates:
+        for k in range(len(ws)):
+            c = scanner.cosine(t, ws[k:k + t.size])
+            if c >= scanner.threshold and (found is None or (-c, t.name) < (-found[0], found[1])):
+                found = (c, t.name)
+    return found
+
+
+def test_no_window_is_lost():
+    scanner = licenses.Scanner(SHARES, 0.0001, 0.7)
     rng = random.Random(2)
-    for _, notice in [(n, x) for n, xs in licenses.TEMPLATES.items() for x in xs]:
-        for _ in range(30):
-            line = " ".join(w for w in notice.split() if rng.random() < 0.7)
-            assert scanner.best(line) == every.best(line)
+    notices = [x for xs in licenses.TEMPLATES.values() for x in xs if len(x) < 400]
+    for k in range(40):
+        notice = " ".join(w for w in rng.choice(notices).split() if rng.random() < 0.85)
+        text = prose(k, rng.randint(0, 30)) + rng.choice([" ", "\n"]) + notice + " " + prose(k + 1, rng.randint(0, 20))
+        assert scanner.best(text) == brute_licence(scanner, text)
+
+
+def wrapped(text, width, start):
+    import textwrap
+
+    return "\n".join(start + line for line in textwrap.wrap(text, width))
+
+
+def test_headers_bodies_and_versions():
+    scanner = licenses.Scanner(SHARES, 0.0001, 0.7)
+    best = lambda text: (scanner.best(text) or (0, None))[1]
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            assert best(notice) == name
+            assert best(prose(1, 20) + "\n" + wrapped(notice, 40, " * ") + "\n" + prose(2, 20)) == name  # a source header
+            assert best(prose(1, 60).replace("\n", " ") + " " + notice + " " + prose(2, 60).replace("\n", " ")) == name  # in one line
+    gpl = licenses.license_texts._FREE.format(kind="", v="{}")
+    assert [best(gpl.format(v)) for v in (2, 3)] == ["GPL-2.0", "GPL-3.0"]
+    mit, bsd = licenses.TEMPLATES["MIT"][-1], licenses.TEMPLATES["BSD-3-Clause"][2]
+    assert best("Copyright (c) 2020 Somebody\n\n" + wrapped(mit, 78, "")) == "MIT"
+    assert best(wrapped(bsd, 78, "")) == "BSD-3-Clause" and best(wrapped(licenses.TEMPLATES["BSD-2-Clause"][0], 78, "")) == "BSD-2-Clause"
+    assert best(prose(5, 400)) is None and best("the license of the program and the work") is None
+
+
+def test_licences_in_very_long_texts_and_ties(spark):
+    long = prose(1, 120_000)
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [(1, f"{long} {notice} {long}", "a/one"), (2, notice + "\nReleased under the MIT License.", "a/LICENSE"),
+            (3, "Released under the MIT License.", "b/LICENSE"), (4, "Licensed under the MIT License.", "b/COPYING"),
+            (5, "Licensed under CC BY 4.0.", "b/LICENCE.txt"), (6, prose(2, 9), "b/c/d.txt"), (None, None, None)]
+    out = licenses.inherit(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, path string"))).collect()
+    got = {r.doc_id: (r.license, r.inherited_from) for r in out}
+    assert got[1] == ("Apache-2.0", None) == got[2]  # equal cosines: by name
+    assert got[6] == ("CC-BY-4.0", "b") and got[None] == (None, None)
 
 
 # ---- archives ----------------------------------------------------------------------

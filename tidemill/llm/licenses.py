@@ -1,9 +1,11 @@
 """Licence scan: sparse TF-IDF against templates, and inheritance from the nearest ancestor directory.
 
-Every line of every text is a candidate notice. Terms are lower-case words and version numbers; a term's weight
-falls with the share of documents that hold it (counted over all of them), and lines and templates are sparse
-weight vectors. A line whose terms outside the anchors of all templates could at most reach a lower cosine than
-the threshold is passed over without scoring, which loses nothing. The best template of a document's lines is its
+Headers, titles and bodies of licences are templates; terms are lower-case words and version numbers, which count
+``NUMBER`` times as they tell siblings apart. A term's weight falls with the share of documents that hold it (counted
+over all of them). A template is held against every window of as many terms as it has, wherever the window begins:
+notices wrapped over lines, within a long line, or a licence file without its title are found alike. Windows without any
+of a template's anchors could at most reach a lower cosine than the threshold; they are passed over without scoring, and so
+are documents without anchors, whose texts stay in the JVM. The best template of a document's windows is its
 own licence; a file named as a licence file passes it on to the directory it lies in. A document without a licence
 takes that of its nearest ancestor directory, found by joining the ancestors of its path with the licensed
 directories.
@@ -17,106 +19,106 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemill.llm import license_texts
 from tidemill.llm.common import slices, written
 
-# Notices to look for (fixed values): the usual short forms of each licence.
-TEMPLATES = {
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License.",
-    ],
-    "BSD-3-Clause": [
-        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-        "Released under the BSD License.",
-    ],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License.",
-    ],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-}
+TEMPLATES = license_texts.TEMPLATES
 THRESHOLD = 0.7
+NUMBER = 2.0
+# The same terms for Python and the JVM: runs of letters and digits, and what version numbers go on with.
 TERMS = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+JVM_TERMS = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
+WANTED = sorted({t for notices in TEMPLATES.values() for n in notices for t in TERMS.findall(n.lower())})
 
 
 def terms(line: str) -> list[str]:
     return TERMS.findall(line.lower())
 
 
+class Template:
+    def __init__(self, name: str, found: list[str], scanner: Scanner):
+        self.name, self.size = name, len(found)
+        raw = {t: n * scanner.weight(t) for t, n in Counter(found).items()}
+        self.norm = math.sqrt(sum(w * w for w in raw.values())) or 1.0
+        self.vector = {t: w / self.norm for t, w in raw.items()}
+        self.anchors: set[str] = set()
+        rest = 0.0  # the lightest terms, as long as all of them together stay below the threshold
+        for t, w in sorted(self.vector.items(), key=lambda x: (x[1], x[0])):
+            if math.sqrt(rest + w * w) < scanner.threshold:
+                rest += w * w
+            else:
+                self.anchors.add(t)
+
+
 class Scanner:
-    """Weighted templates, and what a line must hold to be worth scoring."""
+    """Weighted templates, and what a window must hold to be worth scoring."""
 
     def __init__(self, share: dict[str, float], unseen: float, threshold: float):
-        self.idf = lambda t: -math.log(share.get(t, unseen)) + 0.1
-        self.threshold = threshold
-        self.vectors: list[tuple[str, dict[str, float]]] = []
-        self.anchors: set[str] = set()
-        for name, notices in sorted(TEMPLATES.items()):
-            for notice in notices:
-                vector = self.vector(terms(notice))
-                self.vectors.append((name, vector))
-                rest = 0.0  # the lightest terms, as long as all of them together stay below the threshold
-                for t, w in sorted(vector.items(), key=lambda x: (x[1], x[0])):
-                    if math.sqrt(rest + w * w) < threshold:
-                        rest += w * w
-                    else:
-                        self.anchors.add(t)
-        self.maybe = re.compile("|".join(sorted(map(re.escape, self.anchors))))
-
-    def vector(self, found: list[str]) -> dict[str, float]:
-        raw = {t: n * self.idf(t) for t, n in Counter(found).items()}
+        self.share, self.unseen, self.threshold = share, unseen, threshold
+        self.templates = [
+            Template(name, terms(notice), self) for name, notices in sorted(TEMPLATES.items()) for notice in dict.fromkeys(notices)]
+        self.anchors: set[str] = set().union(*(t.anchors for t in self.templates))
+
+    def weight(self, term: str) -> float:
+        idf = -math.log(self.share.get(term, self.unseen)) + 0.1
+        return idf * NUMBER if term[0].isdigit() else idf
+
+    def cosine(self, template: Template, window: list[str]) -> float:
+        raw = {t: n * self.weight(t) for t, n in Counter(window).items()}
         norm = math.sqrt(sum(w * w for w in raw.values())) or 1.0
-        return {t: w / norm for t, w in raw.items()}
+        return round(sum(w * template.vector[t] for t, w in raw.items() if t in template.vector) / norm, 6)
 
     def best(self, text: str) -> tuple[float, str] | None:
-        """The best cosine over the lines of a text, and its template."""
-        found = None
-        if not self.maybe.search(text.lower()):
+        """The best cosine over the windows of a text, and its template."""
+        number: dict[str, int] = {}
+        numbers = array("i", (number.setdefault(m.group(), len(number)) for m in TERMS.finditer(text.lower())))
+        if self.anchors.isdisjoint(number):
             return None
-        for line in text.split("\n"):
-            lower = line.lower()
-            if not self.maybe.search(lower):
-                continue
-            words = terms(lower)
-            if self.anchors.isdisjoint(words):
+        ids, names = np.frombuffer(numbers, dtype=np.int32), list(number)
+        weights = np.array([self.weight(t) for t in names])
+        squares = np.concatenate(([0.0], np.cumsum(weights[ids] ** 2)))
+        found = None
+        for template in self.templates:
+            here = [number[t] for t in template.anchors if t in number]
+            if not here:
                 continue
-            vector = self.vector(words)
-            for name, template in self.vectors:
-                cosine = round(sum(w * vector.get(t, 0.0) for t, w in template.items()), 6)
-                if cosine >= self.threshold and (found is None or (-cosine, name) < (-found[0], found[1])):
-                    found = (cosine, name)
+            size = template.size
+            at = np.flatnonzero(np.isin(ids, here))
+            starts = np.unique((at[:, None] - np.arange(min(size, int(at[-1]) + 1))[None, :]).ravel()) if len(at) * size < 1 << 20 else (
+                np.arange(len(ids)))
+            starts = starts[starts >= 0]
+            stops = np.minimum(starts + size, len(ids))
+            shares = np.array([template.vector.get(t, 0.0) for t in names]) * weights
+            dots = np.concatenate(([0.0], np.cumsum(shares[ids])))
+            # A window is at least as long as if each of its terms came once.
+            most = (dots[stops] - dots[starts]) / np.sqrt(squares[stops] - squares[starts])
+            for k in np.argsort(-most, kind="stable").tolist():
+                least = self.threshold if found is None else found[0]
+                if most[k] < least - 1e-6:
+                    break
+                value = self.cosine(template, [names[i] for i in ids[starts[k]:stops[k]].tolist()])
+                if value >= self.threshold and (found is None or (-value, template.name) < (-found[0], found[1])):
+                    found = (value, template.name)
         return found
 
 
+def present(text: Column) -> Column:
+    """The template terms that a text holds."""
+    return F.array_intersect(F.regexp_extract_all(F.lower(text), F.lit(JVM_TERMS), F.lit(0)), F.array(*map(F.lit, WANTED)))
+
+
 def term_shares(docs: DataFrame, text: str = "text") -> tuple[dict[str, float], float]:
     """Share of all documents that hold each template term (a bounded list), and the share given to other terms."""
-    wanted = {t for notices in TEMPLATES.values() for n in notices for t in terms(n)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        rows = 0
-        for batch in slices(batches, "text"):
-            for t in batch.column("text").to_pylist():
-                rows += 1
-                if t:
-                    seen.update(wanted.intersection(TERMS.findall(t.lower())))
-        names = ["", *sorted(seen)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names), pa.array([rows, *[seen[n] for n in names[1:]]], pa.int64())], names=["term", "n"])
-
-    sums = docs.select(F.col(text).alias("text")).mapInArrow(run, "term string, n long")
-    counts = {r["term"]: r["total"] for r in sums.groupBy("term").agg(F.sum("n").alias("total")).collect()}
+    rows = docs.select(F.explode(F.concat(F.array(F.lit("")), F.coalesce(present(F.col(text)), F.array()))).alias("term"))
+    counts = {r["term"]: r["count"] for r in rows.groupBy("term").count().collect()}
     n = counts.pop("", 0)
     return {t: (c + 1) / (n + 2) for t, c in counts.items()}, 1 / (n + 2)
 
@@ -125,7 +127,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
          threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, own ``license`` and its ``similarity`` (null without a notice)."""
     share, unseen = term_shares(docs, text)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
+    anchors = sorted(Scanner(share, unseen, threshold).anchors)
+    worth = F.arrays_overlap(present(F.col(text)), F.array(*map(F.lit, anchors)))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(path).alias("path"), F.when(worth, F.col(text)).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
