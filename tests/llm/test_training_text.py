@@ -472,6 +472,45 @@ def test_nested_captures_hold_the_payload(spark, tmp_path):
     assert two.response["payload"] == "zwei ü".encode() and two.request["head"].startswith("GET /y HTTP/1.1")
 
 
+def rewritten(folder, change):
+    """The archives of a folder with their texts changed."""
+    import gzip
+
+    for file in folder.rglob("*.gz"):
+        file.write_bytes(gzip.compress(change(gzip.decompress(file.read_bytes()))))
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_what_is_read_is_measured(spark, tmp_path):
+    big = "<p>" + "x" * 2000 + "</p>"
+    pages = spark.createDataFrame([(1, "http://a/x", big), (2, "http://a/y", big), (3, "u", "tiny")], "page_id long, url string, html string")
+    import hashlib
+
+    warc.write(pages, str(tmp_path / "a"))
+    # The payload and every digest that records tell are changed alike: the result follows the payload.
+    new = big.replace("xxxx", "yyyy", 1)
+    old_sum, new_sum = (hashlib.sha1(t.encode()).hexdigest().encode() for t in (big, new))
+    rewritten(tmp_path / "a", lambda data: data.replace(b"xxxx", b"yyyy", 1).replace(old_sum, new_sum) if b"xxxx" in data else data)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.refers_to) for r in warc.digests(warc.read(spark, str(tmp_path / "a"))).collect()}
+    assert got[2] == (len(new), new_sum.decode(), None) and got[1] == (len(new), new_sum.decode(), 2)
+    for name, change in (("b", lambda data: data.replace(b"xxxx", b"yyyy", 1)), ("c", lambda data: data.replace(
+            b"revisit", b"revisit", 1).replace(old_sum, new_sum, 1))):
+        warc.write(pages, str(tmp_path / name))
+        rewritten(tmp_path / name, change)
+        with pytest.raises(Exception, match="damaged archive"):
+            warc.digests(warc.read(spark, str(tmp_path / name))).collect()
+
+
+def test_archives_of_large_pages_and_of_none(spark, tmp_path):
+    rows = [(k, "u", chr(97 + k % 26) * n) for k, n in enumerate((10, 70_000, 70_001, 1_200_000, 9_000_000, 9_000_000))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, str(tmp_path / "w"))
+    got = {r.page_id: r.payload_bytes for r in warc.digests(warc.read(spark, str(tmp_path / "w"), payloads=False)).collect()}
+    assert got == {k: len(t) for k, _, t in rows}
+    assert len(list((tmp_path / "w").rglob(f"below-{warc.CLASSES[-1]}/*.gz"))) == 2  # one page a file
+    assert warc.round_trip(pages.where("false")).count() == 0
+
+
 # ---- pipeline ----------------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark, tmp_path):

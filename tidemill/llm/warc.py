@@ -4,11 +4,13 @@ back as one nested row per capture.
 Writing. A page whose payload of at least ``REVISIT_BYTES`` bytes was captured under a larger page_id becomes a
 revisit of it: digests are counted first, as narrow rows combined before the shuffle, and only pages of a digest
 that comes twice meet the chosen one. Records are rows of one text column, and Spark's text writer ends each with
-the two line ends that the format asks for; files are compressed and hold ``FILE_RECORDS`` records at most.
+the two line ends that the format asks for; files are compressed. Pages are written by classes of size (equal payloads are
+in one class), each with as many records to a file as keep it to about ``FILE_BYTES``; a larger page has its own.
 
-Reading. Whole files (bounded by that number) are cut into records by their own lengths, so a payload may hold
-anything. Request and metadata records name the response they belong to (WARC-Concurrent-To) and are joined to it;
-revisits are joined to the record they refer to.
+Reading. Whole files are cut into records by their own lengths, so a payload may hold
+anything. What is read is measured and hashed, and fails where its record tells another digest. Request and metadata
+records name the response they belong to (WARC-Concurrent-To) and meet it by that identifier, in one shuffle after one
+parse; revisits are joined to the record they refer to, and their length and digest are those of its payload.
 
 Defined results: a null html is an empty payload; a null url has no target; a null page_id is an unnumbered capture,
 smaller than any other; rows equal in page_id and payload are captures that share a record id, and each stays;
@@ -17,6 +19,7 @@ an empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,10 +27,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemill.llm.common import shared_folder
+from tidemill.llm.common import shared_folder, written
 
 REVISIT_BYTES = 1000
+FILE_BYTES = 32 << 20
 FILE_RECORDS = 1500
+CLASSES = (64 << 10, 1 << 20, 8 << 20, 1 << 62)  # payload bytes below which pages share files
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -99,8 +104,10 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"),
         F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"))
-    (records(choose(rows, revisit_bytes)).write.option("lineSep", END + END).option("compression", "gzip")
-     .option("maxRecordsPerFile", file_records).text(folder))
+    for low, high in zip((0, *CLASSES), CLASSES):
+        some = rows.where((F.col("bytes") >= low) & (F.col("bytes") < high))
+        (records(choose(some, revisit_bytes)).write.option("lineSep", END + END).option("compression", "gzip")
+         .option("maxRecordsPerFile", min(file_records, max(FILE_BYTES // high, 1) * 3)).text(f"{folder}/below-{high}"))
 
 
 def _unpacked(data: bytes) -> Iterator[bytes]:
@@ -152,11 +159,23 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 FIELDS = ["warc-type", "warc-record-id", "warc-target-uri", "warc-concurrent-to", "warc-refers-to", "warc-payload-digest"]
-RECORD = "kind string, id string, uri string, concurrent string, refers string, digest string, head string, payload binary"
+RECORD = ("kind string, id string, uri string, concurrent string, refers string, digest string, head string, bytes long, sha1 string, "
+          "payload binary")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives of a folder: fields, ``head`` (HTTP head or fields) and ``payload``."""
+def measured(kind: str | None, digest: str | None, payload: bytes | None) -> tuple[int | None, str | None]:
+    """Length and SHA-1 of a response's payload as it was read; an error if the record tells another digest."""
+    if kind != "response" or payload is None:
+        return None, None
+    found = hashlib.sha1(payload).hexdigest()
+    if digest and digest.lower().startswith("sha1:") and digest[5:].lower() != found:
+        raise ValueError(f"damaged archive: a payload has SHA-1 {found}, its record says {digest}")
+    return len(payload), found
+
+
+def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """The records of all archives of a folder: fields, ``head`` (HTTP head or fields), ``payload`` (with ``payloads``),
+    its ``bytes`` and ``sha1``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +186,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     head, payload = block, None
                     if fields.get("content-type", "").startswith("application/http"):
                         head, _, payload = block.partition(b"\r\n\r\n")
-                    rows.append((*[fields.get(f) for f in FIELDS], head.decode("utf-8", "replace"), payload))
+                    sums = measured(fields.get("warc-type"), fields.get("warc-payload-digest"), payload)
+                    rows.append((
+                        *[fields.get(f) for f in FIELDS], head.decode("utf-8", "replace"), *sums, payload if payloads else None))
                     size += len(block)
                     if size > 4 << 20:
                         yield _batch(rows)
@@ -177,46 +198,55 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         names = [part.split()[0] for part in RECORD.split(", ")]
-        columns = [pa.array(c, pa.binary() if n == "payload" else pa.string()) for n, c in zip(names, zip(*rows))]
+        kinds = {"payload": pa.binary(), "bytes": pa.int64()}
+        columns = [pa.array(c, kinds.get(n, pa.string())) for n, c in zip(names, zip(*rows))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    files = spark.read.format("binaryFile").load(folder).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("content")
     return files.mapInArrow(run, RECORD)
 
 
 def captures(found: DataFrame) -> DataFrame:
-    """One nested row per capture: ``request``, ``response`` and ``metadata``, joined by concurrent-to identifiers.
+    """One nested row per capture: ``request``, ``response`` and ``metadata``, brought together by concurrent-to identifiers.
 
-    Request and metadata records of one identifier are reduced to one, so captures are never multiplied.
+    A record's capture is the one it names, or for a response or revisit its own. Request and metadata records of one
+    capture are reduced to one; responses that share an identifier are as many captures, and equal.
     """
-    main = found.where(F.col("kind").isin("response", "revisit")).select(
-        F.col("id").alias("capture"), F.struct("kind", "id", "uri", "refers", "digest", "head", "payload").alias("response"))
-
-    def beside(kind: str) -> DataFrame:
-        rows = found.where((F.col("kind") == kind) & F.col("concurrent").isNotNull())
-        return rows.groupBy(F.col("concurrent").alias("capture")).agg(
-            F.min(F.struct("id", "uri", "head")).alias(kind))
-
-    return main.join(beside("request"), "capture", "left").join(beside("metadata"), "capture", "left")
+    main, kind = F.col("kind").isin("response", "revisit"), F.col("kind")
+    beside = lambda name: F.min(F.when((kind == name) & F.col("concurrent").isNotNull(), F.struct("id", "uri", "head"))).alias(name)
+    response = F.struct("kind", "id", "uri", "refers", "digest", "head", "bytes", "sha1", "payload")
+    met = found.groupBy(F.when(main, F.col("id")).otherwise(F.col("concurrent")).alias("capture")).agg(
+        F.min(F.when(main, response)).alias("response"), F.sum(main.cast("int")).alias("n"), beside("request"), beside("metadata"))
+    rows = met.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return rows.select("capture", "response", "request", "metadata")
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every capture of ``found``."""
-    slim = found.withColumn("payload", F.lit(None).cast("binary"))
-    rows = captures(slim).select(
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of every capture of ``found``, by what was read.
+
+    A revisit has the length and digest of the record it refers to; it is an error if its own record tells another
+    digest, null if that record is not there.
+    """
+    rows = written(captures(found).select(
         F.col("response.id").alias("id"), F.col("response.refers").alias("refers"),
-        F.regexp_extract("metadata.head", r"(?m)^pageId: *([0-9-]+)", 1).alias("page"),
-        F.regexp_extract("response.head", r"(?mi)^content-length: *([0-9]+)", 1).cast("long").alias("payload_bytes"),
-        F.regexp_replace("response.digest", "^sha1:", "").alias("payload_digest"),
+        F.regexp_extract("metadata.head", r"(?m)^pageId: *([0-9-]+)", 1).alias("page"), F.col("response.digest").alias("told"),
+        F.col("response.bytes").alias("payload_bytes"), F.col("response.sha1").alias("payload_digest"),
         F.col("response.kind").alias("record_type"),
-    ).withColumn("page_id", F.when(F.col("page") != "", F.col("page")).cast("long"))
+    ).withColumn("page_id", F.when(F.col("page") != "", F.col("page")).cast("long")), "captures")
     named = rows.where("record_type = 'response'").groupBy(F.col("id").alias("refers")).agg(
-        F.max("page_id").alias("refers_to"))
+        F.max(F.struct("page_id", "payload_bytes", "payload_digest")).alias("first"))
     wanted = rows.where("refers is not null").select("refers").distinct()
-    revisits = rows.where("refers is not null").join(named.join(wanted, "refers"), "refers", "left")
+    revisits = rows.where("refers is not null").drop("payload_bytes", "payload_digest").join(
+        named.join(wanted, "refers"), "refers", "left")
+    # Told in upper or lower case, with or without its name.
+    other = F.lower(F.regexp_replace("told", "^sha1:", "")) != F.col("first.payload_digest")
+    digest = F.when(other, F.raise_error(F.concat(F.lit("damaged archive: a revisit tells another digest than "), "refers")).cast("string"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return rows.where("refers is null").withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(
-        revisits.select(*columns))
+        revisits.select(
+            "page_id", F.col("first.payload_bytes").alias("payload_bytes"),
+            digest.otherwise(F.col("first.payload_digest")).alias("payload_digest"), "record_type",
+            F.col("first.page_id").alias("refers_to")))
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
@@ -224,4 +254,4 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/tidemill-warc-{uuid.uuid4().hex}"
     write(pages, folder, **options)
-    return digests(read(spark, folder))
+    return digests(read(spark, folder, payloads=False))
