@@ -354,6 +354,16 @@ def test_toxicity_words_cover_runs_of_any_length():
     assert toxicity.tokens("One two_2, é日本!") == ["one", "two_2", "é日本"]
 
 
+def test_toxicity_on_the_given_tables(spark):
+    """Held-out rows of the 0.01 tables, and what the score is on rows the labels of which it may not see."""
+    folder = "/root/testdata/sf0.01"
+    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = toxicity.classify(read("documents"), read("labels")).join(read("labels"), "doc_id").where("held_out").collect()
+    bad, good = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
+    assert len(bad) == 6 and sum(s >= 0.5 for s in bad) >= 4 and sum(s >= 0.5 for s in good) <= 3
+    assert sum(b > g for b in bad for g in good) / (len(bad) * len(good)) > 0.95
+
+
 def test_toxicity_on_held_out_and_unseen_spellings(spark, edges, nothing):
     rows, labels = [], []
     for i in range(900):

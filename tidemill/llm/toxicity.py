@@ -1,10 +1,12 @@
 """Toxicity of texts: a bag of subword vectors, averaged, into a linear softmax.
 
 A word is the mean of the vectors of its character n-grams (with word ends marked) and a passage of about
-``PASSAGE`` words the mean of its words; a linear softmax gives the label, and a text scores as its worst passage, so
-that a few words count as much in a long text as in a short one. Vectors and softmax are trained together in numpy on
-a bounded sample of labelled documents (``SAMPLE`` of each class, chosen by a hash of the id, a documented bound):
-first on all passages with the label of their document, then on the worst passage of each. The sample is the only
+``PASSAGE`` words the mean of its words; a linear softmax gives the label. Vectors and softmax are trained together in
+numpy on a bounded sample of labelled documents (``SAMPLE`` of each class, chosen by a hash of the id, of at most ``LONGEST``
+characters each; documented bounds): first on all passages with the label of their document, then on the worst passage of
+each. A text scores by a logistic regression on its worst passage, the mean of its ``TOP`` worst ones, the average of the whole
+text and its number of words: an average alone hides a few words in a long text. The regression is fitted on a fifth of
+the sample that the vectors have not seen. The sample is the only
 thing that reaches the driver. Unseen misspellings share n-grams with words that were seen.
 
 Scoring uses all documents and all their passages. As the average and the softmax are linear up to the last step, a
@@ -30,7 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemill.llm.common import slices
 
 SAMPLE = 2_000
-PASSAGE = 32
+LONGEST = 65_536
+PASSAGE = 2
+TOP = 4
 LEAST_SHARE = 0.005  # of the sample must hold an n-gram
 BUCKETS = 1 << 18
 WIDTH = 4
@@ -39,6 +43,7 @@ ROUNDS = (12, 28)  # on all passages, then on the worst ones
 RATE = 0.1
 SCALE = 16.0
 KNOWN = 400_000
+SHRINK = 0.1
 WORDS = re.compile(r"\w{1,64}")  # a longer run of letters is several words, so a text without blanks counts whole
 
 
@@ -61,10 +66,10 @@ def passages(n: int) -> np.ndarray:
 
 
 class Model:
-    """``share``: what a bucket adds to the logit of label 1; ``slope`` and ``bias`` turn the worst passage to a logit."""
+    """``share``: what a bucket adds to the logit of label 1; ``slopes`` and ``bias`` turn a text's features to a logit."""
 
-    def __init__(self, share: np.ndarray, bias: float, slope: float = 1.0):
-        self.share, self.bias, self.slope = share, bias, slope
+    def __init__(self, share: np.ndarray, bias: float, slopes: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)):
+        self.share, self.bias, self.slopes = share, bias, slopes
         self.known: dict[str, float] = {}
 
     def words(self, found: list[str]) -> np.ndarray:
@@ -80,112 +85,111 @@ class Model:
                 shares[i] = self.known[w]
         return shares
 
-    def worst(self, found: list[str]) -> float:
-        """The highest passage average; a word counts once in a passage, the average is over all its words."""
+    def features(self, found: list[str]) -> tuple[float, float, float, float]:
+        """Worst passage average, mean of the ``TOP`` worst, average of the text, logarithm of its length.
+
+        A word counts once in a passage, whose average is over all its words.
+        """
         if not found:
-            return 0.0
-        bounds = passages(len(found)).tolist()
-        shares = dict(zip(found, self.words(found).tolist()))
-        return max(
-            sum(map(shares.__getitem__, set(found[a:b]))) * SCALE / (b - a) for a, b in zip(bounds, bounds[1:]))
+            return 0.0, 0.0, 0.0, 0.0
+        number: dict[str, int] = {}
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in found), dtype=np.int64, count=len(found))
+        shares = self.words(list(number))[ids] * SCALE
+        bounds = passages(len(found))
+        scores = np.add.reduceat(shares * _once(ids, bounds), bounds[:-1]) / np.diff(bounds)
+        top = min(TOP, len(scores))
+        return (float(scores.max()), float(np.partition(scores, len(scores) - top)[-top:].mean()), float(shares.mean()),
+                float(np.log1p(len(found))))
 
     def score(self, text: str | None) -> float:
-        found = tokens(text)
-        logit = self.slope * self.worst(found) + self.bias
+        logit = sum(a * b for a, b in zip(self.slopes, self.features(tokens(text)))) + self.bias
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts, axis=0)
+def _once(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether a word is the first of its kind in its passage."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    once = np.ones(len(ids), dtype=bool)
+    for d in range(1, int(np.diff(bounds).max())):
+        once[d:] &= (ids[d:] != ids[:-d]) | (owner[d:] != owner[:-d])
+    return once
 
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
-    """Train vectors and softmax together by full-batch Adam on the passages of the sample."""
-    owner: list[int] = []
+    """Train vectors and softmax together by full-batch Adam on the passages of the sample.
+
+    Only the difference of the two classes' logits matters, and it is a sum over n-grams: it is summed up as such,
+    and the vectors of words and passages are never laid out.
+    """
     place: dict[str, int] = {}
-    doc_words, doc_counts, starts, total = [], [], [], 0
+    ids, shares, passage, owner, total = [], [], [], [], 0
     for k, t in enumerate(texts):
         ws = tokens(t)
-        bounds = passages(len(ws)).tolist()
-        for a, b in zip(bounds, bounds[1:]):
-            if a < b:
-                ids = np.unique([place.setdefault(w, len(place)) for w in ws[a:b]]).astype(np.int32)
-                owner.append(k)
-                starts.append(total)
-                total += len(ids)
-                doc_words.append(ids)
-                doc_counts.append(np.full(len(ids), 1 / (b - a), dtype=np.float32))
-    owner = np.array(owner)
-    doc_starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        if not ws:
+            continue
+        bounds = passages(len(ws))
+        found = np.fromiter((place.setdefault(w, len(place)) for w in ws), dtype=np.int32, count=len(ws))
+        once, sizes = _once(found, bounds), np.diff(bounds)
+        of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        ids.append(found[once])
+        shares.append((SCALE / sizes).astype(np.float32)[of[once]])
+        passage.append(of[once] + total)
+        owner.append(np.full(len(sizes), k, dtype=np.int32))
+        total += len(sizes)
+    if not ids:
+        return Model(np.zeros(BUCKETS), 0.0)
+    words_, share, passage, owner = map(np.concatenate, (ids, shares, passage, owner))
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    widths = np.diff(np.append(starts, total))
     weights = weights / weights.sum()
     even = (weights / np.maximum(np.bincount(owner, minlength=len(texts)), 1))[owner]
-    heavy, labels = weights[owner], labels[owner]
-    doc_of = np.repeat(np.arange(len(owner), dtype=np.int32), [len(d) for d in doc_words])
-    words_, share = np.concatenate(doc_words), np.concatenate(doc_counts)[:, None]
-    del doc_words, doc_counts
+    heavy, target = weights[owner], labels[owner]
     packed, lengths = array("i"), array("i")
     for w in place:
         found = buckets(w)
         packed.extend(found)
         lengths.append(len(found))
     flat, sizes = np.frombuffer(packed, dtype=np.int32), np.frombuffer(lengths, dtype=np.int32).astype(np.int64)
-    every = sizes
-    word_starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    least = max(LEAST_SHARE * len(texts), 3)
+    word_of = np.repeat(np.arange(len(place), dtype=np.int32), sizes)
     # N-grams of a few documents alone would only be learnt by heart: they stay out of the averages.
-    met = np.unique(words_.astype(np.int64) * len(texts) + owner[doc_of]) // len(texts)
-    spread = np.bincount(flat, weights=np.repeat(np.bincount(met, minlength=len(place)), sizes), minlength=BUCKETS)
+    met = np.unique(words_.astype(np.int64) * len(texts) + owner[passage]) // len(texts)
+    spread = np.bincount(flat, weights=np.bincount(met, minlength=len(place))[word_of], minlength=BUCKETS)
+    least = max(LEAST_SHARE * len(texts), 3)
     common = spread[flat] >= least
-    sizes = np.add.reduceat(common.astype(np.int64), word_starts)
-    common |= np.repeat(sizes == 0, every)  # a word without any keeps its own, at no weight
-    inverse = np.where(sizes > 0, 1 / np.maximum(every, 1), 0).astype(np.float32)[:, None]
-    sizes = np.where(sizes > 0, sizes, every)
-    flat = flat[common]
-    word_starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    flat, word_of = flat[common], word_of[common]
+    inverse = (1 / sizes)[word_of]  # an average over all n-grams of the word, rare ones counting as zero
     used, flat = np.unique(flat, return_inverse=True)
-    by_bucket = np.argsort(flat, kind="stable")
-    bucket_starts = np.searchsorted(flat[by_bucket], np.arange(len(used)))
-    word_of = np.repeat(np.arange(len(place)), sizes)[by_bucket]
-    by_word = np.argsort(words_, kind="stable")
-    in_doc_starts = np.searchsorted(words_[by_word], np.arange(len(place)))
     rng = np.random.default_rng(seed)
-    params = {
-        "vectors": rng.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32),
-        "out": rng.normal(0, 0.1, (WIDTH, 2)).astype(np.float32), "bias": np.zeros(2, dtype=np.float32),
-    }
+    params = {"vectors": rng.normal(0, 0.1, (len(used), WIDTH)), "out": rng.normal(0, 0.1, (WIDTH, 2)), "bias": np.zeros(2)}
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
-    target = np.eye(2, dtype=np.float32)[labels]
     rounds = sum(ROUNDS)
     for step in range(1, rounds + 1):
-        word = _sums(params["vectors"][flat], word_starts) * inverse
-        doc = _sums(word[words_] * share, np.array(starts)) * SCALE
-        logits = doc @ params["out"] + params["bias"]
+        way = params["out"][:, 1] - params["out"][:, 0]
+        word = np.bincount(word_of, (params["vectors"] @ way)[flat] * inverse, len(place))
+        gap = np.bincount(passage, word[words_] * share, total) + params["bias"][1] - params["bias"][0]
         if step > ROUNDS[0]:  # the passage of each document that the model finds worst
-            gap = logits[:, 1] - logits[:, 0]
-            worst = np.lexsort((-gap, owner))[doc_starts]
-            use = np.zeros(len(owner))
+            top = np.flatnonzero(gap == np.repeat(np.maximum.reduceat(gap, starts), widths))
+            worst = top[np.concatenate(([True], owner[top[1:]] != owner[top[:-1]]))]
+            use = np.zeros(total)
             use[worst] = heavy[worst]
         else:
             use = even
-        logits -= logits.max(axis=1, keepdims=True)
-        soft = np.exp(logits)
-        soft /= soft.sum(axis=1, keepdims=True)
-        error = ((soft - target) * use[:, None]).astype(np.float32)
-        back = error @ params["out"].T * SCALE
-        to_word = _sums((back[doc_of] * share)[by_word], in_doc_starts) * inverse
+        error = (1 / (1 + np.exp(-np.clip(gap, -60, 60))) - target) * use
+        to_word = np.bincount(words_, error[passage] * share, len(place))
+        to_bucket = np.bincount(flat, to_word[word_of] * inverse, len(used))
+        turn = params["vectors"].T @ to_bucket
         grads = {
-            "vectors": _sums(to_word[word_of], bucket_starts),
-            "out": doc.T @ error, "bias": error.sum(axis=0),
+            "vectors": to_bucket[:, None] * way, "out": np.stack((-turn, turn), axis=1),
+            "bias": error.sum() * np.array([-1.0, 1.0]),
         }
         for k, g in grads.items():
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
             rate = RATE * (1 - 0.9 * step / rounds)
             params[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-9)
-    out = params["out"][:, 1] - params["out"][:, 0]
     whole = np.zeros(BUCKETS, dtype=np.float64)
-    whole[used] = np.where(spread[used] >= least, params["vectors"] @ out, 0.0)
+    whole[used] = params["vectors"] @ (params["out"][:, 1] - params["out"][:, 0])
     return Model(whole, float(params["bias"][1] - params["bias"][0]))
 
 
@@ -209,7 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         part = marked.where(F.col("label") == k).orderBy(order, "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy(order, "doc_id").limit(2 * sample).collect()
+    short = texts.where(F.length("text") <= LONGEST)
+    rows = short.join(F.broadcast(chosen), "doc_id").orderBy(order, "doc_id").limit(2 * sample).collect()
     if len({r["label"] for r in rows}) < 2:
         return Model(np.zeros(BUCKETS), float(np.log(shares[1] / shares[0])))
     y = np.array([r["label"] for r in rows])
@@ -223,25 +228,25 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def calibrated(model: Model, texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
-    """Logistic regression of the label on the worst passage, by Newton steps with a little shrinkage."""
-    x = np.stack([np.array([model.worst(tokens(t)) for t in texts]), np.ones(len(texts))])
-    spot, size = x[0].mean(), x[0].std() + 1e-9
-    x[0] = (x[0] - spot) / size
-    w, theta = weights / weights.mean(), np.zeros(2)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(theta @ x, -30, 30)))
-        grad = x @ (w * (p - labels)) + 0.1 * theta
-        hess = (x * (w * p * (1 - p))) @ x.T + 0.1 * np.eye(2)
+    """Logistic regression of the label on the features of a text, by Newton steps with a little shrinkage."""
+    x = np.array([model.features(tokens(t)) for t in texts])
+    spot, size = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.concatenate(((x - spot) / size, np.ones((len(x), 1))), axis=1)
+    w, theta = weights / weights.mean(), np.zeros(z.shape[1])
+    shrink = np.array([SHRINK] * x.shape[1] + [0.01])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ theta, -30, 30)))
+        grad = z.T @ (w * (p - labels)) + shrink * theta
+        hess = (z * (w * p * (1 - p))[:, None]).T @ z + np.diag(shrink)
         theta -= np.clip(np.linalg.solve(hess, grad), -2, 2)
-    slope = max(theta[0] / size, 1e-6)
-    return Model(model.share, float(theta[1] - slope * spot), float(slope))
-
+    slopes = theta[:-1] / size
+    return Model(model.share, float(theta[-1] - slopes @ spot), tuple(slopes.tolist()))
 
 
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ``score`` of every document."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.share, model.bias, model.slope))
+    shared = docs.sparkSession.sparkContext.broadcast((model.share, model.bias, model.slopes))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
