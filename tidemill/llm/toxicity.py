@@ -51,13 +51,20 @@ def tokens(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower())
 
 
-def buckets(word: str) -> list[int]:
-    """Hashed character n-grams of a word with its ends marked, and the word itself."""
+def grams(word: str) -> set[str]:
+    """Character n-grams of a word with its ends marked, and the word itself."""
     marked = f"<{word}>"
-    out = {marked}
-    for n in range(GRAMS[0], GRAMS[1] + 1):
-        out.update(marked[i:i + n] for i in range(len(marked) - n + 1))
-    return [xxhash.xxh32_intdigest(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in sorted(out)]
+    out = {marked[i:i + n] for n in range(GRAMS[0], GRAMS[1] + 1) for i in range(len(marked) - n + 1)}
+    out.add(marked)
+    return out
+
+
+def bucket(gram: str) -> int:
+    return xxhash.xxh32_intdigest(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def buckets(word: str) -> list[int]:
+    return [bucket(g) for g in sorted(grams(word))]
 
 
 def passages(n: int) -> np.ndarray:
@@ -71,6 +78,20 @@ class Model:
     def __init__(self, share: np.ndarray, bias: float, slopes: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)):
         self.share, self.bias, self.slopes = share, bias, slopes
         self.known: dict[str, float] = {}
+        self.met: dict[str, float] = {}
+
+    def word(self, word: str) -> float:
+        """Mean share of the n-grams of a word; n-grams that were met are kept, as words are."""
+        found = grams(word)
+        try:
+            return sum(map(self.met.__getitem__, found)) / len(found)
+        except KeyError:
+            if len(self.met) > KNOWN:
+                self.met.clear()
+            for g in found:
+                if g not in self.met:
+                    self.met[g] = float(self.share[bucket(g)])
+            return sum(map(self.met.__getitem__, found)) / len(found)
 
     def words(self, found: list[str]) -> np.ndarray:
         shares = np.fromiter(map(self.known.get, found, repeat(np.nan)), dtype=np.float64, count=len(found))
@@ -81,7 +102,7 @@ class Model:
             for i in unknown:
                 w = found[i]
                 if w not in self.known:
-                    self.known[w] = float(self.share[buckets(w)].mean())
+                    self.known[w] = self.word(w)
                 shares[i] = self.known[w]
         return shares
 
@@ -92,11 +113,15 @@ class Model:
         """
         if not found:
             return 0.0, 0.0, 0.0, 0.0
-        number: dict[str, int] = {}
-        ids = np.fromiter((number.setdefault(w, len(number)) for w in found), dtype=np.int64, count=len(found))
-        shares = self.words(list(number))[ids] * SCALE
+        shares = self.words(found) * SCALE
         bounds = passages(len(found))
-        scores = np.add.reduceat(shares * _once(ids, bounds), bounds[:-1]) / np.diff(bounds)
+        sizes = np.diff(bounds)
+        once, owner = shares.copy(), np.repeat(np.arange(len(sizes)), sizes)
+        for d in range(1, int(sizes.max())):  # equal words have equal shares
+            for i in np.flatnonzero((shares[d:] == shares[:-d]) & (shares[d:] != 0) & (owner[d:] == owner[:-d])).tolist():
+                if found[i] == found[i + d]:
+                    once[i + d] = 0.0
+        scores = np.add.reduceat(once, bounds[:-1]) / sizes
         top = min(TOP, len(scores))
         return (float(scores.max()), float(np.partition(scores, len(scores) - top)[-top:].mean()), float(shares.mean()),
                 float(np.log1p(len(found))))
