@@ -235,6 +235,47 @@ def test_edited_and_partial_copies_in_many_documents(spark):
     assert sorted(r.doc_id for r in kept) == list(range(401, 451))
 
 
+def edited_copy(rng, ws, insert, drop, replace):
+    out = []
+    for w in ws:
+        r = rng.random()
+        out += [] if r < drop else ["changed"] if r < drop + replace else [w]
+        if rng.random() < insert:
+            out.append(rng.choice(["added", "the", w]))
+    return out
+
+
+def test_no_leak_is_lost_at_any_rate_of_edits(spark):
+    """Inserted, dropped and replaced words at every rate, items with repeated words, against brute force."""
+    rng = random.Random(8)
+    items = [(k, " ".join(rng.choice(["the", "of", "and", f"q{k}x{j}"]) for j in range(rng.choice([3, 4, 7, 12, 30])))) for k in range(12)]
+    items += [(20, " ".join(f"z{j}" for j in range(30)))]
+    z = items[-1][1].split()
+    texts = [" ".join(x for j, w in enumerate(z) for x in ([w, "added"] if j % 2 else [w]))]  # the three probes
+    texts += [" ".join("changed" if j % 3 == 2 else w for j, w in enumerate(z)), " ".join(w for j, w in enumerate(z) if j % 3 != 2)]
+    texts += [" ".join(x for w in z for x in (w, "added"))]  # no two words of the item are left together
+    for k in range(260):
+        rates = [rng.choice([0, 0.1, 0.3, 0.5]) for _ in range(3)]
+        copy = edited_copy(rng, rng.choice(items)[1].split(), *rates)
+        texts.append(" ".join(prose(k, rng.randint(0, 12)).split() + copy + prose(k + 1, rng.randint(0, 12)).split()))
+    texts += [prose(k, 30) for k in range(50)] + ["the of and " * 40]
+    docs = spark.createDataFrame(rows_of(*[(k, t, "s") for k, t in enumerate(texts)]), SCHEMA)
+    want = {(k, i) for k, t in enumerate(texts) for i, x in items
+            if brute_align(decontaminate.words(t), decontaminate.words(x)) >= decontaminate.SIMILARITY * 2 * len(x.split())}
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) > 150 and {(k, 20) for k in range(4)} <= got
+    with pytest.raises(ValueError):
+        decontaminate.Seeds(items, 0.3)
+
+
+def test_rare_seeds_are_kept():
+    seeds = decontaminate.Seeds([(0, " ".join(f"w{j}" for j in range(20)))])
+    counts = np.array([1000.0 if j < 8 else 1.0 for j in range(20)])
+    seeds.choose(counts)
+    kept = set((seeds.holders % (seeds.longest + 1)).tolist())
+    assert seeds.need.tolist() == [5] and kept == set(range(4, 19))  # bound 9: four starts are left out, five needed
+
+
 # ---- sentences ---------------------------------------------------------------------
 
 def test_sentences_join_to_the_text():

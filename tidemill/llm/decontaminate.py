@@ -1,8 +1,11 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Every three-word sequence of the test items is a seed. Documents are cut into overlapping passages, and each
-   passage meets the items whose seeds it holds. No seed is left out for being frequent: an edited passage in
-   very many documents makes all its surviving seeds frequent.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+1. Seeds are pairs of words that follow each other in a test item, directly or with one word between, and that come so in a
+   passage. If a passage reaches the similarity s to an item of n words, m words match and there are at most 2m - 2sn
+   edits, so at least sn - 1 of the m - 1 neighbouring matches have one edit at most between them: each is a seed with a
+   start of its own in the item. Of an item's starts the most frequent ones, fewer than half of that bound, are left
+   out (by how often their words come in all documents), and a passage has to hold as many of the others as the bound then
+   still asks for. So seeds are the rare ones, and no passage of that similarity is lost, however it is edited.
 2. A passage that holds too few of an item's words (each as often as the item has it) to reach the similarity even
    if all of them matched in order is passed over, which loses nothing. That is what most passages that share
    only everyday words with an item come to.
@@ -16,7 +19,8 @@ The items are a stated query set: they are taken in blocks of a proven size, eac
 held against all documents, so any number of items works. Words are lower-cased runs between ASCII punctuation
 and white space.
 
-Defined results: null texts and items have no words; items of fewer than three words seed nothing; rows of equal
+Defined results: null texts and items have no words; items without an id are left out, those of fewer than ``LEAST_WORDS``
+words seed nothing; a similarity of 1/3 or less is refused, as one word can then be enough; rows of equal
 doc_id are one document; of several copies in a document the best counts, at ties the earliest; empty tables give
 no rows.
 """
@@ -32,7 +36,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.common import slices, text_key, written
 
-GRAM = 3
+LEAST_WORDS = 3
+REACH = 2  # words of a seed are so far apart at most
 SIMILARITY = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
@@ -47,51 +52,80 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Seeds:
-    """Word numbers, sorted seed codes and word counts of a block of items."""
+    """Word numbers, sorted seed codes and word counts of a block of items; ``counts``: how often each word comes."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
+        if similarity * LEAST_WORDS <= 1:
+            raise ValueError("the similarity must be above 1/3")
+        self.similarity = similarity
         self.items = [(i, words(t)) for i, t in items]
         self.number = {w: k for k, w in enumerate(dict.fromkeys(w for _, ws in self.items for w in ws))}
         self.base = len(self.number) + 1
-        if self.base >= 1 << 21:
-            raise ValueError("a block of items has too many words")
-        numbered = [self.numbers(ws) for _, ws in self.items]
-        self.lengths = np.array([len(n) for n in numbered], dtype=np.int64)
+        self.numbered = [self.numbers(ws) for _, ws in self.items]
+        self.lengths = np.array([len(n) for n in self.numbered], dtype=np.int64)
         self.longest = int(self.lengths.max(initial=0))
-        pairs = sorted({(int(c), k) for k, n in enumerate(numbered) for c in self.codes(n)})
-        self.sorted, first = np.unique(np.array([c for c, _ in pairs], dtype=np.int64), return_index=True)
-        # Items (by place in the block) with each seed, and words with their number of times in each item.
-        self.holders = np.array([k for _, k in pairs], dtype=np.int64)
-        self.held = np.append(first, len(pairs))
-        counted = [np.unique(n, return_counts=True) for n in numbered]
+        counted = [np.unique(n, return_counts=True) for n in self.numbered]
         self.word = np.concatenate([np.empty(0, dtype=np.int64), *[w for w, _ in counted]])
         self.times = np.concatenate([np.empty(0, dtype=np.int64), *[n for _, n in counted]])
         self.begin = np.cumsum([0, *[len(w) for w, _ in counted]])
+        self.choose(np.ones(len(self.number)))
+
+    def choose(self, counts: np.ndarray) -> None:
+        """Leave out the most frequent starts of each item, and set what a passage has to hold of the others."""
+        self.need = np.zeros(len(self.items), dtype=np.int64)
+        codes, holders = [], []
+        for k, n in enumerate(self.numbered):
+            if len(n) < LEAST_WORDS:
+                continue
+            bound = max(int(np.ceil(self.similarity * len(n) - 1 - 1e-9)), 1)
+            out = (bound - 1) // 2
+            self.need[k] = bound - out
+            pairs = [(n[:-d] * self.base + n[d:], np.arange(len(n) - d), counts[n[:-d]] * counts[n[d:]]) for d in range(1, REACH + 1)]
+            often = np.zeros(len(n))
+            for _, start, expected in pairs:
+                often[start] += expected
+            rare = np.ones(len(n), dtype=bool)
+            rare[np.argsort(-often[:-1], kind="stable")[:out]] = False
+            for code, start, _ in pairs:
+                codes.append(code[rare[start]])
+                holders.append((k * (self.longest + 1) + start)[rare[start]])
+        flat = np.concatenate([np.empty(0, dtype=np.int64), *codes])
+        order = np.argsort(flat, kind="stable")
+        self.sorted, first = np.unique(flat[order], return_index=True)
+        # Items and starts with each seed.
+        self.holders = np.concatenate([np.empty(0, dtype=np.int64), *holders])[order]
+        self.held = np.append(first, len(flat))
 
     def numbers(self, ws: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.number.get, ws, repeat(-1)), dtype=np.int64, count=len(ws))
 
-    def codes(self, numbers: np.ndarray) -> np.ndarray:
-        """Code of the three words from every place; -1 where one is unknown or the text ends."""
-        if len(numbers) < GRAM:
-            return np.empty(0, dtype=np.int64)
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        return np.where((a >= 0) & (b >= 0) & (c >= 0), (a * self.base + b) * self.base + c, -1)
-
     def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and seeds (by place in ``sorted``)."""
-        codes = self.codes(numbers)
-        at = np.flatnonzero(codes >= 0)
-        if not len(at) or not len(self.sorted):
-            return at[:0], at[:0]
-        seed = np.minimum(np.searchsorted(self.sorted, codes[at]), len(self.sorted) - 1)
-        found = self.sorted[seed] == codes[at]
-        return at[found], seed[found]
+        """Places and seeds (by place in ``sorted``), places in order."""
+        at, seeds = [], []
+        for d in range(1, REACH + 1):
+            if len(numbers) <= d or not len(self.sorted):
+                continue
+            a, b = numbers[:-d], numbers[d:]
+            here = np.flatnonzero((a >= 0) & (b >= 0))
+            codes = a[here] * self.base + b[here]
+            seed = np.minimum(np.searchsorted(self.sorted, codes), len(self.sorted) - 1)
+            found = self.sorted[seed] == codes
+            at.append(here[found])
+            seeds.append(seed[found])
+        if not at:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        at, seeds = np.concatenate(at), np.concatenate(seeds)
+        order = np.argsort(at, kind="stable")
+        return at[order], seeds[order]
 
     def near(self, passage: np.ndarray, seed: np.ndarray, similarity: float) -> np.ndarray:
-        """Items with one of the seeds whose words in the passage are enough for the similarity."""
+        """Items with enough of the seeds whose words in the passage are enough for the similarity."""
         seed = np.unique(seed)
-        items = np.unique(self.holders[_ranges(self.held[seed], self.held[seed + 1])])
+        starts = np.unique(self.holders[_ranges(self.held[seed], self.held[seed + 1])])
+        items, n = np.unique(starts // (self.longest + 1), return_counts=True)
+        items = items[n >= self.need[items]]
+        if not len(items):
+            return items
         among, n = np.unique(passage[passage >= 0], return_counts=True)
         first, last = self.begin[items], self.begin[items + 1]
         every = _ranges(first, last)
@@ -186,6 +220,25 @@ def _aligned(rows: DataFrame, shared, similarity: float) -> DataFrame:
     return found.where(F.col("similarity") >= similarity)
 
 
+def word_counts(rows: DataFrame, shared) -> np.ndarray:
+    """How often each word of a block of items comes in all documents: one number per word of the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = shared.value
+        sums = np.zeros(len(seeds.number), dtype=np.int64)
+        for batch in slices(batches, "text"):
+            for t in batch.column("text").to_pylist():
+                numbers = seeds.numbers(words(t))
+                np.add.at(sums, numbers[numbers >= 0], 1)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(sums[some])], names=["word", "n"])
+
+    counts = np.ones(len(shared.value.number))
+    for r in rows.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        counts[r["word"]] += r["n"]
+    return counts
+
+
 def alignments(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_key, item_id, start and ``similarity`` of the passages that are similar enough."""
@@ -194,8 +247,9 @@ def alignments(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         F.col(doc_id).cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     out = spark.createDataFrame([], "doc_id long, text_key long, item_id long, start long, similarity double")
     for block in blocks(items, item_id, item_text):
-        seeds = Seeds(block)
+        seeds = Seeds(block, similarity)
         if len(seeds.sorted):
+            seeds.choose(word_counts(rows, spark.sparkContext.broadcast(seeds)))
             out = out.unionByName(_aligned(rows, spark.sparkContext.broadcast(seeds), similarity))
     return out
 
