@@ -163,7 +163,7 @@ def test_hot_device_is_many_groups_in_the_look_ahead(spark):
 
 def test_hot_detail_is_many_groups_in_the_sliding_rule(spark):
     """Copies of one detail are looked at by slices: what is shuffled and ordered is a slice of a detail."""
-    paid = hot_log(spark).select(F.lit("hot").alias("order_detail_id"), F.timestamp_millis("ts").alias("time"), "offset")
+    paid = hot_log(spark).select(F.col("common.mid").alias("order_detail_id"), F.timestamp_millis("ts").alias("time"), "offset")
     text = plan(dedup.keep_first_sliding(paid, ["order_detail_id"], F.col("time"), ("offset",)))
     assert re.search(r"hashpartitioning\(order_detail_id#\d+, _slot#", text)
     assert biggest_share(paid, "order_detail_id", F.floor(F.unix_millis("time") / dedup.SLICE_MS)) < 0.01
