@@ -365,6 +365,61 @@ def test_edits_on_edges(spark, edges, nothing, counter):
     assert token_edits.edited(nothing, ranks, F.lit(None)).count() == 0
 
 
+def test_leaves_stay_pre_tokens(counter):
+    """An edit inside a large insert, and many edits beside one another, cost their region only."""
+    tree = token_edits.Tree("some words. " * 50, counter)
+    tree.edit(30, 30, "more words, " * 1000)
+    tree.encoded = 0
+    tree.edit(6000, 6003, "abc")
+    assert tree.encoded < 10
+    for k in range(200):
+        tree.encoded = 0
+        tree.edit(100 + 4 * k, 100 + 4 * k, "new ")
+        assert tree.encoded < 10
+    pre = counter.pattern.findall(tree.text)
+    assert tree.leaves == len(pre) and tree.tokens == len(counter.encoding.encode_ordinary(tree.text))
+    assert [a.tolist() for a in tree.stored()] == [list(map(len, pre)), counter.tokens(pre)]
+    tree.edit(0, len(tree.text), "")
+    assert (tree.text, tree.tokens, tree.leaves) == ("", 0, 0)
+    tree.edit(0, 0, "back again")
+    assert tree.tokens == len(counter.encoding.encode_ordinary("back again"))
+
+
+def test_trees_are_kept_as_a_table(spark, edges, nothing, counter, tmp_path):
+    ranks, folder = token_edits.read_ranks(catalog.BYTE_RANKS), str(tmp_path / "trees")
+    token_edits.write_trees(token_edits.trees(edges, ranks), folder, 0)
+    first = [(r.doc_id, r.text) for r in token_edits.read_trees(spark, folder).collect()]
+    assert len(first) == edges.count()
+    kind = "doc_id long, seq long, start long, stop long, insert string"
+    batches = [
+        [(1, 2, None, None, " end"), (1, 1, 0, 4, "Begin"), (3, 1, 0, 0, "was null"), (10 ** 9, 1, 0, 0, "no document")],
+        [(1, 1, 2, 3, ""), (None, 1, 0, 0, "no id")],
+    ]
+    for version, edits in enumerate(batches, 1):
+        for _ in range(2):  # a repeated version takes the place of its first try
+            token_edits.update_trees(spark, folder, spark.createDataFrame(edits, kind), ranks, version)
+    written = {v: spark.read.parquet(f"{folder}/version={v}") for v in (1, 2)}
+    assert {r.doc_id for r in written[1].collect()} == {1, 3} and {r.doc_id for r in written[2].collect()} == {1}
+    assert all(r.n_encoded_again < 20 for v in written.values() for r in v.collect())
+
+    def after(doc_id, text):
+        for edits in batches:
+            for e in sorted((e for e in edits if e[0] == doc_id and doc_id is not None), key=lambda e: e[1]):
+                start = len(text) if e[2] is None else min(e[2], len(text))
+                stop = max(len(text) if e[3] is None else min(e[3], len(text)), start)
+                text = text[:start] + e[4] + text[stop:]
+        return text
+
+    got = token_edits.read_trees(spark, folder).collect()
+    key = lambda row: (row[0] is None, row[0] or 0, row[1])
+    assert sorted(((r.doc_id, r.text) for r in got), key=key) == sorted(((i, after(i, t)) for i, t in first), key=key)
+    for r in got:
+        pre = counter.pattern.findall(r.text)
+        assert (list(r.chars), list(r.tokens)) == (list(map(len, pre)), counter.tokens(pre)) and r.n_tokens == sum(r.tokens)
+    token_edits.write_trees(token_edits.trees(nothing, ranks), str(tmp_path / "none"), 0)
+    assert token_edits.read_trees(spark, str(tmp_path / "none")).count() == 0
+
+
 # ---- pieces ------------------------------------------------------------------------
 
 def test_pieces_equal_the_library(edges, nothing):

@@ -6,9 +6,14 @@ boundary context that the cutting pattern can look at, cuts the new text again f
 an old boundary behind the edit, counts only these pre-tokens, and updates the sums above the touched leaves.
 Everything else is kept. All work on a document is in its row; nothing is shuffled unless edits come as a table.
 
+``trees`` keeps the leaves of every document as a table. ``apply_edits`` joins a table of edits to it, takes the trees
+up without counting anything again, and returns the touched rows only; ``write_trees`` and ``read_trees`` keep them as
+versions of a folder, in which a repeated version takes the place of its first try.
+
 Defined results: null is an empty text; edits apply one after the other to the text as it then is; positions
 are code points and are clipped to the text; null positions mean the end, a null insert inserts nothing; a null
-list has no edits; repeated rows are counted each.
+list has no edits; repeated rows are counted each. Edits of an id that no document has, and of a null id, change nothing;
+documents of one id all get its edits.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill.llm.common import slices
 
@@ -66,28 +71,44 @@ class Counter:
 
 
 class Tree:
-    """Segment tree over pre-tokens: rows of ``sums`` are characters and tokens, node 1 is the root."""
+    """Segment tree over pre-tokens: rows of ``sums`` are characters and tokens, node 1 is the root.
+
+    Every leaf holds one pre-token or nothing. What an edit cuts again is written back as leaves of its own: into
+    the places of the old ones if there is room, else the leaves of the smallest stretch around them that has
+    room are spread anew; a full tree doubles. No leaf's count is computed again for that.
+    """
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, text: str, counter: Counter, leaves: tuple[np.ndarray, np.ndarray] | None = None):
+        """``leaves``: characters and tokens of each pre-token, where they are known."""
         self.text, self.counter = text, counter
-        pre = counter.pattern.findall(text)
-        self.width = 1 << max(len(pre) - 1, 0).bit_length()
+        if leaves is None:
+            pre = counter.pattern.findall(text)
+            leaves = list(map(len, pre)), counter.tokens(pre)
+        self.leaves = len(leaves[0])
+        self.width = 1 << max(self.leaves - 1, 0).bit_length()
         self.sums = np.zeros((2, 2 * self.width), dtype=np.int64)
-        self.leaves = len(pre)
-        self.sums[0, self.width:self.width + len(pre)] = list(map(len, pre))
-        self.sums[1, self.width:self.width + len(pre)] = counter.tokens(pre)
-        level = self.width
-        while level > 1:
-            self.sums[:, level // 2:level] = self.sums[:, level:2 * level].reshape(2, -1, 2).sum(axis=2)
-            level //= 2
+        self.sums[:, self.width:self.width + self.leaves] = leaves
+        self._add_up(0, self.width)
         self.encoded = 0
 
     @property
     def tokens(self) -> int:
         return int(self.sums[1, 1])
 
+    def stored(self) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of each pre-token."""
+        rows = self.sums[:, self.width:]
+        return tuple(rows[:, rows[0] > 0])
+
+    def _add_up(self, start: int, stop: int) -> None:
+        """Sums above the leaves from ``start`` up to ``stop``."""
+        start, stop = start + self.width, stop + self.width
+        while start > 1:
+            start, stop = start // 2, (stop + 1) // 2
+            self.sums[:, start:stop] = self.sums[:, 2 * start:2 * stop].reshape(2, -1, 2).sum(axis=2)
+
     def _leaf(self, offset: int) -> tuple[int, int]:
-        """The leaf that holds a character, and where the leaf begins."""
+        """The leaf that holds a character of the text, and where the leaf begins."""
         node, begin = 1, 0
         while node < self.width:
             node *= 2
@@ -96,12 +117,32 @@ class Tree:
                 node += 1
         return node - self.width, begin
 
-    def _set(self, leaf: int, chars: int, tokens: int) -> None:
-        node = leaf + self.width
-        change = np.array([chars, tokens]) - self.sums[:, node]
-        while node:
-            self.sums[:, node] += change
-            node //= 2
+    def _replace(self, start: int, stop: int, chars: list[int], tokens: list[int]) -> None:
+        """Put new leaves in the places from ``start`` up to ``stop``."""
+        size, full, height = len(chars), self.sums[0, self.width:] > 0, self.width.bit_length()
+        self.leaves += size - int(np.count_nonzero(full[start:stop]))
+        for level in range(height):
+            # Stretches of 2^level places; the longer they are, the emptier they have to be, half at most at the top.
+            step = 1 << level
+            low, high = start // step * step, min(-(-stop // step) * step, self.width)
+            count = size + int(np.count_nonzero(full[low:start]) + np.count_nonzero(full[stop:high]))
+            if count <= (high - low) * (1 - level / (2 * height)):
+                room = True
+                break
+        else:
+            low, high, count, room = 0, self.width, self.leaves, False
+        old = self.sums[:, self.width + low:self.width + high]
+        before, after = old[:, :start - low], old[:, stop - low:]
+        rows = np.concatenate([
+            before[:, before[0] > 0], np.array([chars, tokens], dtype=np.int64).reshape(2, -1), after[:, after[0] > 0]], axis=1)
+        if not room:
+            self.width = 1 << (2 * count - 1).bit_length()
+            self.sums = np.zeros((2, 2 * self.width), dtype=np.int64)
+            high = self.width
+        places = self.sums[:, self.width + low:self.width + high]
+        places[:] = 0
+        places[:, np.arange(count) * (high - low) // max(count, 1)] = rows
+        self._add_up(low, high)
 
     def edit(self, start: int | None, stop: int | None, insert: str | None) -> None:
         size = len(self.text)
@@ -113,24 +154,23 @@ class Tree:
         first, begin = self._leaf(max(start - CONTEXT, 0)) if size else (0, 0)
         # Leaves from ``first`` up to ``last`` are cut again; they end at ``old`` in the old text.
         last, old = first + 1, begin + int(self.sums[0, first + self.width])
+        if old < stop:
+            leaf, at = self._leaf(stop - 1)
+            last, old = leaf + 1, at + int(self.sums[0, leaf + self.width])
         position, pre = begin, []
         for match in self.counter.pattern.finditer(self.text, begin):
-            while last < self.leaves and (old < stop or old + shift < position):
-                old += int(self.sums[0, last + self.width])
-                last += 1
-            if pre and old >= stop and old + shift == position:
+            while old < size and old + shift < position:
+                leaf, at = self._leaf(old)
+                last, old = leaf + 1, at + int(self.sums[0, leaf + self.width])
+            if pre and old + shift == position:
                 break
             pre.append(match.group())
             position = match.end()
         else:
-            last = self.leaves
-        counts = self.counter.tokens(pre)
+            if old < size:
+                last = self._leaf(size - 1)[0] + 1
         self.encoded += len(pre)
-        for leaf in range(first + 1, last):
-            if self.sums[0, leaf + self.width]:
-                self._set(leaf, 0, 0)
-        self._set(first, position - begin, sum(counts))  # this leaf now holds all that was cut again
-        self.leaves = max(self.leaves, 1)
+        self._replace(first, last, list(map(len, pre)), self.counter.tokens(pre))
 
 
 def edited(docs: DataFrame, ranks: bytes, edits: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,3 +210,66 @@ def with_edits(docs: DataFrame, edits: DataFrame, doc_id: str = "doc_id") -> Dat
         lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"), e["insert"].alias("insert")),
     ).alias("edits"))
     return docs.drop("edits").join(lists, F.col(doc_id) == F.col("__id"), "left").drop("__id")
+
+
+def _trees_of(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[pa.RecordBatch]:
+    """A row per tree after the edits of its row; known leaves are taken up."""
+    counter = Counter(ranks)
+    for batch in slices(batches, "text", 4 << 20):
+        names = batch.schema.names
+        known = "chars" in names
+        edits = batch.column("edits").to_pylist() if "edits" in names else [()] * batch.num_rows
+        texts, found, encoded = [], [], []
+        for k, text in enumerate(batch.column("text").to_pylist()):
+            leaves = tuple(batch.column(c)[k].values.to_numpy() for c in ("chars", "tokens")) if known else None
+            tree = Tree(text or "", counter, leaves)
+            for e in edits[k] or ():
+                if e is not None:
+                    tree.edit(e["start"], e["stop"], e["insert"])
+            texts.append(tree.text)
+            found.append(tree.stored())
+            encoded.append(tree.encoded)
+        ends = np.cumsum([0, *[len(chars) for chars, _ in found]], dtype=np.int32)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([f[k] for f in found]).astype(np.int32)))
+            for k in (0, 1)]
+        totals = np.array([tokens.sum() for _, tokens in found], dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(texts, pa.string()), *lists, pa.array(totals), pa.array(encoded, pa.int64())],
+            names=["doc_id", "text", "chars", "tokens", "n_tokens", "n_encoded_again"])
+
+
+def _tree_type(kind: str) -> str:
+    return f"doc_id {kind}, text string, chars array<int>, tokens array<int>, n_tokens long, n_encoded_again long"
+
+
+def trees(docs: DataFrame, ranks: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text, the leaves of its tree (characters and tokens of each pre-token) and their sum."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(lambda batches: _trees_of(batches, ranks), _tree_type(dict(rows.dtypes)["doc_id"]))
+
+
+def apply_edits(kept: DataFrame, edits: DataFrame, ranks: bytes) -> DataFrame:
+    """The rows of ``kept`` that ``edits`` (doc_id, seq, start, stop, insert) touch, as they are after them."""
+    touched = with_edits(kept.select("doc_id", "text", "chars", "tokens"), edits).where("edits is not null")
+    touched = touched.withColumn("edits", F.col("edits").cast(EDIT))
+    return touched.mapInArrow(lambda batches: _trees_of(batches, ranks), _tree_type(dict(kept.dtypes)["doc_id"]))
+
+
+def write_trees(rows: DataFrame, folder: str, version: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{folder}/version={version}")
+
+
+def read_trees(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """Each document's rows of its last version (of those ``before`` one)."""
+    rows = spark.read.parquet(folder)
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    last = rows.groupBy(F.col("doc_id").alias("__id")).agg(F.max("version").alias("__last"))
+    is_last = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__last"))
+    return rows.join(last, is_last).drop("__id", "__last", "version")
+
+
+def update_trees(spark: SparkSession, folder: str, edits: DataFrame, ranks: bytes, version: int) -> None:
+    """Apply a table of edits to the kept trees; only touched documents are written."""
+    write_trees(apply_edits(read_trees(spark, folder, version), edits, ranks), folder, version)
