@@ -314,6 +314,20 @@ WORDS = r"unnest(regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+'))"
 SQL["kw_window"] = f"""
   select 'search' as source, {bounds('ts // 1000', 10)}, keyword, count(*) as keyword_count
   from (select ts, {WORDS.format(text='item')} as keyword from fpage where event_id % 5 = 2) group by all"""
+# Four lots of records; the watermark of a lot comes from the words of the lots before it.
+CTES["lots"] = f"""
+  select (event_id * 3 // (select max(event_id) + 1 from events)) + (event_id % 7 = 3)::int as lot, ts // 1000 as sec,
+    {WORDS.format(text='item')} as keyword from fpage where event_id % 5 = 2"""
+CTES["marks"] = """
+  select l.lot, max(e.sec) - 2 as mark from (select unnest(range(0, 5)) as lot) l join lots e on e.lot < l.lot group by l.lot"""
+CTES["in_time"] = """
+  select lots.*, coalesce(sec // 10 * 10 + 10 > mark, true) as counted from lots left join marks on marks.lot = lots.lot
+  where sec // 10 * 10 + 10 <= (select max(mark) from marks)"""
+SQL["watermark"] = f"""
+  select 'search' as source, {bounds('sec', 10)}, keyword, count(*) as keyword_count from in_time where counted group by all"""
+SQL["late_data"] = f"""
+  select {bounds('sec', 10)}, keyword, count(*) as n_rows, sum(counted::int)::bigint as n_counted,
+    sum((not counted)::int)::bigint as n_late from in_time group by all"""
 UNION = """
   select ts, ar, ch, is_new, vc, 1 as uv_ct, 0 as sv_ct, 0 as pv_ct, 0 as dur_sum, 0 as uj_ct from ({uv})
   union all select ts, ar, ch, is_new, vc, 0, 0, 0, 0, 1 from ({uj})

@@ -15,6 +15,7 @@ from tidemill.schemas import BASE_DIC, ORDER_WIDE_TS, RAW_LOG, TABLE_PROCESS, TO
 from tidemill.session import shared_dir, tune
 from tidemill.sinks import tables as sinks
 from tidemill.sources import tables as src, topics
+from tidemill.streaming import jobs, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -526,6 +527,40 @@ def refund_window_by_user(t):
     return metrics.refund_window(order_refund(t), lookups.sku_dimension(src.dimensions(t), with_spu=False), "user")
 
 
+# ---- late rows -------------------------------------------------------------------------
+
+LOTS = 4
+
+
+def _late_words(t: src.Tables) -> tuple[DataFrame, str | None, str]:
+    """Word windows of a stream that gets the page log in four lots, its last watermark, and the folder of its records.
+
+    Every seventh record comes one lot after its neighbours: late where its window is closed by then.
+    """
+    root, topic = scratch(t, "late"), TOPICS["page"]
+    records = src.page_log(t, fast=True).select(F.to_json(F.struct("common", "page", "ts")).alias("value"), "offset")
+    last = t.events.agg(F.max("event_id")).first()[0] or 0
+    lot = F.floor(F.col("offset") * (LOTS - 1) / F.lit(last + 1)) + (F.col("offset") % 7 == 3).cast("long")
+    job = lambda: jobs.kw_window(topics.read_topic(t.spark, topic, path=root))
+    closed, mark = late.replay(
+        t.spark, [records.where(lot == k) for k in range(LOTS)], f"{root}/{topic}", job, f"{root}/windows", f"{root}/checkpoint")
+    return closed, mark, root
+
+
+@query
+def watermark(t):
+    """Word windows that a stream closed, rows behind the watermark left out."""
+    return _late_words(t)[0]
+
+
+@query
+def late_data(t):
+    """Words per closed window: all, counted in time, and late."""
+    counted, mark, root = _late_words(t)
+    arrived = jobs.kw_window(topics.read_topic(t.spark, TOPICS["page"], path=root, stream=False))
+    return late.late_counts(arrived, counted, ["keyword"], "keyword_count", mark)
+
+
 # ---- firsts, duplicates, unions --------------------------------------------------------
 
 def _day_text(rows: DataFrame) -> DataFrame:
