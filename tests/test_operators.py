@@ -26,7 +26,7 @@ def log_text(mid="m", ts=DAY0, is_new="0", last=None, **more):
 
 
 def records(spark, *values):
-    return spark.createDataFrame([Row(value=v, offset=i) for i, v in enumerate(values)], topics.RECORD)
+    return spark.createDataFrame([Row(value=v, offset=i) for i, v in enumerate(values)], "value string, offset long")
 
 
 def pages(spark, *values):
