@@ -153,12 +153,12 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", rules: Rules = Rules()) -> DataFrame:
     """The documents that ``judge`` keeps, with the columns they came with.
 
-    Texts are measured in the scan that returns them, so they are never shuffled to meet their verdicts.
+    Each document is measured once: the marks are written with the whole row beside them, for documents that pass the
+    base rule only. The sums by host read the narrow columns; the rows are read again to meet the few rejected hosts, so
+    no text is shuffled for that.
     """
-    narrow = docs.select(F.col(text).alias("text"), F.col(host).alias("source"))
-    marks = written(measured(narrow, "text", rules).drop("text"), "measures")
-    bad = host_verdicts(marks, "source", rules).where("rejected").select(F.col("host").alias("__host"))
     own = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"), F.col(host).alias("__host"))
-    # Without a column that is not deterministic, the filter would move below the measures and expand them all.
-    good = measured(own, "__text", rules).withColumn("__stay", F.when(F.monotonically_increasing_id() >= 0, ~F.col("base_failed")))
-    return good.where("__stay").join(bad, "__host", "left_anti").select("__row.*")
+    marks = written(measured(own, "__text", rules).select(
+        "__host", *MEASURES, "n_lines", "base_failed", F.when(~F.col("base_failed"), F.col("__row")).alias("__row")), "measures")
+    bad = host_verdicts(marks, "__host", rules).where("rejected").select(F.col("host").alias("__host"))
+    return marks.where("not base_failed").join(bad, "__host", "left_anti").select("__row.*")
