@@ -63,6 +63,25 @@ def test_readers_pass_over_an_unfinished_fold(spark, tmp_path):
     assert [tuple(r) for r in sinks.read_upsert(spark, path, ["id"]).collect()] == [("a", 1)]
 
 
+def test_folded_parts_are_removed_once_no_reader_needs_them(spark, tmp_path):
+    """Over many batches the number of folders stays bounded and the table as it is; a young fold removes nothing."""
+    path, want, most = str(tmp_path / "facts"), {}, 0
+    folders = lambda: sinks.numbered(spark, path, "batch") + sinks.numbered(spark, f"{path}/{sinks.FOLDS}", "upto")
+    assert sinks.drop_folded(spark, str(tmp_path / "nothing")) == []
+    for batch in range(7):
+        sinks.write_upsert(spark.createDataFrame([("a", batch), (f"k{batch}", batch)], "id string, v int"), path, batch)
+        want |= {"a": batch, f"k{batch}": batch}
+        if batch % 2:
+            assert sinks.compact(spark, path, ["id"]) == batch
+            assert sinks.drop_folded(spark, path) == []
+            before = spark.read.parquet(f"{path}/batch={batch}")  # a reader that began before
+            assert len(sinks.drop_folded(spark, path, 0)) >= 2 and sinks.drop_folded(spark, path, 0) == []
+            assert before.schema.names == ["id", "v"]
+        most = max(most, len(folders()))
+        assert {r.id: r.v for r in sinks.read_upsert(spark, path, ["id"]).collect()} == want
+    assert most <= 3
+
+
 def test_keyed_topic_rows(spark):
     df = spark.createDataFrame([("a", 1)], "k string, n int")
     got = sinks.as_topic_rows(df, "t", ["k"])

@@ -1,12 +1,13 @@
 """Writing topics, append tables, keyed tables and dimensions.
 
 Files written under ``batch=<id>`` make a repeated micro-batch replace itself. Keyed tables are
-appended to and read as the latest row per key. ``compact`` folds finished batches into one part, and
-readers take the latest fold and the batches after it.
+appended to and read as the latest row per key. ``compact`` folds finished batches into one part,
+readers take the latest fold and the batches after it, and ``drop_folded`` removes what lies below it.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -125,7 +126,7 @@ def compact(
     """Fold the batches of a keyed table up to ``upto`` (the last finished one) into one part; returns ``upto``.
 
     Readers follow when the fold is complete. Rows keep the batch they came with, so a later batch still wins.
-    Nothing is deleted: batches and folds below the last fold are no longer read.
+    Nothing is deleted here: batches and folds below the last fold are no longer read, see ``drop_folded``.
     """
     done = [n for n in numbered(spark, path, BATCH) if exists(spark, f"{path}/{BATCH}={n}/_SUCCESS")]
     upto = max(done, default=None) if upto is None else upto
@@ -137,6 +138,31 @@ def compact(
     return upto
 
 
+READ_S = 3_600.0  # how long a reader may hold the file list it began with
+
+
+def drop_folded(spark: SparkSession, path: str, read_s: float = READ_S) -> list[str]:
+    """Remove the batches and folds that the last fold holds; returns their folders.
+
+    Nothing is removed until the fold is ``read_s`` old, as readers that began before it still read what lies below.
+    Removing is repeatable: a call that broke off is taken up by the next one, and readers look at none of these folders.
+    """
+    upto = last_fold(spark, path)
+    if upto is None:
+        return []
+    jvm = spark.sparkContext._jvm
+    folder = lambda name: jvm.org.apache.hadoop.fs.Path(name)
+    files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = files.getFileStatus(folder(f"{path}/{FOLDS}/upto={upto}/_SUCCESS")).getModificationTime() / 1000
+    if time.time() - made < read_s:
+        return []
+    old = [f"{path}/{BATCH}={n}" for n in numbered(spark, path, BATCH) if n <= upto]
+    old += [f"{path}/{FOLDS}/upto={n}" for n in numbered(spark, f"{path}/{FOLDS}", "upto") if n < upto]
+    for name in old:
+        files.delete(folder(name), True)
+    return old
+
+
 # ---- dimensions ------------------------------------------------------------------
 
 DIM_EXTRA = [T.StructField("_ts", T.LongType()), T.StructField("_pk", T.StringType())]
