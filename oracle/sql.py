@@ -418,6 +418,17 @@ SQL["compare_zulu"] = """
   select event_id, t[1:21 + k] || 'Z' as a, t || 'Z' as b, (case when cut_ms < ms then -1 else 0 end)::bigint as cmp from y"""
 SQL["keyword_split"] = f"""select event_id, item, {WORDS.format(text='item')} as word from page
   where event_id % 5 = 2 and item is not null"""
+# Phrases without blanks, cut by the words in part names: the longest first, a letter that begins none alone.
+CTES["cutting"] = r"""
+  select string_agg(w, '|' order by length(w) desc, w) || '|\p{L}|\p{N}+' as pattern from (
+    select distinct unnest(regexp_extract_all(lower(p_name), '[\p{L}\p{N}]+')) as w from part)
+  where regexp_full_match(w, '\p{L}+')"""
+LISTED = "unnest(regexp_extract_all(lower(replace(item, ' ', '')), pattern))"
+SQL["kw_window_word_list"] = f"""
+  select 'search' as source, {bounds('ts // 1000', 10)}, keyword, count(*) as keyword_count
+  from (select ts, {LISTED} as keyword from fpage, cutting where event_id % 5 = 2) group by all"""
+SQL["keyword_split_function"] = f"""select event_id, replace(item, ' ', '') as item, {LISTED} as word from page, cutting
+  where event_id % 5 = 2 and item is not null"""
 # Written to a table and read back: the results are those of the rows that went in.
 SQL["read_dictionary"] = SQL["lookup_join_inner"]
 SQL["read_dim_config"] = f"select sink_table, type, count(*) as n from ({SQL['dim_route']}) group by all"

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from streams import write_chunks
+from tidemill import catalog
 from tidemill.schemas import TOPICS
 from tidemill.sources import tables as src
 from tidemill.streaming import job_table
@@ -76,6 +78,20 @@ def test_a_new_dimension_row_is_seen_by_the_next_batch(spark, tmp_path):
     assert got == {("00:00:00", "1"): "north", ("00:00:00", "2"): None, ("00:01:00", "2"): "south"}
 
 
+def test_refunds_by_user_are_those_of_the_table(spark, tables, tmp_path):
+    rows = catalog.order_refund(tables).select("id", "user_id", "sku_id", "create_time")
+    texts = [r[0] for r in rows.orderBy("create_time").select(F.to_json(F.struct("*"))).collect()]
+    place = place_of(tmp_path, None, lambda s: src.dimensions(tables))
+    topic = TOPICS["order_refund"]
+    put(tmp_path, topic, 0, *texts[:len(texts) // 2])
+    put(tmp_path, topic, 1, *texts[len(texts) // 2:], *texts[-3:])  # some come twice
+    put(tmp_path, topic, 2, json.dumps({"id": "end", "user_id": "u", "sku_id": "1", "create_time": "2100-01-01 00:00:00"}))
+    run_job(spark, tmp_path, "refund_window_by_user", place)
+    found = spark.read.parquet(str(tmp_path / "tables" / "refund_window_by_user")).drop("batch")
+    want = catalog.refund_window_by_user(tables).select(found.columns)
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty() and not found.isEmpty()
+
+
 def inputs(tmp_path, name):
     for topic in {TOPICS["db"]} if name == "dim" else {topic for _, topic in job_table.JOBS[name].inputs}:
         put(tmp_path, topic, 0, "", "{}")

@@ -304,6 +304,55 @@ def test_keyword_split(spark):
         "red", "widget", "9", "好吃", "的", "苹果派"]
 
 
+def test_words_of_a_list_in_columns_are_those_of_the_udf(spark):
+    """Random texts of few letters: nested words, words of other scripts, empty and null texts."""
+    rng = random.Random(3)
+    words = ["好吃", "苹果", "苹果派", "果派大", "派", "T恤", "red", "大好吃苹", "", "a.b"]
+    texts = ["".join(rng.choice("好吃苹果派大恤tT1 -") for _ in range(rng.randrange(30))) for _ in range(300)] + ["", None, "!!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, phrase string")
+    got = keywords.explode_words(df, "phrase", "word", keywords.listed_words(words))
+    want = keywords.explode_words(df, "phrase", "word", keywords.word_list_split(words))
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    keywords.create_split_function(spark, "split_listed", words)
+    df.createOrReplaceTempView("phrases")
+    in_sql = spark.sql("select p.id, p.phrase, w.word from phrases p, lateral split_listed(p.phrase) w")
+    assert sorted(map(tuple, in_sql.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(ValueError):
+        keywords.create_split_function(spark, "a; drop")
+
+
+def test_a_word_list_for_other_letters(spark):
+    df = spark.createDataFrame([("smallring9x",), ("redred",)], "t string")
+    cut = keywords.listed_words(["small", "ring", "red", "re'd"], r"\p{L}")
+    assert [r.word for r in keywords.explode_words(df, "t", splitter=cut).collect()] == ["small", "ring", "9", "x", "red", "red"]
+    assert [r.word for r in keywords.explode_words(df, "t", splitter=keywords.listed_words([])).collect()] == ["smallring9x", "redred"]
+
+
+def test_details_as_ordered_are_those_of_the_wide_rows(spark, tables):
+    """On the tables, and where versions are copied, orders lack an insert, or keys are missing."""
+    log, dic = src.change_log(tables, "order_detail", "order_info", "payment_info"), src.dictionary(spark)
+    cols = ["order_detail_id", "order_id", "sku_id", "order_create_time", "split_total_amount", *facts.PLACED_COLUMNS]
+    change = lambda table, kind, ts, **data: ("shop", table, kind, data, None, ts)
+    detail = lambda key, order, ts, sku="1": change(
+        "order_detail", "insert", ts, id=key, order_id=order, sku_id=sku, source_type="A", sku_num="1", order_price="2.00")
+    odd = spark.createDataFrame([
+        detail("a", "1", 5), detail("a", "1", 6, "2"), detail("a", "1", 6, "3"), detail("b", "2", 5), detail("c", None, 5),
+        detail(None, "1", 5), change("order_info", "insert", 5, id="1", user_id="u", province_id="p"),
+        change("order_info", "insert", 5, id="1", user_id="u", province_id="p"),
+        change("order_info", "update", 9, id="1", user_id="later"), change("order_info", "update", 9, id="2", user_id="x"),
+    ], log.schema)
+    for rows in (log, odd):
+        want = metrics.latest_details(facts.order_detail_wide(rows, dic, extras=False)).select(cols)
+        got = facts.details_as_ordered(rows, dic).select(cols)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {(r.order_detail_id, r.sku_id, r.user_id) for r in got.collect()} == {("a", "3", "u"), (None, "1", "u")}
+    paid = facts.pay_success(log, facts.order_detail_wide(log, dic, extras=False), dic)
+    users = facts.paid_users(log, dic)
+    assert users.distinct().exceptAll(paid.select(users.columns).distinct()).isEmpty()
+    assert paid.select(users.columns).distinct().exceptAll(users.distinct()).isEmpty() and users.count() < paid.count()
+
+
 def test_per_order_amounts_count_once(spark):
     wide = spark.createDataFrame([
         (f"d{i}", "o1", "u", "insert", "2024-01-01 00:00:01", "10.00", None, "100.00", i) for i in range(3)

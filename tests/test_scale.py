@@ -148,6 +148,28 @@ def test_hot_order_is_split_and_copies_do_not_multiply(spark, conf):
     assert refund.count() == 40_000
 
 
+def own_details(log):
+    """The same changes with a detail id of its own for every detail record."""
+    data = F.map_concat(F.map_filter("data", lambda k, _: k != "id"), F.create_map(F.lit("id"), F.col("data")["sku_id"]))
+    return log.withColumn("data", F.when(F.col("table") == "order_detail", data).otherwise(F.col("data")))
+
+
+def test_hot_order_is_split_where_reduced_details_meet_it(spark, conf):
+    conf(**SPLIT_EARLY, spark__sql__adaptive__coalescePartitions__minPartitionSize="2KB")  # else one task maps all
+    log, dic = own_details(hot_changes(spark)), src.dictionary(spark)
+    placed = facts.details_as_ordered(log, dic).select("order_detail_id", "user_id", "sku_id")
+    assert "skew=true" in final_plan(placed)
+    assert placed.count() == 40_000 and placed.where("user_id = 'hot'").count() == 13_334
+
+
+@pytest.mark.parametrize("name, most", [
+    ("order_window", 5), ("province_window", 4), ("payment_window", 6), ("spu_order_window", 9), ("order_detail_wide", 4), ("pay_success", 5)])
+def test_exchanges_of_the_order_family(spark, conf, name, most):
+    """Without dealing the local files over the cores."""
+    conf(spark__tidemill__scan__partitions="")
+    assert plan(QUERIES[name](spark, SMALL)).count("Exchange hashpartitioning") <= most
+
+
 def biggest_share(df, *keys) -> float:
     """Rows of the fullest group, as a share of all."""
     n = df.groupBy(*keys).count()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemill.functions import changes as ch, times as tm
-from tidemill.functions.keywords import explode_words
+from tidemill.functions.keywords import create_split_function, explode_words, listed_words
 from tidemill.operators import clean, dedup, firsts, lookups, split, visits
 from tidemill.plans import dim, facts, metrics, traffic
 from tidemill.schemas import BASE_DIC, ORDER_WIDE_TS, RAW_LOG, TABLE_PROCESS, TOPICS
@@ -43,6 +43,10 @@ def wide(t: src.Tables, extras: bool = True) -> DataFrame:
     return facts.order_detail_wide(log, src.dictionary(t.spark), extras=extras)
 
 
+def as_ordered(t: src.Tables) -> DataFrame:
+    return facts.details_as_ordered(src.change_log(t, "order_detail", "order_info"), src.dictionary(t.spark))
+
+
 def paid_details(t: src.Tables, extras: bool = True) -> DataFrame:
     return facts.pay_success(src.change_log(t, "payment_info"), wide(t, extras), src.dictionary(t.spark))
 
@@ -494,27 +498,28 @@ def cart_uu_window(t):
 
 @query
 def order_window(t):
-    return metrics.order_window(wide(t, extras=False))
+    return metrics.ordered_counts(as_ordered(t))
 
 
 @query
 def order_window_per_order(t):
-    return metrics.order_window(wide(t, extras=False), per_order=True)
+    return metrics.ordered_counts(as_ordered(t), per_order=True)
 
 
 @query
 def payment_window(t):
-    return metrics.payment_window(paid_details(t, extras=False))
+    log = src.change_log(t, "order_detail", "order_info", "payment_info")
+    return metrics.payment_window(facts.paid_users(log, src.dictionary(t.spark)))
 
 
 @query
 def province_window(t):
-    return metrics.province_window(wide(t, extras=False), src.dimensions(t)["province"])
+    return metrics.province_counts(as_ordered(t), src.dimensions(t)["province"])
 
 
 @query
 def spu_order_window(t):
-    return metrics.spu_order_window(wide(t, extras=False), lookups.sku_dimension(src.dimensions(t)))
+    return metrics.spu_totals(as_ordered(t), src.dimensions(t))
 
 
 @query
@@ -615,6 +620,8 @@ def union_streams(t):
 
 # ---- scalar functions and words --------------------------------------------------------
 
+LETTERS = r"\p{L}"  # what the word list of part names cuts
+
 @query
 def time_functions(t):
     page = src.page_log(t, items=False).select(F.col("offset").alias("event_id"), "ts")
@@ -645,6 +652,31 @@ def keyword_split(t):
     return explode_words(asked, "item")
 
 
+def unspaced(t: src.Tables, **more) -> tuple[DataFrame, list[str]]:
+    """The page log with search phrases written without blanks, and the word list of the shop: the words in its part names."""
+    page = src.page_log(t, **more)
+    phrase = F.replace(F.col("page.item"), F.lit(" "), F.lit(""))
+    words = explode_words(t.part, "p_name", "word").select("word").distinct()
+    return page.withColumn("page", F.col("page").withField("item", phrase)), [r.word for r in words.toLocalIterator()]
+
+
+@query
+def kw_window_word_list(t):
+    """Search words per window, phrases without blanks cut by the word list."""
+    page, words = unspaced(t, fast=True)
+    return metrics.kw_window(page, listed_words(words, LETTERS))
+
+
+@query
+def keyword_split_function(t):
+    """The same phrases cut by the table function of SQL."""
+    page, words = unspaced(t)
+    create_split_function(t.spark, "split_part_words", words, LETTERS)
+    asked = clean.filter_search_keyword(page).select(F.col("offset").alias("event_id"), F.col("page.item").alias("item"))
+    return t.spark.sql(
+        "select asked.event_id, asked.item, words.word from {asked} asked, lateral split_part_words(asked.item) words", asked=asked)
+
+
 @query
 def keyword_count(t):
     """Words of all documents, whole texts."""

@@ -48,6 +48,53 @@ def word_list_split(words: Iterable[str]):
     return split
 
 
+def word_pattern(words: Iterable[str], letters: str = r"\p{IsHan}") -> str:
+    """A pattern whose matches cut a lower-case text by a word list: longest match from the left.
+
+    Words that consist of ``letters`` (a character class) count; a letter that begins none is a word alone, and runs of
+    other word characters stay whole. The list is a tree of its beginnings, so a place in the text is compared
+    with one letter of each branch and not with every word.
+    """
+    whole, tree = regex.compile(f"(?:{letters})+"), {}
+    for word in words:
+        if whole.fullmatch(word.lower()):
+            node = tree
+            for letter in word.lower():
+                node = node.setdefault(letter, {})
+            node[""] = {}
+
+    def branches(node: dict) -> str:
+        parts = [regex.escape(c, special_only=True) + branches(below) for c, below in sorted(node.items()) if c]
+        if not parts:
+            return ""
+        one = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+        return f"(?:{one})?" if "" in node else one  # greedy: the longest is tried first
+
+    listed = [branches(tree)] if tree else []
+    return "|".join([*listed, letters, f"[\\p{{L}}\\p{{N}}&&[^{letters}]]+"])
+
+
+def listed_words(words: Iterable[str], letters: str = r"\p{IsHan}"):
+    """Splitter of word runs by a word list, in columns alone; for lists of some ten thousand words (longer ones: ``word_list_split``)."""
+    pattern = F.lit(word_pattern(words, letters))
+    return lambda runs: F.flatten(F.transform(runs, lambda run: F.regexp_extract_all(run, pattern, 0)))
+
+
+def create_split_function(
+    spark: SparkSession, name: str = "split_words", words: Iterable[str] = (), letters: str = r"\p{IsHan}"
+) -> None:
+    """Make a table function of SQL for this session: one row ``word`` per word of a phrase, none for a null one.
+
+    ``select t.id, w.word from t, lateral split_words(t.phrase) w``
+    """
+    if not name.isidentifier():
+        raise ValueError("the name of a function is one identifier")
+    pattern = word_pattern(words, letters).replace("\\", "\\\\").replace("'", "\\'")
+    runs = f"regexp_extract_all(lower(phrase), '{pattern}', 0)"
+    spark.sql(f"create or replace temporary function {name}(phrase string) returns table(word string) "
+              f"return select col as word from explode({runs})")
+
+
 def explode_words(df: DataFrame, text: str, word: str = "word", splitter=None) -> DataFrame:
     """One row per word of ``text``; the other columns are kept."""
     words = keyword_split(text)

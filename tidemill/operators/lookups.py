@@ -42,12 +42,21 @@ def sku_dimension(dims: dict[str, DataFrame], with_spu: bool = True) -> DataFram
 
     The chain is resolved once on the dimension side, so facts need a single join.
     """
-    flat = dims["sku"].select(
+    return sku_names(sku_ids(dims, with_spu), dims, with_spu)
+
+
+def sku_ids(dims: dict[str, DataFrame], with_spu: bool = True) -> DataFrame:
+    """What a sku itself names: spu, trademark and third category."""
+    return dims["sku"].select(
         F.col("id").alias("sku_id"),
         *([F.col("spu_id")] if with_spu else []),
         F.col("tm_id").alias("trademark_id"),
         F.col("category3_id"),
     )
+
+
+def sku_names(flat: DataFrame, dims: dict[str, DataFrame], with_spu: bool = True) -> DataFrame:
+    """Rows with the ids of ``sku_ids``, and the names and upper categories that belong to these."""
     if with_spu:
         flat = dim_join(flat, dims["spu"], "spu_id", {"spu_name": "spu_name"})
     flat = dim_join(flat, dims["trademark"], "trademark_id", {"tm_name": "trademark_name"})

@@ -48,10 +48,15 @@ def order_coupons(log: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
     return pick_change(log, "order_detail_coupon", ["insert"], keys, "ts", database=database)
 
 
-def _one_per_detail(df: DataFrame) -> DataFrame:
+def _one_per_detail(log: DataFrame, database: str | None) -> DataFrame:
     # The order-detail topic is keyed by detail id, so of several activities (or coupons) of one
-    # detail the latest wins. Reducing before the join keeps it many-to-one.
-    return keep_last(df, ["order_detail_id"], "ts", ("id",)).drop("id", "ts")
+    # detail the latest wins. Both are reduced to one row of a detail in one shuffle, so the join is many-to-one.
+    one = lambda df, columns, name: df.select("order_detail_id", F.struct("ts", "id", *columns).alias(name))
+    both = one(order_activities(log, database), ACTIVITY_COLUMNS, "activity").unionByName(
+        one(order_coupons(log, database), COUPON_COLUMNS, "coupon"), allowMissingColumns=True)
+    last = both.groupBy("order_detail_id").agg(F.max("activity").alias("activity"), F.max("coupon").alias("coupon"))
+    return last.select("order_detail_id", *[F.col(f"activity.{c}") for c in ACTIVITY_COLUMNS],
+                       *[F.col(f"coupon.{c}") for c in COUPON_COLUMNS])
 
 
 def _distinct_versions(infos: DataFrame) -> DataFrame:
@@ -65,16 +70,15 @@ def order_detail_wide(
 ) -> DataFrame:
     """Order details with order, activity, coupon and source name; one row per order version.
 
-    Both left joins share the shuffle on the detail id. The dictionary join goes first: details
-    with an unknown source leave before anything is shuffled. Activity and coupon never add or
-    drop a row; for readers of other columns ``extras=False`` saves their joins and leaves them empty.
+    The dictionary join goes first: details with an unknown source leave before anything is shuffled.
+    Activity and coupon come with one join and never add or drop a row; for readers of other columns
+    ``extras=False`` saves it and leaves them empty.
     """
     wide = lookup_join(order_details(log, database), dic, "source_type", "dic_name")
-    for part, columns in ((order_activities, ACTIVITY_COLUMNS), (order_coupons, COUPON_COLUMNS)):
-        if extras:
-            wide = reduced_join(wide, _one_per_detail(part(log, database)), "order_detail_id")
-        else:
-            wide = wide.withColumns({c: F.lit(None).cast("string") for c in columns})
+    if extras:
+        wide = reduced_join(wide, _one_per_detail(log, database), "order_detail_id")
+    else:
+        wide = wide.withColumns({c: F.lit(None).cast("string") for c in ACTIVITY_COLUMNS + COUPON_COLUMNS})
     infos = _distinct_versions(order_infos(log, database)).withColumnRenamed("id", "order_id")
     wide = wide.join(infos, "order_id", "inner").withColumn("pt", F.current_timestamp())
     return wide.select(*ORDER_WIDE.names, F.timestamp_seconds("ts").alias("ts"))
@@ -84,6 +88,26 @@ ACTIVITY_COLUMNS = ["activity_id", "activity_rule_id", "activity_create_time"]
 COUPON_COLUMNS = ["coupon_id", "coupon_use_id", "coupon_create_time"]
 
 
+# among versions of one order detail with equal time the greatest of these wins
+DETAIL_TIES = ("split_original_amount", "sku_id", "split_total_amount", "source_id")
+# among insert versions of one order with equal time the greatest of these wins
+PLACED_COLUMNS = ("user_id", "province_id", "original_total_amount", "activity_reduce_amount", "coupon_reduce_amount")
+
+
+def details_as_ordered(log: DataFrame, dic: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
+    """One row per detail id, its latest, with ``PLACED_COLUMNS`` of its order as it was placed.
+
+    The rows that ``metrics.latest_details`` finds among the wide ones, without making these: details and the insert
+    versions of orders are reduced to one row per key, each with a limit before its shuffle, and joined then. A
+    detail belongs to one order; details of orders without an insert are left out.
+    """
+    details = lookup_join(order_details(log, database), dic, "source_type", "dic_name")
+    last = keep_last(details, ["order_detail_id"], "ts", DETAIL_TIES)
+    placed = order_infos(log, database, "ts").where("type = 'insert'").select(
+        F.col("id").alias("order_id"), F.col("ts").alias("placed_ts"), *PLACED_COLUMNS)
+    return reduced_join(last, keep_last(placed, ["order_id"], "placed_ts", PLACED_COLUMNS).drop("placed_ts"), "order_id", "inner")
+
+
 def order_add(wide: DataFrame) -> DataFrame:
     return wide.where(F.col("type") == "insert")
 
@@ -125,6 +149,18 @@ def pay_success(log: DataFrame, wide: DataFrame, dic: DataFrame) -> DataFrame:
     )
 
 
+def paid_users(log: DataFrame, dic: DataFrame, database: str | None = SHOP_DB) -> DataFrame:
+    """``order_detail_id, user_id, callback_time`` of successfully paid details: the rows of ``pay_success`` without its copies.
+
+    Order versions that name the same user are one row before anything is joined, and payments meet the orders, not
+    their details.
+    """
+    details = lookup_join(order_details(log, database), dic, "source_type", "dic_name").select("order_detail_id", "order_id")
+    users = order_infos(log, database).select(F.col("id").alias("order_id"), "user_id").distinct()
+    paid = lookup_join(payments(log).distinct(), dic, "payment_type_code", "payment_type_name").select("order_id", "callback_time")
+    return reduced_join(details, users.join(paid, "order_id"), "order_id", "inner").select("order_detail_id", "user_id", "callback_time")
+
+
 def refunds(log: DataFrame) -> DataFrame:
     return pick_change(log, "order_refund_info", ["insert"], REFUND_KEYS, "ts")
 

@@ -22,17 +22,15 @@ from tidemill.operators.clean import (
 )
 from tidemill.operators.dedup import keep_first, keep_first_sliding, keep_last
 from tidemill.operators.firsts import day_firsts, first_of_day_and_ever, returning
-from tidemill.operators.lookups import dim_join, with_sku
+from tidemill.operators.lookups import dim_join, sku_ids, sku_names, with_sku
 from tidemill.operators.visits import page_marks, visit_counts
+from tidemill.plans.facts import DETAIL_TIES
 
 TRAFFIC_KEYS = ["ar", "ch", "is_new", "vc"]
 # fixed values: window lengths, and how late rows may come
 SIZE, TRAFFIC_SIZE = "10 seconds", "5 seconds"
 DELAY, REFUND_DELAY, TRAFFIC_DELAY = "2 seconds", "10 seconds", "13 seconds"
 
-# among versions of one order detail with equal time the greatest of these wins
-DETAIL_TIES = ("split_original_amount", "sku_id", "split_total_amount", "source_id")
-
 
 def per_window(
     df: DataFrame, time: Column, size: str, keys: Sequence[str], *measures: Column,
@@ -177,7 +175,12 @@ def order_window(wide: DataFrame, per_order: bool = False) -> DataFrame:
     previous window to tell a first order of the day, down to one row per user and window. Rows without a user
     add their amounts and count for nobody.
     """
-    rows = latest_details(wide).select(
+    return ordered_counts(latest_details(wide), per_order)
+
+
+def ordered_counts(details: DataFrame, per_order: bool = False) -> DataFrame:
+    """``order_window`` of details that are one row per detail id."""
+    rows = details.select(
         "user_id", "order_id", text_time("order_create_time").alias("time"),
         *[or_zero(c).alias(n) for n, c in ORDER_AMOUNTS.items()],
     )
@@ -264,6 +267,16 @@ def spu_order_window(wide: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return spu_counts(latest_details(wide), sku_dim)
 
 
+def spu_totals(details: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """``spu_order_window`` of details that are one row per detail id.
+
+    Only the ids of a sku are joined to the details; names and upper categories follow from these and are joined to the sums.
+    """
+    ids = ["spu_id", "trademark_id", "category3_id"]
+    summed = order_totals(with_sku(details, sku_ids(dims), ids), ["user_id", *ids])
+    return sku_names(summed, dims).select("stt", "edt", *SPU_KEYS, "order_count", "order_amount")
+
+
 def spu_counts(details: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return order_totals(with_sku(details, sku_dim, [k for k in SPU_KEYS if k != "user_id"]), SPU_KEYS)
 
@@ -302,6 +315,15 @@ def name_refunds(counted: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return with_sku(counted, sku_dim, REFUND_DIMS).select("stt", "edt", "sku_id", *REFUND_DIMS, "refund_count")
 
 
+def name_user_refunds(counted: DataFrame, sku_dim: DataFrame) -> DataFrame:
+    """Counts per window, user and sku to those per user, trademark and category path.
+
+    A window's counts must all be there: a stream closes a window in one micro-batch.
+    """
+    named = with_sku(counted, sku_dim, REFUND_DIMS)
+    return named.groupBy("stt", "edt", "user_id", *REFUND_DIMS).agg(total("refund_count"))
+
+
 # ---- text ------------------------------------------------------------------------
 
 def keyword_count(texts: DataFrame, text: str = "text", by: Sequence[str] = (), splitter=None) -> DataFrame:

@@ -141,6 +141,10 @@ JOBS: dict[str, Job] = {
     "refund_window": Job(
         ((_texts("id user_id sku_id create_time"), TOPICS["order_refund"]),), jobs.refund_counts,
         finish=lambda batch, place: metrics.name_refunds(batch, _skus(batch, place, False))),
+    "refund_window_by_user": Job(
+        ((_texts("id user_id sku_id create_time"), TOPICS["order_refund"]),),
+        lambda refund: jobs.refund_counts(refund, ("user_id", "sku_id")),
+        finish=lambda batch, place: metrics.name_user_refunds(batch, _skus(batch, place, False))),
 }
 
 

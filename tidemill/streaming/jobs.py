@@ -7,6 +7,8 @@ records (``value``, ``offset``), so the jobs can be chained through topics and r
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions.times import DAY, millis_to_day, millis_to_time, text_time
@@ -231,11 +233,11 @@ def spu_order_window(details: DataFrame, sku_dim: DataFrame) -> DataFrame:
     return metrics.spu_counts(details, sku_dim)
 
 
-def refund_counts(refund: DataFrame) -> DataFrame:
-    """Refund requests per sku, to be named by ``metrics.name_refunds``."""
+def refund_counts(refund: DataFrame, keys: Sequence[str] = ("sku_id",)) -> DataFrame:
+    """Refund requests per sku, to be named by ``metrics.name_refunds``; with a user before it, by ``name_user_refunds``."""
     once = first_within(refund, ["id"], text_time("create_time"), REFUND_DELAY)
     return metrics.per_window(
-        once, F.col("_rt"), metrics.SIZE, ["sku_id"], F.count("*").alias("refund_count"), delay=None)
+        once, F.col("_rt"), metrics.SIZE, keys, F.count("*").alias("refund_count"), delay=None)
 
 
 def refund_window(refund: DataFrame, sku_dim: DataFrame, grain: str = "sku") -> DataFrame:
