@@ -164,10 +164,10 @@ def test_jumps_of_a_busy_device_are_judged_in_one_pass(spark):
             return self
 
         def appendValue(self, value):
-            self.append(Row("ts", "offset", "is_start", "value")(*value))
+            self.append(Row("ts", "offset", "is_start", "own", "value")(*value))
 
         def put(self, values):
-            self[:] = [Row("ts", "offset", "is_start", "value")(*v) for v in values]
+            self[:] = [Row("ts", "offset", "is_start", "own", "value")(*v) for v in values]
 
         def exists(self):
             return bool(self)
@@ -197,8 +197,8 @@ def test_jumps_of_a_busy_device_are_judged_in_one_pass(spark):
 
     jump, handle = processors.Jump(10), Handle()
     jump.init(handle)
-    make = Row("ts", "offset", "is_start", "value")
-    list(jump.handleInputRows(("m",), iter([make(k, k, True, str(k)) for k in range(0, 1_000_020, 20)]), None))
+    make = Row("ts", "offset", "is_start", "own", "value")
+    list(jump.handleInputRows(("m",), iter([make(k, k, True, True, str(k)) for k in range(0, 1_000_020, 20)]), None))
     out = [r.ts for at in sorted(handle.timers) if at <= 1_000_000 for r in jump.handleExpiredTimer(("m",), Clock(), Info(at))]
     assert out == list(range(0, 1_000_000, 20)) and handle.rows.reads == 1
     assert [r.ts for r in handle.rows] == [1_000_000]
