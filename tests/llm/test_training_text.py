@@ -640,6 +640,23 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert 100 not in out and 102 not in out and len(out) == 30
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty, repeated and very long texts, and extra columns named as those the stages make."""
+    long = prose(7, 60_000)
+    rows = [(1, prose(1, 90), "en", "s", 0), (1, prose(1, 90), "en", "s", 0), (2, "", "en", "s", 0), (None, prose(3, 90), None, None, None),
+            (4, None, None, None, None), (5, long, "en", "t", 0), (6, "a b c", "en", "t", None)]
+    names = ["n_words", "base_failed", "__row", "__host", "kept", "host", "clean", "row"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.select("*", *[F.lit("own").alias(n) for n in names]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stay = quality_rules.keep_good(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    assert stay.columns == [*docs.columns, *names] and stay.where("host <> 'own' or __row <> 'own'").isEmpty()
+    assert sorted((r.doc_id or 0, len(r.text)) for r in stay.collect()) == sorted((i or 0, len(t)) for i, t, *_ in rows if t and len(t) > 5)
+    docs.where("false").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 @pytest.mark.parametrize("name", ["op2_quality_rules", "op6_line_dedup", "op10_warc"])
 def test_sql_gives_the_same(spark, name):
     import duckdb
