@@ -86,8 +86,8 @@ def read_topic(t):
 def read_change_log(t):
     """The whole change log written to its topic, read back and counted per table and type."""
     root = scratch(t, "topics")
-    topics.envelope_records(src.change_log(t)).write.parquet(f"{root}/{TOPICS['db']}")
-    log = topics.read_change_log(t.spark, TOPICS["db"], path=root, stream=False)
+    src.change_records(t).write.parquet(f"{root}/{TOPICS['db']}")
+    log = topics.read_change_log(t.spark, TOPICS["db"], keys=["id"], path=root, stream=False)
     return log.groupBy("table", "type").agg(
         F.count("*").alias("n"), F.sum("ts").alias("ts_sum"), F.count(ch.field("id")).alias("with_id")
     )
