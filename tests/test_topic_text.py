@@ -73,7 +73,7 @@ def test_columns_of_a_detail_topic(spark):
     assert dirty.collect() == all_dirty.collect() and dirty.count() == 4
 
 
-@pytest.mark.parametrize("name", ["read_detail_topic", "drop_empty_and_keep_insert"])
+@pytest.mark.parametrize("name", ["read_detail_topic", "write_topic", "drop_empty_and_keep_insert"])
 def test_only_asked_columns_are_parsed(spark, name):
     text = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     parsed = next(line for line in text.split("\n") if "from_json(" in line)
