@@ -42,7 +42,7 @@ def append_once(rows: DataFrame, path: str, writer: str, part: int) -> None:
         if "offset" not in rows.columns:
             first = next_offset(spark, path, writer, part)
             rows = rows.withColumn("offset", F.monotonically_increasing_id() + F.lit(first))
-        rows.write.mode("overwrite").partitionBy("topic").parquet(stage)
+        sinks.topic_files(rows).mode("overwrite").partitionBy("topic").parquet(stage)
     for folder in _children(spark, stage):
         publish(spark, folder, f"{path}/{folder.getName()}", f"{writer}-{part}-")
     moved = [f"{path}/{f.getName()}/{writer}-{part}-*" for f in _children(spark, stage)]
